@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from terraops.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 END_ID = 2
 ORACLE_SQL: dict[str, str] = {}
 
@@ -18,6 +19,12 @@ def op2_elias_fano_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_file(write_token_file(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), END_ID))
 
 
+def op3_backtracking_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from terraops.llm.piece_codec import piece_digests
+
+    return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE), END_ID)
+
+
 def op5_rank_synchronous_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from terraops.llm.token_counts import token_counts
 
@@ -30,11 +37,19 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), END_ID, 1024)
 
 
+def op9_png_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from terraops.llm.media import text_media
+
+    return text_media(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op2_elias_fano_token_file,
+        op3_backtracking_piece_codec,
         op5_rank_synchronous_token_counts,
         op7_best_fit_packing,
+        op9_png_media_columns,
     )
 }
