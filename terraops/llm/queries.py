@@ -31,6 +31,12 @@ def op5_rank_synchronous_token_counts(spark: SparkSession, sf_dir: str) -> DataF
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op6_simhash_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from terraops.llm.simhash import simhash_components
+
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from terraops.llm.packing import packed
 
@@ -49,6 +55,7 @@ QUERIES = {
         op2_elias_fano_token_file,
         op3_backtracking_piece_codec,
         op5_rank_synchronous_token_counts,
+        op6_simhash_vantage_trees,
         op7_best_fit_packing,
         op9_png_media_columns,
     )
