@@ -43,6 +43,12 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), END_ID, 1024)
 
 
+def op8_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from terraops.llm.near_vectors import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_png_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     from terraops.llm.media import text_media
 
@@ -57,6 +63,7 @@ QUERIES = {
         op5_rank_synchronous_token_counts,
         op6_simhash_vantage_trees,
         op7_best_fit_packing,
+        op8_metric_range_join,
         op9_png_media_columns,
     )
 }
