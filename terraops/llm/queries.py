@@ -13,6 +13,13 @@ END_ID = 2
 ORACLE_SQL: dict[str, str] = {}
 
 
+def op1_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from terraops.llm.quality import quality
+
+    documents = table(spark, sf_dir, "documents")
+    return quality(documents, documents, table(spark, sf_dir, "labels"))
+
+
 def op2_elias_fano_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     from terraops.llm.token_file import read_token_file, write_token_file
 
@@ -55,9 +62,17 @@ def op9_png_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_media(table(spark, sf_dir, "documents"))
 
 
+def op10_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from terraops.llm.toxicity import toxicity
+
+    documents = table(spark, sf_dir, "documents")
+    return toxicity(documents, documents, table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_attention_quality,
         op2_elias_fano_token_file,
         op3_backtracking_piece_codec,
         op5_rank_synchronous_token_counts,
@@ -65,5 +80,6 @@ QUERIES = {
         op7_best_fit_packing,
         op8_metric_range_join,
         op9_png_media_columns,
+        op10_levenshtein_toxicity,
     )
 }
