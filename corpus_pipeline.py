@@ -1,10 +1,53 @@
-"""A training corpus from documents: toxicity, quality, near-duplicates, packing."""
+"""A training corpus from documents: without toxic texts, of good quality, one of each near-duplicate, packed.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read back as
+the next stage's docs. All but the last return the columns of docs.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from terraops.llm.common import table, written
+from terraops.llm.packing import packed
+from terraops.llm.quality import of_quality
+from terraops.llm.queries import BYTE_BPE, END_ID
+from terraops.llm.simhash import one_of_each
+from terraops.llm.toxicity import without_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the toxicity operator rejects."""
+    return without_toxic(docs, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the quality classifier rejects."""
+    return of_quality(docs, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of linked fingerprints: shingles of five words, at most three bits apart.
+
+    Texts of a shingle similarity of 0.8 or more are that close as a rule, not by a bound on their similarity.
+    """
+    return one_of_each(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places all tokens of what is left in sequences of at most 1024."""
+    return packed(docs, public_tokenizers.path(BYTE_BPE), END_ID, 1024)
+
+
+STAGES = [("toxicity", toxicity), ("quality", quality), ("near_duplicates", near_duplicates), ("packing", packing)]
+
+#: SQL can't express the classifiers, the tokenizer or the packing.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -32,8 +32,10 @@ OPENING, CLOSING = "\"“«„'‘", "\"”»“'’"
 #: Words looked at on either side of a hit, and words in the window that is counted over.
 CONTEXT, WINDOW = 10, 50
 MODULUS, HELD_OUT, SAMPLE_ROWS, THRESHOLD = 3, 1, 8_000, 0.7
-#: Of the toxic sample documents a learned term must be in so many, and the log-odds that it must have.
-LEARNED_SHARE, LEARNED_ODDS, LEARNED_MOST = 0.1, 4.0, 200
+#: Share of the toxic sample documents that a learned term must be in, the log-odds that it must have, and most terms.
+LEARNED_SHARE, LEARNED_ODDS, LEARNED_MOST, CANDIDATES = 0.004, 3.5, 200, 1_500
+#: Letters of a learned stem, from and to.
+STEM = (3, 8)
 #: Weights before any label is seen: bias, exact, misspelled, quoted, exact a hundred words, in a window, directed.
 PRIOR = np.array([-4.0, 2.5, 0.7, 0.2, 1.0, 0.5, 0.5])
 PRIOR_SPREAD = 1.5
@@ -44,16 +46,18 @@ def errors_allowed(term: str) -> int:
 
 
 class LevenshteinTrie:
-    """Distance of a word from the nearest term, or -1 beyond what the term's length allows."""
+    """Distance of a word from the nearest term, or -1 beyond what the term's length allows; 0 for words with a stem."""
 
     KEPT = 200_000
 
     def __init__(self, terms: list[str]):
         self.children: list[dict[str, int]] = [{}]
         self.slack, self.final = [-1], [-1]  # errors that terms below or at a node allow
+        self.stems: set[int] = set()
         for term in terms:
-            node, allowed = 0, errors_allowed(term)
-            for letter in term:
+            stem = term.endswith("*")
+            node, allowed = 0, 0 if stem else errors_allowed(term)
+            for letter in term.removesuffix("*"):
                 self.slack[node] = max(self.slack[node], allowed)
                 if letter not in self.children[node]:
                     self.children[node][letter] = len(self.children)
@@ -61,13 +65,18 @@ class LevenshteinTrie:
                     self.slack.append(-1)
                     self.final.append(-1)
                 node = self.children[node][letter]
-            self.slack[node], self.final[node] = max(self.slack[node], allowed), allowed
+            self.slack[node] = max(self.slack[node], allowed)
+            if stem:
+                self.stems.add(node)
+            else:
+                self.final[node] = allowed
         self.letters = {c for child in self.children for c in child}
         self._restart()
 
     def _restart(self) -> None:
         self.moves: dict[tuple[int, str], int] = {}
         self.states: list[dict[int, int]] = [{}]  # state 0 is dead
+        self.begun = [False]  # whether a stem has been read without errors
         self.numbers: dict[frozenset, int] = {frozenset(): 0}
         self.start = self._number(self._closed({0: 0}))
 
@@ -76,6 +85,7 @@ class LevenshteinTrie:
         if key not in self.numbers:
             self.numbers[key] = len(self.states)
             self.states.append(state)
+            self.begun.append(any(node in self.stems and not errors for node, errors in state.items()))
         return self.numbers[key]
 
     def _put(self, state: dict[int, int], node: int, errors: int) -> bool:
@@ -105,6 +115,8 @@ class LevenshteinTrie:
             self._restart()
         state = self.start
         for letter in word:
+            if self.begun[state]:
+                return 0
             letter = letter if letter in self.letters else "\0"
             after = self.moves.get((state, letter))
             if after is None:
@@ -177,17 +189,46 @@ class ToxicityModel:
         return F.pandas_udf(scored, "double")(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def learned_terms(sample: DataFrame) -> list[str]:
-    """Words that many toxic sample documents have and hardly any other; at most LEARNED_MOST."""
-    words = F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("word")
-    sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+def learned_terms(sample: DataFrame) -> tuple[list[str], list[str]]:
+    """Terms and stems that toxic sample documents have and hardly any other, and the fixed terms that clean ones have.
+
+    A stem, written with a * at its end, stands for all longer words that begin with it. Documents that share their
+    word of the smallest hash, near copies above all, count once. Terms are taken one at a time, by the toxic
+    documents that have them; each taken term halves the weight of its documents, so that words which only
+    accompany it are left.
+    """
+    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
+    long = F.filter("words", lambda w: F.length(w) >= 7)
+    family = F.coalesce(F.array_min(F.transform(long, lambda w: F.xxhash64(w))), F.xxhash64("text"))
+    docs = sample.select("label", "text", words.alias("words")).withColumn("family", family).dropDuplicates(["label", "family"])
+    sizes = {r["label"]: r["count"] for r in docs.groupBy("label").count().collect()}
     toxic, clean = sizes.get(1.0, 0), sizes.get(0.0, 0)
     if not toxic:
-        return []
-    counts = sample.select("label", words).where("length(word) > 3").groupBy("word").agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c"))
+        return [], []
+    stems = F.transform(F.sequence(F.lit(STEM[0]), F.lit(STEM[1])), lambda k: F.transform(F.filter("words", lambda w: F.length(w) > k), lambda w: F.concat(F.substring(w, 1, k), F.lit("*"))))
+    terms = F.explode(F.array_distinct(F.concat(F.filter("words", lambda w: F.length(w) > 3), F.flatten(stems)))).alias("term")
+    rows = docs.select("label", F.xxhash64("family", "label").alias("doc"), terms)
+    counts = rows.groupBy("term").agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c"))
     odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
-    found = counts.where((F.col("t") >= max(3.0, LEARNED_SHARE * toxic)) & (odds >= min(LEARNED_ODDS, float(np.log(2 * clean + 2)) - 3)))
-    return [r["word"] for r in found.orderBy(F.desc("t"), "word").limit(LEARNED_MOST).collect()]
+    least = max(3.0, LEARNED_SHARE * toxic)
+    counts = counts.where((F.col("t") >= least) & (odds >= min(LEARNED_ODDS, float(np.log(2 * clean + 2)) - 1)) | F.col("term").isin(TERMS)).cache()
+    spoilt = [r["term"] for r in counts.where(F.col("term").isin(TERMS) & (F.col("c") > 0.02 * F.col("t") + 1)).collect()]
+    best = counts.where((F.col("t") >= least) & (F.col("c") <= 0.02 * F.col("t") + 1)).orderBy(F.desc("t"), F.length("term"), "term").limit(CANDIDATES)
+    where = rows.where("label = 1").join(F.broadcast(best.select("term")), "term").groupBy("term").agg(F.collect_set("doc").alias("docs")).collect()
+    counts.unpersist()
+    has = {r["term"]: r["docs"] for r in where}  # at most CANDIDATES terms of at most SAMPLE_ROWS / 2 documents
+    weight = dict.fromkeys((d for docs in has.values() for d in docs), 1.0)
+    taken: list[str] = []
+    while has and len(taken) < LEARNED_MOST:
+        worth = {t: sum(weight[d] for d in docs) for t, docs in has.items()}
+        term = max(worth, key=lambda t: (worth[t], -len(t), t))
+        if worth[term] < max(2.5, 0.5 * least):
+            break
+        taken.append(term)
+        for d in has.pop(term):
+            weight[d] /= 2
+        has = {t: docs for t, docs in has.items() if not (term.endswith("*") and t.startswith(term[:-1]))}
+    return taken, spoilt
 
 
 def fit_toxicity(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
@@ -196,7 +237,8 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     Without labelled rows the fixed terms and the prior weights hold.
     """
     sample = labelled_sample(documents, labels, "toxic", MODULUS, HELD_OUT, SAMPLE_ROWS, balanced=True)
-    terms = sorted({*TERMS, *learned_terms(sample)})
+    learned, spoilt = learned_terms(sample)
+    terms = sorted({*TERMS, *learned} - {*spoilt})
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         finder = Finder(terms)
