@@ -28,9 +28,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of linked fingerprints: shingles of five words, at most three bits apart.
+    """Keeps one document of each group of linked fingerprints.
 
-    Texts of a shingle similarity of 0.8 or more are that close as a rule, not by a bound on their similarity.
+    As in the operator's contract, shingles have three words and fingerprints link at three bits or fewer;
+    transitively linked documents are one group, of which that of the smallest doc_id stays.
     """
     return one_of_each(docs)
 
