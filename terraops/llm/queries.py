@@ -32,6 +32,12 @@ def op3_backtracking_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE), END_ID)
 
 
+def op4_stupid_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from terraops.llm.ngram_scores import ngram_scores
+
+    return ngram_scores(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
 def op5_rank_synchronous_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from terraops.llm.token_counts import token_counts
 
@@ -75,6 +81,7 @@ QUERIES = {
         op1_attention_quality,
         op2_elias_fano_token_file,
         op3_backtracking_piece_codec,
+        op4_stupid_backoff_scores,
         op5_rank_synchronous_token_counts,
         op6_simhash_vantage_trees,
         op7_best_fit_packing,
