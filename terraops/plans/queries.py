@@ -142,7 +142,7 @@ views.DUCKDB["hexagon_rad"] = "SELECT i, pi() / 6 + i * pi() / 3 AS b, radians(0
 views.DUCKDB["hexagon"] = """SELECT i, asin(sin(p) * cos(r) + cos(p) * sin(r) * cos(b)) * 180 / pi() AS y,
     (p + atan2(sin(b) * sin(r) * cos(p), cos(r) - sin(p) * (sin(p) * cos(r) + cos(p) * sin(r) * cos(b)))) * 180 / pi() AS x FROM hexagon_rad"""
 views.DUCKDB["hit"] = _HEX
-views.DUCKDB["hit_edge"] = """SELECT x AS ux, y AS uy, coalesce(lead(x) OVER (ORDER BY p_partkey), first_value(x) OVER (ORDER BY p_partkey)) AS ax, coalesce(lead(y) OVER (ORDER BY p_partkey), first_value(y) OVER (ORDER BY p_partkey)) AS ay FROM hit"""
+views.DUCKDB["hit_edge"] = """SELECT x AS ax, y AS ay, coalesce(lead(x) OVER (ORDER BY p_partkey), first_value(x) OVER (ORDER BY p_partkey)) AS ux, coalesce(lead(y) OVER (ORDER BY p_partkey), first_value(y) OVER (ORDER BY p_partkey)) AS uy FROM hit"""
 
 
 @query("SELECT p_partkey FROM hit")
