@@ -39,7 +39,10 @@ def passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     within = np.arange(len(data)) - np.repeat(starts, sizes)
     owner = np.minimum(within // PASSAGE, np.repeat(counts - 1, sizes)) + np.repeat(first, sizes)
     kind = _KINDS[data].astype(np.int64)
-    pairs = np.bincount(owner[:-1] * KINDS * KINDS + kind[:-1] * KINDS + kind[1:], minlength=total * KINDS * KINDS).reshape(total, -1)
+    own = np.ones(len(data), bool)  # the last line feed of a text has no follower
+    own[starts[1:] - 1] = own[-1:] = False
+    at = np.flatnonzero(own)
+    pairs = np.bincount(owner[at] * KINDS * KINDS + kind[at] * KINDS + kind[at + 1], minlength=total * KINDS * KINDS).reshape(total, -1)
     out = np.zeros((total, FEATURES), np.float32)
     out[:, : KINDS * KINDS] = pairs / np.maximum(1, pairs.sum(1, keepdims=True))
     blank = (kind == 1) | (kind == 2)

@@ -1,0 +1,422 @@
+"""Training-data operators against libraries, brute force and round trips, on awkward rows."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+import public_tokenizers
+import pytest
+import sentencepiece
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from terraops.llm import media, near_vectors, ngram_scores, packing, piece_codec, pieces, quality, simhash, token_counts, token_file, toxicity
+from terraops.llm.graph import components
+
+BYTE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE = public_tokenizers.path("piece_bpe_32k.model")
+LIBRARY = Tokenizer.from_file(BYTE)
+SPIECE = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+WORDS = "the of ring small onward, Theatre. notion's 12,5 été 日本 😀 <|endoftext|> a\tb x  y".split(" ")
+CLASH = "text2 string, score double, value long, row long, fp long, shard int, label int, cell int, ids string, length int, component_id long, sequence_id long, root long, node long"
+
+
+def prose(seed, n):
+    draw = random.Random(seed)
+    return " ".join(draw.choice(WORDS) + draw.choice(["", "", ",", ".", "\n"]) for _ in range(n))
+
+
+TEXTS = [prose(1, 60), None, "", " ", "one", "one two", "A b c\x1fd\x85 e", prose(2, 40_000), "x" * 70_000, prose(3, 30), prose(3, 30), prose(1, 60), "ALL CAPS!! " * 40, "aaa aaa aaa " * 30]
+IDS = [5, 3, None, 9, 1, 2, 7, 4, 8, 10, 10, 11, -6, 2**40]
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    rows = [(i, t, "en", "s", None, None, 0.5, 1, 2, 3, 4, 5, 6, "i", 7, 8, 9, 1, 2) for i, t in zip(IDS, TEXTS, strict=True)]
+    return spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {CLASH}").repartition(3).cache()
+
+
+@pytest.fixture(scope="session")
+def labels(spark):
+    return spark.createDataFrame([(i, int(k % 2), int(k % 3 == 0), 1.0) for k, i in enumerate(IDS)] + [(1, None, None, 0.0), (None, 1, 1, 0.0)], "doc_id long, quality int, toxic int, score double")
+
+
+def ids_of(text):
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids
+
+
+def texts_by_id():
+    out = {}
+    for i, t in zip(IDS, TEXTS, strict=True):
+        out.setdefault(i, []).append(t or "")
+    return out
+
+
+alphabet = st.sampled_from(list(" ,.\n\t\x01\x1c\xa0 _'!aBé1日😀́²▁") + ["  ", "the", " ing", "<|endoftext|>", "'s", "</s>", "<0x41>", "aaa", "   "])
+awkward = st.lists(alphabet, max_size=14).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(awkward, max_size=5))
+def test_chunked_ids_are_the_library_s(texts):
+    ids, sizes = pieces.encoder(BYTE).encode(texts)
+    want = [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert token_counts.merger(BYTE).count_texts(texts).tolist() == sizes.tolist()
+
+
+@settings(max_examples=300, deadline=None)
+@given(awkward)
+def test_piece_codec_is_the_library_s(text):
+    codec, want = piece_codec.codec(PIECE), SPIECE.encode(text)
+    assert codec.encode(text) == want and codec.decode([*want, 2]) == SPIECE.decode([*want, 2])
+    ids, decoded = codec.digest(text, 2)
+    assert ids == " ".join(map(str, [*want, 2])) and decoded == SPIECE.decode(want)
+
+
+def test_long_texts_are_cut_in_parts(monkeypatch):
+    text = prose(4, 3000)
+    monkeypatch.setattr(pieces, "PART_CHARS", 50)
+    ids, _ = pieces.encoder(BYTE).encode([text])
+    assert ids.tolist() == ids_of(text)
+
+
+def test_memo_stays_bounded(monkeypatch):
+    coder = pieces.ChunkEncoder(BYTE)
+    coder.memo.room = 50
+    for k in range(20):
+        ids, _ = coder.encode([text := prose(k, 40)])
+        assert ids.tolist() == ids_of(text) and coder.memo.count < 200
+
+
+def test_token_counts(docs):
+    rows = token_counts.token_counts(docs, BYTE).collect()
+    want = Counter((i, len((t or "").encode()), len(ids_of(t)), len(ids_of(t)) > 512) for i, t in zip(IDS, TEXTS, strict=True))
+    assert Counter(map(tuple, rows)) == want
+
+
+def test_token_file(spark, docs):
+    blocks = token_file.write_token_file(docs, BYTE, 2, 3)
+    rows = sorted(map(tuple, token_file.read_token_file(blocks).collect()), key=lambda r: r[1])
+    order = sorted(zip(IDS, TEXTS, strict=True), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    start, want = 0, []
+    for i, text in order:
+        ids = [*ids_of(text), 2]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert rows == want
+    block = token_file.Block(blocks.orderBy("shard", "block").first().body)
+    assert block.document(1).tolist() == [*ids_of(order[1][1]), 2]
+    with pytest.raises(ValueError):
+        token_file.Block(b"nope" + bytes(100))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 2**40) | st.integers(0, 9), max_size=700), st.integers(1, 2**20))
+def test_elias_fano(values, step):
+    values = np.array(sorted(values), np.uint64)
+    again, end = token_file.EliasFano.read(memoryview(b"??" + token_file.EliasFano.of(values).to_bytes()), 2)
+    assert again.values().tolist() == values.tolist()
+    for i in range(0, len(values), max(1, len(values) // 20)):
+        assert again.select(i) == values[i]
+    with pytest.raises(IndexError):
+        again.select(len(values))
+
+
+def test_elias_fano_is_small():
+    ends = np.cumsum(np.random.default_rng(0).integers(1, 2000, 10_000))
+    assert len(token_file.EliasFano.of(ends).to_bytes()) * 8 < 10_000 * (2.2 + math.log2(ends[-1] / 10_000))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 30), max_size=80))
+def test_packing_plan(lengths):
+    capacity, counts = 30, np.bincount(lengths or [0], minlength=31)
+    counts[0] = 0
+    runs, n = packing.plan(counts, capacity)
+    fill: dict[int, list[tuple[int, int]]] = {}
+    seen = Counter()
+    for length, first, pieces_, sequence, each, offset in runs.tolist():
+        assert seen[length] == first
+        seen[length] += pieces_
+        for k in range(pieces_):
+            fill.setdefault(sequence + k // each, []).append((offset + k % each * length, length))
+    assert {k: v for k, v in seen.items() if v} == {k: int(c) for k, c in enumerate(counts) if c} and len(fill) == n
+    for items in fill.values():
+        items.sort()
+        assert [o for o, _ in items] == np.cumsum([0, *[s for _, s in items]])[:-1].tolist() and sum(s for _, s in items) <= capacity
+        assert sum(3 * s > capacity for _, s in items) <= 2
+    bins: list[int] = []
+    for size in sorted(lengths, reverse=True):  # best fit decreasing
+        best = min((b for b in range(len(bins)) if bins[b] >= size), key=lambda b: bins[b], default=None)
+        if best is None:
+            bins.append(capacity)
+            best = -1
+        bins[best] -= size
+    assert n <= len(bins) + 1
+
+
+def test_packed_rows(docs):
+    rows = packing.packed(docs, BYTE, 2, 64).toPandas()
+    want = Counter()
+    for i, text in zip(IDS, TEXTS, strict=True):
+        ids = np.array([*ids_of(text), 2], "<u4")
+        points = [*packing.cut_points(len(ids), 64), len(ids)]
+        want.update((i, k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(points, points[1:], strict=False)))
+    got = Counter((None if pd.isna(r.doc_id) else int(r.doc_id), r.piece, r.start, r.length, r.ids_crc32) for r in rows.itertuples())
+    assert got == want
+    for _, group in rows.groupby("sequence_id"):
+        group = group.sort_values("offset")
+        assert group.offset.tolist() == (group.length.cumsum() - group.length).tolist() and group.length.sum() <= 64
+    whole = packing.sequences(docs, BYTE, 2, 64).toPandas()
+    assert whole.input_ids.map(len).sum() == rows.length.sum() and (whole.input_ids.map(len) == whole.lengths.map(sum)).all()
+
+
+def test_piece_rows(docs):
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    rows = Counter(map(tuple, piece_codec.piece_digests(docs, PIECE, 2).collect()))
+    want = Counter()
+    for i, text in zip(IDS, TEXTS, strict=True):
+        ids = [*SPIECE.encode(text or ""), 2]
+        want[(i, len(ids), sha(" ".join(map(str, ids))), sha(SPIECE.decode(ids)))] += 1
+    assert rows == want
+    back = piece_codec.piece_texts(piece_codec.piece_ids(docs, PIECE, 2), PIECE)
+    assert Counter((r.doc_id, r.text) for r in back.collect()) == Counter((i, t or "") for i, t in zip(IDS, TEXTS, strict=True))
+
+
+def slow_fingerprint(text):
+    words = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    shingles = [" ".join(words)] if 0 < len(words) < 3 else [" ".join(words[k : k + 3]) for k in range(len(words) - 2)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def groups_of(values, linked):
+    parent = list(range(len(values)))
+
+    def find(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for i in range(len(values)):
+        for j in range(i):
+            if linked(values[i], values[j]):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    return [find(k) for k in range(len(values))]
+
+
+def test_simhash(docs):
+    values = [slow_fingerprint(t) for t in TEXTS]
+    root = groups_of(values, lambda a, b: bin(a ^ b).count("1") <= 3)
+    least = {r: min((i for i, q in zip(IDS, root, strict=True) if q == r and i is not None), default=None) for r in root}
+    want = Counter((i, f"{v:016x}", least[r]) for i, v, r in zip(IDS, values, root, strict=True))
+    assert Counter(map(tuple, simhash.simhash_components(docs).collect())) == want
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(set(least.values()))
+
+
+@pytest.mark.parametrize(("bands", "block"), [(1, 16_384), (2, 16_384), (4, 16_384), (4, 40), (2, 64)])
+def test_vantage_trees_lose_no_link(spark, monkeypatch, bands, block):
+    draw = np.random.default_rng(bands)
+    base = draw.integers(0, 2**63, 60, dtype=np.int64)
+    values = list({int(v) ^ sum(1 << int(b) for b in draw.integers(0, 62, draw.integers(0, 4))) for v in base.repeat(6)})
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    monkeypatch.setattr(simhash, "SHARD", 24)
+    edges = simhash.links(spark.createDataFrame([(v,) for v in values], "value long"), 3, bands)
+    found = {r.node: r.root for r in components(edges).collect()}
+    root = groups_of(values, lambda a, b: bin(a ^ b).count("1") <= 3)
+    least = {r: min(v for v, q in zip(values, root, strict=True) if q == r) for r in root}
+    assert {v: found.get(v, v) for v in values} == {v: least[r] for v, r in zip(values, root, strict=True)}
+
+
+def test_components_of_a_chain(spark):
+    n = 60
+    edges = spark.createDataFrame([(k, k + 1) for k in range(n)] + [(5, 5), (3, 2), (100, 101)], "a long, b long")
+    assert {r.node: r.root for r in components(edges).collect()} == {k: 0 for k in range(1, n + 1)} | {101: 100}
+    assert components(edges.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("cell", "block"), [(8_192, 4_096), (20, 4_096), (20, 7)])
+def test_near_vectors(spark, monkeypatch, cell, block):
+    draw = np.random.default_rng(cell)
+    base = draw.normal(size=(40, 8))
+    rows = [(k, [float(x) for x in base[k % 40] + draw.normal(size=8) * 0.1 * (k % 3)], int(k % 2)) for k in range(160)]
+    rows += [(200, rows[0][1], 0), (201, rows[0][1], 0), (201, rows[0][1], 0), (None, rows[0][1], 0), (202, rows[0][1], None), (203, [float(2 * x) for x in rows[0][1]], 0)]
+    rows += [(300, None, 1), (301, [], 1), (302, [0.0] * 8, 1), (303, [float("nan")] + [1.0] * 7, 1), (304, [None] + [1.0] * 7, 1), (305, [float("inf")] * 8, 1), (306, [1.0] * 3, 1), (307, [1.0] * 3, 1)]
+    monkeypatch.setattr(near_vectors, "CELL", cell)
+    monkeypatch.setattr(near_vectors, "BLOCK", block)
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id long, embedding array<double>, label int, node long, weight long")
+    got = Counter(map(tuple, near_vectors.near_vectors(df).collect()))
+
+    def linked(a, b):
+        if a[2] is None or a[2] != b[2] or not a[1] or not b[1] or len(a[1]) != len(b[1]):
+            return False
+        u, v = (np.array(x, float) for x in (a[1], b[1]))
+        if not (np.isfinite(u).all() and np.isfinite(v).all() and u.any() and v.any()):
+            return False
+        return u @ v / np.sqrt((u @ u) * (v @ v)) >= 0.98
+
+    root = groups_of(rows, linked)
+    least = {r: min((x[0] for x, q in zip(rows, root, strict=True) if q == r and x[0] is not None), default=None) for r in root}
+    want = Counter()
+    for k, (row, r) in enumerate(zip(rows, root, strict=True)):
+        n = sum(linked(row, other) for j, other in enumerate(rows) if j != k)
+        want[(row[0], n, least[r], row[0] == least[r])] += 1
+    assert got == want
+
+
+def test_png_round_trip_with_every_filter():
+    draw = np.random.default_rng(1)
+    rows = draw.integers(0, 256, (40, 64), dtype=np.uint8)
+    assert (media.read_png(media.write_png(rows.tobytes())) == rows).all()
+    lines = np.zeros((40, 65), np.uint8)
+    lines[:, 0] = draw.integers(0, 5, 40)
+    for k in range(40):
+        for x in range(64):
+            a, b, c = (int(rows[k, x - 1]) if x else 0), (int(rows[k - 1, x]) if k else 0), (int(rows[k - 1, x - 1]) if k and x else 0)
+            p = a + b - c
+            near = a if abs(p - a) <= abs(p - b) and abs(p - a) <= abs(p - c) else b if abs(p - b) <= abs(p - c) else c
+            lines[k, x + 1] = (int(rows[k, x]) - (0, a, b, (a + b) // 2, near)[lines[k, 0]]) % 256
+    assert (media.unfilter(lines) == rows).all()
+    png = bytearray(media.write_png(b"a" * 64))
+    png[45] ^= 1
+    with pytest.raises(ValueError):
+        media.read_png(bytes(png))
+
+
+def test_media_rows(docs, spark):
+    rows = media.text_media(docs).collect()
+    assert len(rows) == len(IDS)
+    by_id = texts_by_id()
+    for r in rows:
+        texts = [t.encode() for t in by_id[r.doc_id]]
+        assert r.n_bytes in map(len, texts)
+        payloads = [t + bytes(-len(t) % 64 or (0 if t else 64)) for t in texts]
+        assert (r.payload_bytes, r.payload_sha256, r.tail_crc32) in [(len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:])) for p in payloads]
+        assert re.fullmatch("[0-9a-f]{16}", r.feature)
+    nothing = media.media_features(spark.createDataFrame([(1, None)], "doc_id long, media binary")).first()
+    assert nothing.payload_bytes is None and nothing.feature is None
+
+
+def test_ngram_scores(docs):
+    texts, mark = [ids_of(t) for t in TEXTS], LIBRARY.get_vocab_size()
+    grams = [list(zip([mark, *t[:-1]], t, strict=True)) if t else [] for t in texts]
+    c, u = Counter(g for x in grams for g in x), Counter(i for t in texts for i in t)
+    first = Counter()
+    for (a, _), n in c.items():
+        first[a] += n
+    want = Counter()
+    for i, t, g in zip(IDS, texts, grams, strict=True):
+        own, fst, unit, total = Counter(g), Counter(a for a, _ in g), Counter(t), 0.0
+        for a, b in g:
+            rest = c[a, b] - own[a, b]
+            total += math.log(rest / (first[a] - fst[a])) if rest else math.log(0.4 * max(u[b] - unit[b], 0.5) / sum(u.values()))
+        want[(i, len(t), round(total, 5))] += 1
+    got = Counter((r.doc_id, r.n_tokens, round(r.log_score, 5)) for r in ngram_scores.ngram_scores(docs, BYTE).collect())
+    assert got == want
+
+
+def test_levenshtein_trie():
+    terms = ["idiot", "pathetic", "fool", "worthless", "stem*"]
+    trie = toxicity.LevenshteinTrie(terms)
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, before = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+        return row[-1]
+
+    draw = random.Random(3)
+    words = ["idiot", "idi0t", "idiots", "diot", "pathetc", "fool", "foul", "wrthles", "stem", "stems", "stemming", "", "xyz"]
+    for _ in range(3000):
+        word = list(draw.choice(terms[:4]))
+        for _ in range(draw.randint(0, 3)):
+            k = draw.randrange(len(word) + 1)
+            word[k : k + draw.randint(0, 1)] = draw.choice(["", "a", "o", "t", "é"])
+        words.append("".join(word))
+    for word in words:
+        near = [d for t in terms[:4] if (d := distance(word, t)) <= toxicity.errors_allowed(t)]
+        want = 0 if word.startswith("stem") and word != "stem" else min(near, default=-1)
+        assert trie.distance(word) == want, word
+
+
+def test_quotation_is_told_from_abuse():
+    finder = toxicity.Finder(toxicity.TERMS)
+    plain, quoted, reported, wrong = finder.features(["you are an idiot", 'the sign read "an idiot lives here" in red', "he said idiot twice", "what an idoit and idiiot"])
+    assert plain[1] > 0 and plain[6] > 0 and plain[3] == 0
+    assert quoted[1] == 0 and quoted[3] > 0 and reported[3] > 0
+    assert wrong[1] == 0 and wrong[2] > 0
+    model = toxicity.ToxicityModel(tuple(toxicity.TERMS), tuple(toxicity.PRIOR.tolist()))
+    assert model.weights[1] > model.weights[3]
+
+
+def test_classifiers_on_awkward_rows(spark, docs, labels):
+    for result in (toxicity.toxicity(docs, docs, labels), quality.quality(docs, docs, labels), toxicity.toxicity(docs, docs, labels.limit(0)), quality.quality(docs, docs, labels.limit(0))):
+        rows = result.collect()
+        assert sorted(map(str, (r.doc_id for r in rows))) == sorted(map(str, IDS))
+        assert all(0 <= r.score <= 1 and r.predicted in (0, 1) for r in rows)
+    held = {r.doc_id: r.held_out for r in toxicity.toxicity(docs, docs, labels).collect()}
+    assert held == {i: i is not None and zlib.crc32(str(i).encode()) % 3 == 1 for i in IDS}
+    assert quality.of_quality(docs, docs, labels).columns == docs.columns == toxicity.without_toxic(docs, docs, labels).columns
+
+
+def test_passages_do_not_depend_on_their_neighbours():
+    texts = [(t or "").encode() for t in TEXTS]
+    x, sizes = quality.passages(texts)
+    alone = [quality.passages([t])[0] for t in texts]
+    assert sizes.tolist() == [len(a) for a in alone] and np.allclose(x, np.concatenate(alone), atol=1e-6)
+
+
+def test_attention_gradient():
+    draw = np.random.default_rng(0)
+    x, sizes, y = draw.normal(size=(12, quality.FEATURES)).astype(np.float32), np.array([3, 1, 8]), np.array([1.0, 0.0, 1.0])
+    starts, of = np.cumsum(sizes) - sizes, np.repeat(np.arange(3), sizes)
+    shapes = {"enc": (quality.FEATURES, quality.HIDDEN), "enc0": (quality.HIDDEN,), "tan": (quality.HIDDEN, quality.GATE), "gate": (quality.HIDDEN, quality.GATE), "att": (quality.GATE,), "out": (quality.HIDDEN,), "out0": (1,)}
+    model = quality.AttentionModel(0, 1, {k: draw.normal(0, 0.3, s) for k, s in shapes.items()})
+    grad = model._gradient(x, starts, of, y)
+
+    def loss():
+        p = model.score(x, sizes)
+        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+
+    for name, index in (("enc", (3, 2)), ("enc0", (1,)), ("tan", (2, 1)), ("gate", (0, 3)), ("att", (2,)), ("out", (5,)), ("out0", (0,))):
+        w = model.w[name]
+        w[index] += 1e-4
+        up = loss()
+        w[index] -= 2e-4
+        down = loss()
+        w[index] += 1e-4
+        assert grad[name][index] == pytest.approx((up - down) / 2e-4, abs=2e-4)
+
+
+EMPTY = {
+    "token_counts": lambda d, lab: token_counts.token_counts(d, BYTE),
+    "token_file": lambda d, lab: token_file.read_token_file(token_file.write_token_file(d, BYTE, 2)),
+    "packed": lambda d, lab: packing.packed(d, BYTE, 2),
+    "pieces": lambda d, lab: piece_codec.piece_digests(d, PIECE, 2),
+    "simhash": lambda d, lab: simhash.simhash_components(d),
+    "one_of_each": lambda d, lab: simhash.one_of_each(d),
+    "media": lambda d, lab: media.text_media(d),
+    "ngram_scores": lambda d, lab: ngram_scores.ngram_scores(d, BYTE),
+    "toxicity": lambda d, lab: toxicity.toxicity(d, d, lab),
+    "quality": lambda d, lab: quality.quality(d, d, lab),
+    "vectors": lambda d, lab: near_vectors.near_vectors(d.select(F.col("doc_id").alias("vec_id"), F.array(F.lit(1.0)).alias("embedding"), "label")),
+}
+
+
+@pytest.mark.parametrize("name", list(EMPTY))
+def test_empty_table(docs, labels, name):
+    assert EMPTY[name](docs.limit(0), labels).count() == 0

@@ -1,0 +1,57 @@
+"""The registered queries and the pipeline over the smallest tables."""
+
+import os
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+import pytest
+
+import corpus_pipeline
+from terraops.llm import queries
+
+
+@pytest.fixture(scope="module")
+def documents(sf):
+    return pd.read_parquet(f"{sf}/documents.parquet")
+
+
+@pytest.mark.parametrize("name", list(queries.QUERIES))
+def test_a_row_for_each_row(spark, sf, documents, name):
+    rows = queries.QUERIES[name](spark, sf).toPandas()
+    if "embeddings" in name or "metric" in name:
+        assert len(rows) == len(pd.read_parquet(f"{sf}/embeddings.parquet"))
+    else:
+        assert set(rows.doc_id) == set(documents.doc_id)
+        assert "packing" in name or len(rows) == len(documents)
+
+
+@pytest.mark.parametrize(("name", "label", "least"), [("op1_attention_quality", "quality", 0.9), ("op10_levenshtein_toxicity", "toxic", 0.85)])
+def test_held_out_accuracy(spark, name, label, least):
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("the given tables are not here")
+    rows = queries.QUERIES[name](spark, folder).toPandas().merge(pd.read_parquet(f"{folder}/labels.parquet"), on="doc_id")
+    held = rows[rows.held_out]
+    assert len(held) > 30 and np.mean(held.predicted == held[label]) >= least
+
+
+def test_pipeline(spark, sf, documents):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    ids = Counter(documents.doc_id)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf).cache()
+        assert docs.columns == list(documents.columns), name
+        kept = Counter(r.doc_id for r in docs.select("doc_id").collect())
+        assert kept <= ids
+        ids = kept
+    packed = corpus_pipeline.run(spark, sf).toPandas()
+    assert set(packed.doc_id) == set(ids)
+    assert packed.groupby("sequence_id").length.sum().max() <= 1024
+
+
+def test_the_rest_does_not_import_this_package():
+    import subprocess
+
+    found = subprocess.run(["grep", "-rlE", r"terraops\.llm|corpus_pipeline", "terraops", "--include=*.py"], capture_output=True, text=True, cwd=os.path.dirname(corpus_pipeline.__file__)).stdout.split()
+    assert all(f.startswith("terraops/llm/") for f in found)
