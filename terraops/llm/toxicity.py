@@ -34,10 +34,12 @@ CONTEXT, WINDOW = 10, 50
 MODULUS, HELD_OUT, SAMPLE_ROWS, THRESHOLD = 3, 1, 8_000, 0.7
 #: Share of the toxic sample documents that a learned term must be in, the log-odds that it must have, and most terms.
 LEARNED_SHARE, LEARNED_ODDS, LEARNED_MOST, CANDIDATES = 0.004, 3.5, 200, 1_500
+#: Log-odds and number of the weak stems, which clean documents have too, but fewer of.
+WEAK_ODDS, WEAK_MOST = 2.0, 40
 #: Letters of a learned stem, from and to.
 STEM = (3, 8)
-#: Weights before any label is seen: bias, exact, misspelled, quoted, exact a hundred words, in a window, directed.
-PRIOR = np.array([-4.0, 2.5, 0.7, 0.2, 1.0, 0.5, 0.5])
+#: Weights before any label is seen: bias, exact, misspelled, quoted, exact a hundred words, in a window, directed, weak, weak a hundred words.
+PRIOR = np.array([-4.0, 2.5, 0.7, 0.2, 1.0, 0.5, 0.5, 0.2, 0.2])
 PRIOR_SPREAD = 1.5
 
 
@@ -131,20 +133,25 @@ _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "“
 
 
 class Finder:
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: list[str], weak: list[str] = ()):
         self.trie = LevenshteinTrie(terms)
+        self.weak = tuple(weak)
 
     def features(self, texts: list[str]) -> np.ndarray:
         """A row of PRIOR's kinds for each text."""
         split = [t.lower().split() for t in texts]
-        hits = {}
+        hits, weak = {}, set()
         for word in {w for words in split for w in words}:
             bare = word.strip(_EDGES)
             if bare and (far := self.trie.distance(bare)) >= 0:
                 hits[word] = far
-        return np.array([self._row(words, [k for k, w in enumerate(words) if w in hits] if hits else [], hits) for words in split]).reshape(-1, len(PRIOR))
+            elif self.weak and bare.startswith(self.weak):
+                weak.add(word)
+        return np.array([self._row(words, hits, weak) for words in split]).reshape(-1, len(PRIOR))
 
-    def _row(self, words: list[str], at: list[int], hits: dict[str, int]) -> tuple[float, ...]:
+    def _row(self, words: list[str], hits: dict[str, int], weak: set[str]) -> tuple[float, ...]:
+        at = [k for k, w in enumerate(words) if w in hits] if hits else []
+        faint = sum(1 for w in words if w in weak) if weak else 0
         exact = wrong = quoted = directed = 0
         plain = []
         for k in at:
@@ -157,7 +164,7 @@ class Finder:
             wrong += hits[words[k]] > 0
             directed += any(w.strip(_EDGES) in DIRECTED for w in before[-4:] + after[:3])
         dense = max((sum(1 for x in plain[i : i + WINDOW] if x < plain[i] + WINDOW) for i in range(len(plain))), default=0)
-        return (1.0, np.log1p(exact), np.log1p(wrong), np.log1p(quoted), np.log1p(100 * exact / max(len(words), 20)), np.log1p(dense), np.log1p(directed))
+        return (1.0, np.log1p(exact), np.log1p(wrong), np.log1p(quoted), np.log1p(100 * exact / max(len(words), 20)), np.log1p(dense), np.log1p(directed), np.log1p(faint), np.log1p(100 * faint / max(len(words), 20)))
 
     @staticmethod
     def _quoted(word: str, before: list[str], after: list[str]) -> bool:
@@ -173,14 +180,15 @@ class Finder:
 @dataclass(frozen=True)
 class ToxicityModel:
     terms: tuple[str, ...]
+    weak: tuple[str, ...]
     weights: tuple[float, ...]
 
     def score(self, text: Column) -> Column:
         """Probability that the text is toxic; a null text counts as empty."""
-        terms, weights = list(self.terms), np.array(self.weights)
+        terms, weak, weights = list(self.terms), list(self.weak), np.array(self.weights)
 
         def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            finder = Finder(terms)
+            finder = Finder(terms, weak)
             for batch in batches:
                 texts = batch.tolist()
                 rows = [finder.features(texts[a:b]) for a, b in slices(texts)]
@@ -189,8 +197,8 @@ class ToxicityModel:
         return F.pandas_udf(scored, "double")(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def learned_terms(sample: DataFrame) -> tuple[list[str], list[str]]:
-    """Terms and stems that toxic sample documents have and hardly any other, and the fixed terms that clean ones have.
+def learned_terms(sample: DataFrame) -> tuple[list[str], list[str], list[str]]:
+    """Terms and stems that toxic sample documents have and hardly any other, the fixed terms that clean ones have, weak stems.
 
     A stem, written with a * at its end, stands for all longer words that begin with it. Documents that share their
     word of the smallest hash, near copies above all, count once. Terms are taken one at a time, by the toxic
@@ -204,31 +212,40 @@ def learned_terms(sample: DataFrame) -> tuple[list[str], list[str]]:
     sizes = {r["label"]: r["count"] for r in docs.groupBy("label").count().collect()}
     toxic, clean = sizes.get(1.0, 0), sizes.get(0.0, 0)
     if not toxic:
-        return [], []
+        return [], [], []
     stems = F.transform(F.sequence(F.lit(STEM[0]), F.lit(STEM[1])), lambda k: F.transform(F.filter("words", lambda w: F.length(w) > k), lambda w: F.concat(F.substring(w, 1, k), F.lit("*"))))
     terms = F.explode(F.array_distinct(F.concat(F.filter("words", lambda w: F.length(w) > 3), F.flatten(stems)))).alias("term")
     rows = docs.select("label", F.xxhash64("family", "label").alias("doc"), terms)
     counts = rows.groupBy("term").agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c"))
     odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
     least = max(3.0, LEARNED_SHARE * toxic)
-    counts = counts.where((F.col("t") >= least) & (odds >= min(LEARNED_ODDS, float(np.log(2 * clean + 2)) - 1)) | F.col("term").isin(TERMS)).cache()
-    spoilt = [r["term"] for r in counts.where(F.col("term").isin(TERMS) & (F.col("c") > 0.02 * F.col("t") + 1)).collect()]
-    best = counts.where((F.col("t") >= least) & (F.col("c") <= 0.02 * F.col("t") + 1)).orderBy(F.desc("t"), F.length("term"), "term").limit(CANDIDATES)
-    where = rows.where("label = 1").join(F.broadcast(best.select("term")), "term").groupBy("term").agg(F.collect_set("doc").alias("docs")).collect()
+    least_odds = min(LEARNED_ODDS, float(np.log(2 * clean + 2)) - 1)
+    counts = counts.where((F.col("t") >= least) & (odds >= min(least_odds, WEAK_ODDS)) | F.col("term").isin(TERMS)).cache()
+    few = F.col("c") <= 0.02 * F.col("t") + 1
+    spoilt = [r["term"] for r in counts.where(F.col("term").isin(TERMS) & ~few).collect()]
+    order = [F.desc("t"), F.length("term"), "term"]
+    best = counts.where((F.col("t") >= least) & few & (odds >= least_odds)).orderBy(*order).limit(CANDIDATES)
+    faint = counts.where((F.col("t") >= 2 * least) & F.col("term").endswith("*") & (odds >= WEAK_ODDS)).orderBy(F.desc(F.col("t") * (odds - 1)), "term").limit(CANDIDATES)
+    both = best.select("term", F.lit(1.0).alias("gain")).union(faint.select("term", (odds - 1).alias("gain")).join(best, "term", "left_anti"))
+    where = rows.where("label = 1").join(F.broadcast(both), "term").groupBy("term", "gain").agg(F.collect_set("doc").alias("docs")).collect()
+    strong = {r["term"] for r in best.select("term").collect()}
     counts.unpersist()
-    has = {r["term"]: r["docs"] for r in where}  # at most CANDIDATES terms of at most SAMPLE_ROWS / 2 documents
-    weight = dict.fromkeys((d for docs in has.values() for d in docs), 1.0)
-    taken: list[str] = []
-    while has and len(taken) < LEARNED_MOST:
-        worth = {t: sum(weight[d] for d in docs) for t, docs in has.items()}
-        term = max(worth, key=lambda t: (worth[t], -len(t), t))
-        if worth[term] < max(2.5, 0.5 * least):
-            break
-        taken.append(term)
-        for d in has.pop(term):
-            weight[d] /= 2
-        has = {t: docs for t, docs in has.items() if not (term.endswith("*") and t.startswith(term[:-1]))}
-    return taken, spoilt
+    # at most 2 * CANDIDATES terms of at most SAMPLE_ROWS / 2 documents
+    weight = dict.fromkeys((d for r in where for d in r["docs"]), 1.0)
+    picked = []
+    for some, most in (({r["term"]: r for r in where if r["term"] in strong}, LEARNED_MOST), ({r["term"]: r for r in where if r["term"] not in strong}, WEAK_MOST)):
+        taken: list[str] = []
+        while some and len(taken) < most:
+            worth = {t: r["gain"] * sum(weight[d] for d in r["docs"]) for t, r in some.items()}
+            term = max(worth, key=lambda t: (worth[t], -len(t), t))
+            if worth[term] < max(2.5, 0.5 * least):
+                break
+            taken.append(term)
+            for d in some.pop(term)["docs"]:
+                weight[d] /= 2
+            some = {t: r for t, r in some.items() if not (term.endswith("*") and t.startswith(term[:-1]))}
+        picked.append(taken)
+    return picked[0], spoilt, [t[:-1] for t in picked[1]]
 
 
 def fit_toxicity(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
@@ -237,11 +254,11 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
     Without labelled rows the fixed terms and the prior weights hold.
     """
     sample = labelled_sample(documents, labels, "toxic", MODULUS, HELD_OUT, SAMPLE_ROWS, balanced=True)
-    learned, spoilt = learned_terms(sample)
+    learned, spoilt, weak = learned_terms(sample)
     terms = sorted({*TERMS, *learned} - {*spoilt})
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        finder = Finder(terms)
+        finder = Finder(terms, weak)
         for batch in batches:
             texts = batch.text.tolist()
             for a, b in slices(texts):
@@ -249,7 +266,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
 
     found = sample.mapInPandas(rows, "label double, x array<double>").toPandas()
     if found.empty:
-        return ToxicityModel(tuple(terms), tuple(PRIOR.tolist()))
+        return ToxicityModel(tuple(terms), tuple(weak), tuple(PRIOR.tolist()))
     x, y = np.stack(found.x.to_numpy()), found.label.to_numpy()
     weights = PRIOR.copy()
     for _ in range(50):  # Newton's method with a normal prior about PRIOR
@@ -260,7 +277,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame) -> ToxicityModel:
         weights -= step * min(1.0, 2.0 / max(1e-12, np.abs(step).max()))
         if np.abs(step).max() < 1e-9:
             break
-    return ToxicityModel(tuple(terms), tuple(weights.tolist()))
+    return ToxicityModel(tuple(terms), tuple(weak), tuple(weights.tolist()))
 
 
 def toxicity(docs: DataFrame, documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -359,7 +359,7 @@ def test_quotation_is_told_from_abuse():
     assert plain[1] > 0 and plain[6] > 0 and plain[3] == 0
     assert quoted[1] == 0 and quoted[3] > 0 and reported[3] > 0
     assert wrong[1] == 0 and wrong[2] > 0
-    model = toxicity.ToxicityModel(tuple(toxicity.TERMS), tuple(toxicity.PRIOR.tolist()))
+    model = toxicity.ToxicityModel(tuple(toxicity.TERMS), (), tuple(toxicity.PRIOR.tolist()))
     assert model.weights[1] > model.weights[3]
 
 
