@@ -88,9 +88,10 @@ def facets(catalog: DataFrame) -> DataFrame:
     return catalog.select(values).groupBy("f.facet", "f.value").agg(F.count("*").alias("datasets"))
 
 
-def index_by(catalog: DataFrame, key: Column, name: str = "key") -> DataFrame:
-    """Inverted index: (key, dataset_ids in order). A key's list is one row, as its readers want it."""
-    return catalog.select(key.alias(name), "dataset_id").groupBy(name).agg(F.sort_array(F.collect_list("dataset_id")).alias("dataset_ids"))
+def index_by(catalog: DataFrame, key: Column, name: str = "key", parts: int = 64) -> DataFrame:
+    """Inverted index: (key, part, dataset_ids in order). A key's list is dealt into parts, so a hot key is no hot task."""
+    rows = catalog.select(key.alias(name), F.pmod(F.xxhash64("dataset_id"), F.lit(parts)).alias("part"), "dataset_id")
+    return rows.groupBy(name, "part").agg(F.sort_array(F.collect_list("dataset_id")).alias("dataset_ids"))
 
 
 def selected(rows: DataFrame, keys: DataFrame, key: str, invert: bool = False) -> DataFrame:

@@ -16,7 +16,7 @@ def dense_index(df: DataFrame, *order: str | Column, name: str = "index") -> Dat
     part, rank, before = "__part", "__rank", "__before"
     ranged = df.repartitionByRange(n, *order).withColumn(part, F.spark_partition_id())
     ranked = ranged.withColumn(rank, F.row_number().over(Window.partitionBy(part).orderBy(*order)))
-    sizes = ranked.groupBy(part).agg(F.max(rank).alias("__n"))
+    sizes = ranged.groupBy(part).agg(F.count("*").alias("__n"))
     sizes = sizes.select(part, F.coalesce(F.sum("__n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(before))
     # one row a partition: n of them at most
     return ranked.join(F.broadcast(sizes) if n <= 100_000 else sizes, part).withColumn(name, (F.col(before) + F.col(rank) - 1).cast("long")).drop(part, rank, before)
@@ -30,7 +30,7 @@ def first_per_key(df: DataFrame, keys: list[str], *order: str | Column) -> DataF
 
 
 def paths(df: DataFrame, keys: list[str], position: str, x: str = "x", y: str = "y") -> DataFrame:
-    """(keys, path): the points of each key in the order of position."""
+    """(keys, path): the points of each key in the order of position. A path is one row, which a task must hold."""
     rows = F.sort_array(F.collect_list(F.struct(F.col(position).alias("pos"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))))
     return df.groupBy(*keys).agg(F.transform(rows, lambda p: F.struct(p.x.alias("x"), p.y.alias("y"))).alias("path"))
 

@@ -35,13 +35,17 @@ def or_everything(result: DataFrame, everything: DataFrame) -> DataFrame:
     return result.unionByName(everything.join(hits, F.col("__hits") == 0).drop("__hits"))
 
 
-def search(poi: DataFrame, order: list[str | Column], zones: DataFrame | None = None, condition: Column | None = None, centre: DataFrame | None = None, limit: int = 10) -> DataFrame:
-    """Country, attribute and radius filters in this order, then one limit; everything if nothing is left."""
+def search(poi: DataFrame, order: list[str | Column], zones: DataFrame | None = None, condition: Column | None = None, centre: DataFrame | None = None, limit: int = 10, compat: bool = False) -> DataFrame:
+    """Country, attribute and radius filters in this order, then one limit; everything if nothing is left.
+
+    compat: the limit holds after each filter, not only at the end.
+    """
+    cut = (lambda df: df.orderBy(*order).limit(limit)) if compat else (lambda df: df)
     found = poi
     if zones is not None:
-        found = points_in_polygons(found, zones).select(*poi.columns)
+        found = cut(points_in_polygons(found, zones).select(*poi.columns))
     if condition is not None:
-        found = found.where(condition)
+        found = cut(found.where(condition))
     if centre is not None:
-        found = within_radius(found, centre).select(*poi.columns)
+        found = cut(within_radius(found, centre).select(*poi.columns))
     return or_everything(found, poi).orderBy(*order).limit(limit)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terraops.functions import geo
+from terraops.operators.index import first_per_key
 
 CELL = 10.0
 #: Polygons up to this many are broadcast; more are joined by cells through a shuffle.
@@ -43,6 +44,12 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, rings: str = "rin
     return met.where(geo.in_rings(F.col("x"), F.col("y"), F.col(rings))).drop("__cell", "__box")
 
 
+def first_flattened(polygons: DataFrame, name: str, position: str) -> DataFrame:
+    """The first polygon of each name, its rings run together into one: how the old country filter saw them."""
+    first = first_per_key(polygons.select(name, position, "rings"), [name], position)
+    return first.withColumn("rings", F.array(F.flatten("rings")))
+
+
 def within_radius(points: DataFrame, centres: DataFrame, sides: int = 6) -> DataFrame:
     """points x centres (lat, lon, radius_km) where the point lies in the polygon about the centre."""
     ring = geo.circle(F.col("lat"), F.col("lon"), F.col("radius_km"), sides)

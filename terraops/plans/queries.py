@@ -378,7 +378,8 @@ def catalog_facets(spark, sf_dir):
 @query("SELECT publisher, count(*) AS datasets, min(dataset_id) AS first, max(dataset_id) AS last FROM catalog GROUP BY publisher")
 def catalog_index(spark, sf_dir):
     rows = cat.index_by(_catalog(spark, sf_dir), text.publisher(F.col("dataset_id")), "publisher")
-    return rows.select("publisher", F.size("dataset_ids").cast("long").alias("datasets"), F.get("dataset_ids", 0).alias("first"), F.element_at("dataset_ids", -1).alias("last"))
+    ends = F.min(F.get("dataset_ids", 0)).alias("first"), F.max(F.element_at("dataset_ids", -1)).alias("last")
+    return rows.groupBy("publisher").agg(F.sum(F.size("dataset_ids").cast("long")).alias("datasets"), *ends)
 
 
 def _chosen(spark: SparkSession, sf_dir: str) -> DataFrame:

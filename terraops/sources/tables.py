@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +32,17 @@ def catalog(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.CATALOG).option("multiLine", True).json(path)
 
 
+def catalog_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The catalog at path; where there is none, the rows of build() are written there first."""
+    try:
+        return spark.read.schema(schemas.CATALOG).json(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    build().write.json(path)
+    return spark.read.schema(schemas.CATALOG).json(path)
+
+
 def image_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.IMAGES).option("multiLine", True).json(path)
 

@@ -100,6 +100,8 @@ def test_search_falls_back_to_everything(spark):
     assert [r.id for r in poi.search(points, ["id"], zones=zone).collect()] == [1]
     assert [r.id for r in poi.search(points, ["id"], zones=zone, condition=F.col("id") > 1).collect()] == [1, 2]
     assert poi.attribute_query(points, "id", "1", ["x"], ["id"]).count() == 0
+    assert [r.id for r in poi.search(points, ["id"], condition=F.col("id") > 0, centre=spark.createDataFrame([(50.0, 50.0, 10.0)], "lat double, lon double, radius_km double"), limit=1).collect()] == [2]
+    assert [r.id for r in poi.search(points, ["id"], condition=F.col("id") > 0, centre=spark.createDataFrame([(50.0, 50.0, 10.0)], "lat double, lon double, radius_km double"), limit=1, compat=True).collect()] == [1]
     none = points.limit(0)
     assert poi.refine(points, none, F.col("id") > 1).count() == 0
     assert poi.refine(points, none, F.col("id") > 1, compat=True).count() == 1
@@ -150,6 +152,24 @@ def test_catalog_filters(spark, tmp_path):
     assert {tuple(r) for r in catalog.facets(rows).where("facet = 'tag'").collect()} == {("tag", "x", 1), ("tag", "y", 2), ("tag", "z", 1)}
 
 
+def test_catalog_is_built_once(spark, tmp_path):
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.createDataFrame([("a", ["x"], "", "P/1", "T", None, None)], tables.schemas.CATALOG)
+
+    for _ in range(2):
+        assert [r.dataset for r in tables.catalog_or_build(spark, str(tmp_path / "c"), build).collect()] == ["a"]
+    assert built == [1]
+
+
+def test_first_polygon_of_a_name_as_one_ring(spark):
+    rows = [("n", 1, [[(0.0, 0.0)], [(1.0, 1.0)]]), ("n", 0, [[(2.0, 2.0)], [(3.0, 3.0)]])]
+    df = spatial.first_flattened(spark.createDataFrame(rows, "name string, pos int, rings array<array<struct<x:double,y:double>>>"), "name", "pos")
+    assert [[tuple(p) for p in ring] for ring in df.first().rings] == [[(2.0, 2.0), (3.0, 3.0)]]
+
+
 def test_pages(spark):
     page = '<table><tbody><td class="ee-dataset"><a href="/d/N1">n</a></td><td class="ee-dataset-description-snippet">About &amp; more</td><td class="ee-tag-buttons ee-small"><a href="/t/p">p</a><a href="/t/q">q</a><a href="/t/p">p</a></td></tbody></table>'
     rows = html.catalog_rows(spark.createDataFrame([("u", page), ("v", "<tbody><td>bad</td></tbody>"), ("w", None)], "url string, html string")).collect()
