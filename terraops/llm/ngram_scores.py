@@ -9,10 +9,12 @@ number there, dealt into the same buckets and joined with the table there. The p
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +24,10 @@ from terraops.llm.pieces import encoder
 BACKOFF = 0.4
 #: A bigram is in the head if it makes one in so many tokens.
 HEAD = 65_536
-#: Buckets to a shuffle partition, and characters of text whose bigrams a task counts at once.
-BUCKETS, CHARS = 4, 8_000_000
+#: Buckets at least, and to a shuffle partition; bytes of ids whose bigrams a task counts at once.
+BUCKETS, EACH, BYTES = 128, 2, 2_000_000
+#: Chunks that a worker keeps while it encodes: fewer than elsewhere, as later stages need the memory.
+ROOM = 500_000
 #: In place of a count of 0.
 FLOOR = 0.5
 TABLE = "bucket int, grams array<long>, counts array<long>"
@@ -42,12 +46,20 @@ def _runs(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _dealt(bucket: np.ndarray, **columns: np.ndarray) -> pd.DataFrame:
     """One row per bucket with its share of the columns as arrays."""
+    bucket = bucket.astype(np.uint16 if len(bucket) and bucket.max() < 1 << 16 else np.int64)
     order = np.argsort(bucket, kind="stable")
     starts, _ = _runs(bucket[order])
     cut = {name: np.split(values[order], starts[1:]) if len(starts) else [] for name, values in columns.items()}
     return pd.DataFrame({"bucket": bucket[order][starts].astype(np.int32), **cut})
 
 
+def _release() -> None:
+    """Gives back what a reused worker holds of earlier stages."""
+    encoder.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 class Batch:
     """Bigrams (first << 32 | second) of some documents; a text begins after the mark `begin`."""
 
@@ -68,17 +80,22 @@ class Batch:
 
     def by_document(self) -> tuple[np.ndarray, ...]:
         """(owner, gram, times) of each document's distinct bigrams, and the times of both their tokens in it."""
-        width = self.begin + 1
-        gram = np.unique(self.first * width + self.second)
-        code = np.searchsorted(gram, self.first * width + self.second)
-        starts, times = _runs(key := np.sort(self.owner * len(gram) + code))
-        owner, code = key[starts] // len(gram), key[starts] % len(gram)
-        first, second = gram[code] // width, gram[code] % width
-        of = []
-        for tokens, asked in ((self.first, first), (self.second, second)):
-            begin, n = _runs(own := np.sort(self.owner * width + tokens))
-            of.append(n[np.searchsorted(own[begin], owner * width + asked)])
-        return owner, first << 32 | second, times, *of
+        bits = self.begin.bit_length()
+        order = np.argsort(own := self.owner << bits | self.second)
+        starts, n = _runs(own[order])
+        there = np.empty_like(n, shape=len(order))
+        there[order] = np.repeat(n, n)  # of the token at each place
+        begins = (ends := np.cumsum(self.sizes)) - self.sizes
+        begins, ends = begins[self.sizes > 0], ends[self.sizes > 0]
+        before = np.empty_like(there)
+        before[1:] = there[:-1]
+        last = np.repeat(self.second[ends - 1], self.sizes[self.sizes > 0])
+        before -= self.first == last  # the last token has no follower
+        before[begins] = 1
+        order = np.argsort(key := self.owner << 2 * bits | self.first << bits | self.second)
+        starts, times = _runs(key[order])
+        at = order[starts]
+        return self.owner[at], self.first[at] << 32 | self.second[at], times, before[at], there[at]
 
 
 def log_scores(times, counts, firsts, seconds, contexts, unigrams, total) -> np.ndarray:
@@ -97,11 +114,12 @@ def ngram_scores(docs: DataFrame, tokenizer: str) -> DataFrame:
     0. Repeated rows are documents of their own; a null doc_id is kept; other columns are ignored.
     """
     spark = docs.sparkSession
-    buckets = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(BUCKETS, EACH * int(spark.conf.get("spark.sql.shuffle.partitions")))
     begin = encoder(tokenizer).tokenizer.get_vocab_size()
 
     def tokenize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = encoder(tokenizer)
+        _release()
+        coder = encoder(tokenizer, ROOM)
         for batch in batches:
             texts = batch.text.tolist()
             for a, b in slices(texts):
@@ -114,8 +132,9 @@ def ngram_scores(docs: DataFrame, tokenizer: str) -> DataFrame:
     tokens = written(rows.mapInPandas(tokenize, "doc_id long, row long, ids binary"), "tokens")
 
     def batches_of(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, Batch]]:
+        _release()
         for batch in batches:
-            at = batch.ids.map(len).cumsum() // CHARS
+            at = batch.ids.map(len).cumsum() // BYTES
             for _, part in batch.groupby(at):
                 yield part.row.to_numpy(np.int64), Batch([np.frombuffer(x, dtype) for x in part.ids], begin)
 
@@ -157,7 +176,7 @@ def ngram_scores(docs: DataFrame, tokenizer: str) -> DataFrame:
     head_grams, head_counts = head.gram.to_numpy(np.int64), head.n.to_numpy(np.int64)
 
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Tails by bucket; the sums over head bigrams as bucket -1, rows and sums."""
+        """Tails by bucket. The sums over head bigrams have no times; they ride along in a bucket of any number."""
         for names, batch in batches_of(batches):
             owner, gram, times, firsts, seconds = batch.by_document()
             at = np.minimum(np.searchsorted(head_grams, gram), max(len(head_grams) - 1, 0))
@@ -166,29 +185,27 @@ def ngram_scores(docs: DataFrame, tokenizer: str) -> DataFrame:
                 g, t = gram[known], times[known]
                 own = log_scores(t, head_counts[at[known]], firsts[known], seconds[known], contexts[g >> 32], unigrams[g & 0xFFFFFFFF], total)
                 sums = np.bincount(owner[known], own, len(names))
-                yield pd.DataFrame({"bucket": [-1], "grams": [sums.view(np.int64)], "rows": [names], "times": [[]], "firsts": [[]], "seconds": [[]]})
+                yield pd.DataFrame({"bucket": [int(names[0]) % buckets], "grams": [sums.view(np.int64)], "rows": [names], "times": [[]], "firsts": [[]], "seconds": [[]]})
             rest = ~known
             yield _dealt(_bucket(gram[rest], buckets), grams=gram[rest], rows=names[owner[rest]], times=times[rest], firsts=firsts[rest], seconds=seconds[rest])
 
-    exploded = written(tokens.select("row", "ids").mapInPandas(explode, EXPLODED), "exploded")
+    exploded = tokens.select("row", "ids").mapInPandas(explode, EXPLODED)
 
     def join(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty:
+        head = left.times.map(len) == 0
+        rows, sums = left.rows[head].to_list(), [np.ascontiguousarray(x).view(np.float64) for x in left.grams[head]]
+        if not head.all():
+            gram, row, times, firsts, seconds = (np.concatenate(left.loc[~head, c].to_list()) for c in ("grams", "rows", "times", "firsts", "seconds"))
+            table, n = right.grams.iloc[0], right.counts.iloc[0]
+            sums.append(log_scores(times, n[np.searchsorted(table, gram)], firsts, seconds, contexts[gram >> 32], unigrams[gram & 0xFFFFFFFF], total))
+            rows.append(row)
+        if not rows:
             return pd.DataFrame({"row": [], "sum": []})
-        gram, row, times, firsts, seconds = (np.concatenate(left[c].to_list()) for c in ("grams", "rows", "times", "firsts", "seconds"))
-        table, n = right.grams.iloc[0], right.counts.iloc[0]
-        own = log_scores(times, n[np.searchsorted(table, gram)], firsts, seconds, contexts[gram >> 32], unigrams[gram & 0xFFFFFFFF], total)
-        names, at = np.unique(row, return_inverse=True)
-        return pd.DataFrame({"row": names, "sum": np.bincount(at, own, len(names))})
-
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for sums, names in zip(batch.grams, batch.rows, strict=True):
-                yield pd.DataFrame({"row": names, "sum": np.ascontiguousarray(sums).view(np.float64)})
+        names, at = np.unique(np.concatenate(rows), return_inverse=True)
+        return pd.DataFrame({"row": names, "sum": np.bincount(at, np.concatenate(sums), len(names))})
 
-    tails = exploded.where("bucket >= 0").groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInPandas(join, "row long, sum double")
-    heads = exploded.where("bucket < 0").mapInPandas(unpack, "row long, sum double")
-    sums = tails.union(heads).groupBy("row").agg(F.sum("sum").alias("log_score"))
+    parts = exploded.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInPandas(join, "row long, sum double")
+    sums = parts.groupBy("row").agg(F.sum("sum").alias("log_score"))
     n = (F.octet_length("ids") / np.dtype(dtype).itemsize).cast("long").alias("n_tokens")
     out = tokens.select("doc_id", "row", n).join(sums, "row", "left").select("doc_id", "n_tokens", F.coalesce("log_score", F.lit(0.0)).alias("log_score"))
     return out.withColumn("score", F.coalesce(F.try_divide("log_score", "n_tokens"), F.lit(0.0)))

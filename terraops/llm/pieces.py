@@ -123,11 +123,11 @@ class Memo:
 
 
 class ChunkEncoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, room: int = ROOM):
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.cuttable = cuttable(path)
-        self.memo = Memo(self._encode, self.dtype)
+        self.memo = Memo(self._encode, self.dtype, room)
 
     def _encode(self, keys: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(list(map(chunk_of, keys)), add_special_tokens=False)]
@@ -159,6 +159,6 @@ def keyed(memo: Memo, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 @lru_cache(4)
-def encoder(path: str) -> ChunkEncoder:
+def encoder(path: str, room: int = ROOM) -> ChunkEncoder:
     """One a worker and file."""
-    return ChunkEncoder(path)
+    return ChunkEncoder(path, room)
