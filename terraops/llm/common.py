@@ -83,7 +83,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, modulus
 
     The fold of a document is crc32(doc_id as text) mod modulus. The sample is the rows of the smallest hashes of
     doc_id, or half of it from either label if balanced; a bound, whatever the input. Ids that are null, labels other
-    than 0 and 1 and documents without a text are left out; an id that is labelled twice counts once.
+    than 0 and 1 and documents without a text are left out; an id that is labelled twice or has several texts counts once.
     """
     known = labels.select(column(labels, "doc_id", "long").alias("doc_id"), column(labels, label, "int").alias("label"))
     known = known.where("doc_id is not null and label in (0, 1)").where(F.crc32(F.col("doc_id").cast("string")) % modulus != held_out)
@@ -92,8 +92,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, modulus
     parts = [known.where(F.col("label") == k).orderBy(*order).limit(rows // 2) for k in (0, 1)] if balanced else [known.orderBy(*order).limit(rows)]
     drawn = parts[0] if len(parts) == 1 else parts[0].union(parts[1])
     texts = documents.select(column(documents, "doc_id", "long").alias("doc_id"), column(documents, "text", "string").alias("text")).where("text is not null")
-    found = texts.join(F.broadcast(drawn), "doc_id").select("label", "text").limit(rows)  # at most rows ids are broadcast
-    return written(found, "sample")
+    found = texts.join(F.broadcast(drawn), "doc_id")  # at most rows ids are broadcast
+    return written(found.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("text").alias("text")).drop("doc_id"), "sample")
 
 
 def fold(docs: DataFrame, modulus: int, held_out: int) -> Column:
