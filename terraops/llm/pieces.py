@@ -11,6 +11,7 @@ import json
 import os
 import re
 from functools import lru_cache
+from itertools import chain
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks already use every core
 
@@ -45,7 +46,12 @@ def cuttable(path: str) -> bool:
 
 def plain(text: str) -> bool:
     """Whether every space, comma, full stop and line feed of the text stands where it may be cut."""
-    return not ("  " in text or " \n" in text or "\n\n" in text or text[:1] == "\n" or text[-1:] == " " or BARE in text or _BLANK.search(text) or _RUN.search(text))
+    return not ("  " in text or " \n" in text or "\n\n" in text or text[:1] == "\n" or text[-1:] == " " or BARE in text or _odd_blank(text) or _RUN.search(text))
+
+
+def _odd_blank(text: str) -> bool:
+    """Whether the text has white space other than spaces and line feeds; most texts pass the quicker test."""
+    return not text.replace("\n", " ").isprintable() and _BLANK.search(text) is not None
 
 
 def chunks(text: str) -> list[str]:
@@ -70,6 +76,19 @@ def parts(text: str) -> list[str]:
     return out
 
 
+class _Codes(dict):
+    """Codes by key; a key that is asked for first gets the next code and is noted in new."""
+
+    def __init__(self):
+        super().__init__()
+        self.base, self.new = 0, []
+
+    def __missing__(self, key: str) -> int:
+        code = self[key] = self.base + len(self.new)
+        self.new.append(key)
+        return code
+
+
 class Memo:
     """Ragged integer arrays by chunk: code -> values[starts[code]:starts[code] + sizes[code]]."""
 
@@ -78,37 +97,39 @@ class Memo:
         self.clear()
 
     def clear(self) -> None:
-        self.code: dict[str, int] = {}
+        self.code = _Codes()
         self.values = np.empty(1 << 16, self.dtype)
         self.sizes = np.empty(1 << 14, np.int64)
         self.starts = np.empty(1 << 14, np.int64)
         self.count = self.filled = 0
 
-    def add(self, rows: list) -> int:
-        """Appends rows and returns the code of the first."""
+    def add(self, rows: list) -> None:
+        """Appends rows under the next codes."""
         n, sizes = len(rows), np.fromiter(map(len, rows), np.int64, len(rows))
+        total = int(sizes.sum())
         while self.count + n > len(self.sizes):
             self.sizes, self.starts = (np.concatenate([x, np.empty_like(x)]) for x in (self.sizes, self.starts))
-        while self.filled + int(sizes.sum()) > len(self.values):
+        while self.filled + total > len(self.values):
             self.values = np.concatenate([self.values, np.empty_like(self.values)])
-        first = self.count
-        self.sizes[first : first + n] = sizes
-        self.starts[first : first + n] = self.filled + np.cumsum(sizes) - sizes
-        flat = np.concatenate([np.asarray(r, self.dtype) for r in rows]) if n else np.empty(0, self.dtype)
-        self.values[self.filled : self.filled + len(flat)] = flat
-        self.count, self.filled = first + n, self.filled + len(flat)
-        return first
+        self.sizes[self.count : self.count + n] = sizes
+        self.starts[self.count : self.count + n] = self.filled + np.cumsum(sizes) - sizes
+        self.values[self.filled : self.filled + total] = np.fromiter(chain.from_iterable(rows), self.dtype, total)
+        self.count, self.filled = self.count + n, self.filled + total
 
     def codes(self, keys: list[str]) -> np.ndarray:
         """Codes of keys. Those of long keys hold until the next call of fresh()."""
-        found = list(map(self.code.get, keys))
-        if None in found:
-            new = list({k for k, c in zip(keys, found, strict=True) if c is None})
-            first = self.add(self.encode(new))
-            mine = dict(zip(new, range(first, first + len(new)), strict=True))
-            self.code.update(mine if max(map(len, new)) <= KEPT_CHARS else {k: c for k, c in mine.items() if len(k) <= KEPT_CHARS})
-            found = [mine[k] if c is None else c for k, c in zip(keys, found, strict=True)]
-        return np.array(found, np.int64)
+        self.code.base, self.code.new = self.count, []
+        found = np.fromiter(map(self.code.__getitem__, keys), np.int64, len(keys))
+        if new := self.code.new:
+            try:
+                self.add(self.encode(new))
+            except BaseException:
+                self.clear()  # else the new codes would stand for nothing
+                raise
+            for key in new:
+                if len(key) > KEPT_CHARS:
+                    del self.code[key]
+        return found
 
     def fresh(self) -> None:
         """Empties the dictionary once it is full, so that a worker's memory stays bounded."""
