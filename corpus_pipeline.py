@@ -10,10 +10,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from terraops.llm.common import table, written
+from terraops.llm.near_texts import one_of_each_text
 from terraops.llm.packing import packed
 from terraops.llm.quality import of_quality
 from terraops.llm.queries import BYTE_BPE, END_ID
-from terraops.llm.simhash import one_of_each
 from terraops.llm.toxicity import without_toxic
 
 
@@ -28,12 +28,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of linked fingerprints.
+    """Keeps one document of each group of linked texts.
 
-    As in the operator's contract, shingles have three words and fingerprints link at three bits or fewer;
-    transitively linked documents are one group, of which that of the smallest doc_id stays.
+    Texts link when the Jaccard similarity of their sets of five-word shingles is 0.8 or more; transitively
+    linked documents are one group, of which that of the smallest doc_id stays.
     """
-    return one_of_each(docs)
+    return one_of_each_text(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
