@@ -5,10 +5,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Characters of text that a task holds in Python objects at a time.
@@ -19,14 +18,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def column(df: DataFrame, name: str, kind: str) -> Column:
-    """df's column cast to kind; null where df lacks it. Names are matched exactly, extra columns are ignored."""
-    return df[f"`{name}`"].cast(kind) if name in df.columns else F.lit(None).cast(kind)
+def numbered(df: DataFrame) -> DataFrame:
+    """df with its columns named c0, c1, ...: names that differ in case alone, or not at all, no longer clash."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))])
 
 
-def text_of(df: DataFrame) -> Column:
-    """The text, empty where null."""
-    return F.coalesce(column(df, "text", "string"), F.lit(""))
+def field(df: DataFrame, name: str, kind: str) -> Column:
+    """The column of numbered(df) that df calls exactly name, cast to kind; null where df lacks it."""
+    return (F.col(f"c{df.columns.index(name)}") if name in df.columns else F.lit(None)).cast(kind)
+
+
+def given(df: DataFrame, **kinds: str) -> DataFrame:
+    """The columns of these names and kinds alone; null where df lacks one. All other columns are ignored."""
+    return numbered(df).select(*[field(df, name, kind).alias(name) for name, kind in kinds.items()])
+
+
+def texts_of(docs: DataFrame) -> DataFrame:
+    """(doc_id long, text string) of docs; a null text is empty."""
+    return given(docs, doc_id="long", text="string").withColumn("text", F.coalesce("text", F.lit("")))
+
+
+def kept_where(docs: DataFrame, condition: Callable[[Column], Column]) -> DataFrame:
+    """The rows of docs, all columns as they are, for whose text (empty where null) the condition holds."""
+    return numbered(docs).where(condition(F.coalesce(field(docs, "text", "string"), F.lit("")))).toDF(*docs.columns)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -47,9 +61,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/terraops-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    atexit.register(_drop, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    rows = numbered(df)
+    rows.write.parquet(path)
+    atexit.register(_drop, spark, path.rpartition("/")[0])
+    return spark.read.schema(rows.schema).parquet(path).toDF(*df.columns)
 
 
 def _drop(spark: SparkSession, path: str) -> None:
@@ -74,28 +89,29 @@ def slices(texts: list[str], at_once: int = CHARS_AT_ONCE) -> Iterator[tuple[int
         yield begin, len(texts)
 
 
-def framed(**columns) -> pd.DataFrame:
-    return pd.DataFrame(columns)
-
-
-def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, rows: int, balanced: bool = False) -> DataFrame:
+def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, rows: int, n_bytes: int, balanced: bool = False) -> DataFrame:
     """(label double, text) of at most rows labelled documents outside the held-out fold, written to the shared folder.
 
+    Their whole texts have at most n_bytes together: rows are taken in the order of the sample while they fit.
+
     The fold of a document is crc32(doc_id as text) mod modulus. The sample is the rows of the smallest hashes of
     doc_id, or half of it from either label if balanced; a bound, whatever the input. Ids that are null, labels other
     than 0 and 1 and documents without a text are left out; an id that is labelled twice or has several texts counts once.
     """
-    known = labels.select(column(labels, "doc_id", "long").alias("doc_id"), column(labels, label, "int").alias("label"))
+    known = given(labels, doc_id="long", **{label: "int"}).withColumnRenamed(label, "label")
     known = known.where("doc_id is not null and label in (0, 1)").where(F.crc32(F.col("doc_id").cast("string")) % modulus != held_out)
     known = known.groupBy("doc_id").agg(F.max("label").cast("double").alias("label"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     parts = [known.where(F.col("label") == k).orderBy(*order).limit(rows // 2) for k in (0, 1)] if balanced else [known.orderBy(*order).limit(rows)]
     drawn = parts[0] if len(parts) == 1 else parts[0].union(parts[1])
-    texts = documents.select(column(documents, "doc_id", "long").alias("doc_id"), column(documents, "text", "string").alias("text")).where("text is not null")
+    texts = given(documents, doc_id="long", text="string").where("text is not null")
     found = texts.join(F.broadcast(drawn), "doc_id")  # at most rows ids are broadcast
-    return written(found.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("text").alias("text")).drop("doc_id"), "sample")
+    found = written(found.where(F.octet_length("text") <= n_bytes).groupBy("doc_id").agg(F.min("label").alias("label"), F.min("text").alias("text")), "found")
+    held = F.sum(F.octet_length("text").cast("long")).over(Window.orderBy(*order))  # over lengths of at most rows texts
+    fitting = found.select("doc_id", held.alias("held")).where(F.col("held") <= n_bytes).select("doc_id")
+    return written(found.join(F.broadcast(fitting), "doc_id", "left_semi").select("label", "text"), "sample")
 
 
-def fold(docs: DataFrame, modulus: int, held_out: int) -> Column:
+def fold(doc_id: Column, modulus: int, held_out: int) -> Column:
     """Whether a row is in the held-out fold; false where doc_id is null."""
-    return F.coalesce(F.crc32(column(docs, "doc_id", "long").cast("string")) % modulus == held_out, F.lit(False))
+    return F.coalesce(F.crc32(doc_id.cast("string")) % modulus == held_out, F.lit(False))

@@ -1,11 +1,12 @@
 """One of each group of texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, exactly.
 
-Two sets of a and b shingles that are so similar share one of the first a // 5 + 1 and b // 5 + 1 in any
-order that is the same for all texts. In the order used here rare shingles come first: those found in several
-texts of a sample come last, the most frequent at the end. The sample decides what the search costs, never
-what it finds. Texts that meet at such a shingle are compared as whole sets: first all with one of the
-shingle's texts, then those that are not yet in one group with each other. Sizes and parities spare comparisons
-that cannot link.
+SimHash comes first: texts whose fingerprints over five-word shingles the vantage-point trees link are compared as
+whole sets, which finds most links. Fingerprints of 64 bits cannot find all: sets of similarity 0.8 differ in some
+ten bits, where any two texts would have to be compared. So the rest is searched by the shingles themselves. Two
+sets of a and b shingles that are so similar share one of the first a // 5 + 1 and b // 5 + 1 in any order that is
+the same for all texts; here it is the order of rarity in the whole corpus, counted in a fixed number of counters.
+Texts that meet at such a shingle are compared as whole sets: first all with one of the shingle's texts, then
+those that are not yet in one group with it. Sizes and parities spare comparisons that cannot link.
 """
 
 from __future__ import annotations
@@ -15,21 +16,23 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraops.llm.common import column, text_of, written
+from terraops.llm.common import field, numbered, slices, texts_of, written
 from terraops.llm.graph import components
-from terraops.llm.simhash import shingle_hashes
+from terraops.llm.simhash import fingerprints, links, shingle_hashes
 
 WORDS = 5
-#: Texts that the order is made from and their characters, texts of these that make a shingle frequent, most such shingles.
-SAMPLE, SAMPLE_CHARS, OFTEN, LISTED = 8_192, 20_000, 3, 65_536
-#: Most row numbers that are broadcast; more are joined by a shuffle.
+#: Counters of the corpus's shingles, a power of two, and how many of them make one row on the way.
+COUNTERS, SEGMENT = 1 << 20, 1 << 12
+#: Most row keys that are broadcast; more are joined by a shuffle.
 BROADCAST = 1_048_576
-#: Bits of a set's parities where texts meet and of those that each pair is tested by; rounds in which the texts of a shingle meet one of them before all are compared.
-PARITY, WIDE, ROUNDS = 256, 2_048, 2
-_ROW, _SHINGLES = "__terraops_row", "__terraops_shingles"
+#: Bits of a set's parities where texts meet and of those that each pair is tested by.
+PARITY, WIDE = 256, 2_048
+#: What tells rows apart: the id and 128 bits of the text's hash.
+IDENTITY = ["doc_id", "h1", "h2"]
 
 
 def shingle_set(text: str) -> np.ndarray:
@@ -42,29 +45,40 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
     return 9 * len(np.intersect1d(a, b, assume_unique=True)) >= 4 * (len(a) + len(b))
 
 
-def frequent(docs: DataFrame) -> np.ndarray:
-    """Shingles of several texts of a sample, the rarer first."""
-    rows = docs.select(F.substring(text_of(docs), 1, SAMPLE_CHARS).alias("text"), (F.xxhash64(column(docs, "doc_id", "long"), text_of(docs)) % F.lit(2**31)).alias("draw"))
-    share = min(1.0, SAMPLE / max(docs.count(), 1))
-    drawn = rows.where(F.abs("draw") <= F.lit(int(share * 2**31))).limit(2 * SAMPLE).select("text").distinct()
+def counted(texts: DataFrame) -> np.ndarray:
+    """For each counter how many shingles of all texts (text) fall to it; a text's repeats count once."""
 
-    def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    counters, segment = COUNTERS, SEGMENT
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(counters, np.int64)
         for batch in batches:
-            sets = [shingle_set(t) for t in batch.text]
-            yield pd.DataFrame({"shingle": np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)})
+            for a, b in slices(texts := batch.text.tolist()):
+                at = np.concatenate([np.empty(0, np.uint64), *[shingle_set(t) for t in texts[a:b]]])
+                total += np.bincount((at % np.uint64(counters)).astype(np.int64), minlength=counters)
+        yield from _segments(range(counters // segment), total.reshape(-1, segment), TaskContext.get().partitionId())
+
+    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return next(_segments([key[0]], [np.sum(rows.n.to_list(), axis=0)], 0))
+
+    schema = "segment int, task int, n array<long>"
+    parts = texts.select("text").mapInPandas(count, schema)
+    for fan in (64, 1):  # so many sums of a segment at first, then the whole
+        parts = parts.withColumn("task", F.col("task") % fan).groupBy("segment", "task").applyInPandas(add, schema)
+    out = np.zeros((counters // segment, segment), np.int64)
+    for r in parts.collect():
+        out[r["segment"]] = r["n"]
+    return out.ravel()
 
-    counts = drawn.mapInPandas(shingles, "shingle long").groupBy("shingle").count().where(F.col("count") >= OFTEN)
-    found = counts.orderBy(F.desc("count"), "shingle").limit(LISTED).toPandas()
-    return found.shingle.to_numpy(np.int64).view(np.uint64)[::-1]
 
+def _segments(numbers, sums, task: int) -> Iterator[pd.DataFrame]:
+    yield pd.DataFrame({"segment": list(numbers), "task": task, "n": list(sums)})
 
-def coded(shingles: np.ndarray, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Numbers in the order of the search: 62 bits of rare shingles, above them the ranks of the listed ones."""
-    out = (shingles >> np.uint64(2)).astype(np.int64)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
-        out = np.where(common[at] == shingles, 2**62 + rank[at], out)
-    return np.sort(out)
+
+def coded(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Numbers in the order of the search: 20 bits of a shingle's counter, the rarer first, and 43 of the shingle."""
+    rank = np.minimum(counts[(shingles % np.uint64(len(counts))).astype(np.int64)], (1 << 20) - 1)
+    return np.sort(rank << 43 | (shingles >> np.uint64(21)).astype(np.int64))
 
 
 def parities(shingles: np.ndarray, bits: int = PARITY) -> np.ndarray:
@@ -73,30 +87,38 @@ def parities(shingles: np.ndarray, bits: int = PARITY) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def described(text: Column, listed: np.ndarray) -> Column:
-    """(key, size, bits, wide, first) of a text: a hash of its set, the number of shingles, parities and what it can be found by."""
-    rank = np.argsort(listed)
-    common = listed[rank]
+def described(text: Column, counts: np.ndarray) -> Column:
+    """(key, fp, size, bits, wide, first) of a text: a hash of its set, the SimHash, the number of shingles, parities and what it can be found by."""
 
     def rows_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            key, size, bits, wide, first = [], [], [], [], []
-            for t in batch:
-                own = shingle_set(t)
-                key.append(xxhash.xxh64_intdigest(own.tobytes()) - 2**63)
-                size.append(len(own))
-                bits.append(parities(own))
-                wide.append(parities(own, WIDE))
-                first.append(coded(own, common, rank)[: len(own) // 5 + 1])
-            yield pd.DataFrame({"key": np.array(key, np.int64), "size": np.array(size, np.int32), "bits": bits, "wide": wide, "first": first})
+            texts, frames = batch.tolist(), []
+            for a, b in slices(texts):
+                hashes = [shingle_hashes(t, WORDS) for t in texts[a:b]]
+                sets = [np.unique(np.array(h, np.uint64)) for h in hashes]
+                frames.append(pd.DataFrame({
+                    "key": np.array([xxhash.xxh64_intdigest(s.tobytes()) - 2**63 for s in sets], np.int64),
+                    "fp": fingerprints(hashes), "size": np.array([len(s) for s in sets], np.int32),
+                    "bits": [parities(s) for s in sets], "wide": [parities(s, WIDE) for s in sets],
+                    "first": [coded(s, counts)[: len(s) // 5 + 1] for s in sets],
+                }))
+            yield pd.concat(frames, ignore_index=True) if frames else pd.DataFrame({c: [] for c in ("key", "fp", "size", "bits", "wide", "first")})
 
-    return F.pandas_udf(rows_of, "key long, size int, bits array<long>, wide array<long>, first array<long>")(text)
+    return F.pandas_udf(rows_of, "key long, fp long, size int, bits array<long>, wide array<long>, first array<long>")(text)
 
 
 def _few(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST else rows
 
 
+def _identified(texts: DataFrame) -> DataFrame:
+    return texts.withColumn("h1", F.xxhash64("text")).withColumn("h2", F.xxhash64(F.lit(1), "text"))
+
+
+def _same(a: DataFrame, b: DataFrame) -> Column:
+    return a.doc_id.eqNullSafe(b.doc_id) & (a.h1 == b.h1) & (a.h2 == b.h2)
+
+
 def _similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         kept, last, own = [], None, None
@@ -107,77 +129,105 @@ def _similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[np.array(kept, bool), ["a", "b"]]
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of stored pairs (a, b) of rows whose texts (row, text) are alike."""
-    rows = written(pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct(), "rows")
-    met = written(texts.join(_few(rows), "row", "left_semi"), "met")
-    both = pairs.join(met.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
-    both = both.join(met.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
+def verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of pairs (a, b) of sets (key) whose texts are alike; texts are rows (doc_id, text)."""
+    pairs = written(possible(pairs, sets), "pairs")
+    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    wanted = written(sets.join(_few(written(keys, "keys")), "key").select("key", "best.*"), "wanted")
+    named = _identified(texts)
+    met = named.join(few := _few(wanted), _same(named, few)).select("key", "text").dropDuplicates(["key"])
+    met = written(met, "met")
+    both = pairs.join(met.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
+    both = both.join(met.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
     return written(both.select("a", "b", "text_a", "text_b").mapInPandas(_similar, "a long, b long"), "similar")
 
 
+def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b), a < b, that sizes and the wide parities leave room for."""
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
+    for c in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("key").alias(c), F.col("size").alias(f"size_{c}"), F.col("wide").alias(f"wide_{c}")), c)
+    return pairs.where(9 * _apart("wide_a", "wide_b", WIDE) <= F.col("size_a") + F.col("size_b")).select("a", "b")
+
+
 def _may_link(a: str, b: str) -> Column:
     """Whether the sizes and parities of two sets leave room for a link; no link is ruled out.
 
     A link needs that the sets differ in at most a ninth of the sum of their sizes, and the bits in which their
     parities differ are never more than the shingles in which the sets do.
     """
-    return (F.col(f"{a}.root") != F.col(f"{b}.root")) & (9 * _apart(f"{a}.bits", f"{b}.bits", PARITY) <= F.col(f"{a}.size") + F.col(f"{b}.size"))
+    total = F.col(f"{a}.size") + F.col(f"{b}.size")
+    return (F.col(f"{a}.root") != F.col(f"{b}.root")) & (9 * F.abs(F.col(f"{a}.size") - F.col(f"{b}.size")) <= total) & (9 * _apart(f"{a}.bits", f"{b}.bits", PARITY) <= total)
 
 
 def _apart(a: str, b: str, bits: int) -> Column:
     return sum((F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(bits // 64)), F.lit(0))
 
 
-def links(sets: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, root) of all rows of stored sets (row, size, bits, wide, first) that are linked, texts (row, text) being theirs."""
+def by_fingerprint(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets (key, fp): those that have a fingerprint with its least key, and these along the trees' links."""
+    values = written(sets.groupBy("fp").agg(F.min("key").alias("least")), "values")
+    edges = links(values.select(F.col("fp").alias("value")))
+    ends = edges.join(values.select(F.col("fp").alias("a"), F.col("least").alias("x")), "a").join(values.select(F.col("fp").alias("b"), F.col("least").alias("y")), "b")
+    return sets.join(values, "fp").select(F.col("key").alias("a"), F.col("least").alias("b")).union(ends.select("x", "y"))
+
+
+def set_links(marked: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, root) of the keys of all sets that are linked."""
+    found = verified(by_fingerprint(sets), sets, texts)
     at = Window.partitionBy("shingle")
-    met = sets.select("row", F.explode("first").alias("shingle")).withColumn("n", F.count("*").over(at)).where("n > 1").drop("n")
-    shared = written(met.join(sets.select("row", "size", "bits"), "row").select("shingle", "row", "size", "bits"), "shared")
-    found, roots = None, None
-    for turn in range(ROUNDS):
-        named = _named(shared, roots)
-        lead = F.min(F.struct(F.xxhash64("row", "shingle", F.lit(turn)), "row", "own")).over(at)  # each shingle has another text that its others meet
-        pairs = named.withColumn("lead", lead).select("row", "own", F.col("lead.row").alias("other"), F.col("lead.own").alias("other_own")).where(_may_link("own", "other_own"))
-        similar = verified(written(_pairs(pairs, sets), "pairs"), texts)
-        found = similar if found is None else found.union(similar)
-        roots = components(found)
-    named = _named(shared, roots)
-    other = named.select("shingle", F.col("row").alias("other"), F.col("own").alias("other_own"))
-    pairs = named.join(other, "shingle").where((F.col("row") < F.col("other")) & _may_link("own", "other_own"))
-    return components(found.union(verified(written(_pairs(pairs, sets), "pairs"), texts)))
-
-
-def _named(shared: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """shared as (shingle, row, own), own being a set's root, size and parities."""
-    both = shared.withColumn("root", F.col("row")) if roots is None else shared.join(roots.withColumnRenamed("node", "row"), "row", "left")
-    return both.select("shingle", "row", F.struct(F.coalesce("root", "row").alias("root"), "size", "bits").alias("own"))
-
-
-def _pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of rows (row, other) that the wide parities leave room for."""
-    pairs = rows.select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")).distinct()
-    for c in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("row").alias(c), F.col("size").alias(f"size_{c}"), F.col("wide").alias(f"wide_{c}")), c)
-    return pairs.where(9 * _apart("wide_a", "wide_b", WIDE) <= F.col("size_a") + F.col("size_b")).select("a", "b")
+    met = marked.select("key", F.explode("first").alias("shingle"))
+    met = met.withColumn("others", F.min("key").over(at) != F.max("key").over(at)).where("others").select("shingle", "key").distinct()
+    shared = written(met.join(sets.select("key", "size", "bits"), "key").select("shingle", "key", "size", "bits"), "shared")
+    named = written(_led(_rooted(shared, components(found))), "named")
+    pairs = named.where(_may_link("own", "lead")).select(F.col("own.key").alias("a"), F.col("lead.key").alias("b"))
+    found = found.union(verified(pairs, sets, texts))
+    named = written(_led(_rooted(shared, components(found))), "named")
+    others = named.select("shingle", F.col("own").alias("other"))
+    apart = named.where(F.col("own.root") != F.col("lead.root"))  # what is in one group with the lead meets these alone
+    turn = (F.col("own.key") < F.col("other.key")) | (F.col("other.root") == F.col("lead.root"))
+    pairs = apart.join(others, "shingle").where(turn & _may_link("own", "other")).select(F.col("own.key").alias("a"), F.col("other.key").alias("b"))
+    return components(found.union(verified(pairs, sets, texts)))
+
+
+def _rooted(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """(shingle, own), own being a set's key, root, size and parities."""
+    both = shared.join(roots.withColumnRenamed("node", "key"), "key", "left")
+    return both.select("shingle", F.struct("key", F.coalesce("root", "key").alias("root"), "size", "bits").alias("own"))
+
+
+def _led(rows: DataFrame) -> DataFrame:
+    """rows with lead, one of each shingle's own."""
+    lead = F.min(F.struct(F.xxhash64("own.key", "shingle").alias("draw"), "own")).over(Window.partitionBy("shingle"))
+    return rows.withColumn("lead", lead).select("shingle", "own", F.col("lead.own").alias("lead"))
 
 
 def one_of_each_text(docs: DataFrame) -> DataFrame:
     """docs with one row for each group of linked texts: that of the smallest doc_id, all columns as they are.
 
     Words and shingles are those of op6, but five words long; texts of fewer words are one shingle, and all texts
-    without words (null, empty, blank) are alike. Of rows that share this doc_id one stays. If all ids of a
-    group are null, one row stays.
+    without words (null, empty, blank) are alike. Of rows that share this doc_id and text one stays. If all ids of
+    a group are null, one row stays. Columns may have any name; an empty table gives no rows.
     """
-    numbered = docs.withColumn(_ROW, F.monotonically_increasing_id())
-    marked = written(numbered.withColumn(_SHINGLES, described(text_of(docs), frequent(docs))), "marked")
-    texts = marked.select(F.col(_ROW).alias("row"), text_of(marked).alias("text"))
-    rows = marked.select(F.col(_ROW).alias("row"), column(marked, "doc_id", "long").alias("doc_id"), F.col(f"{_SHINGLES}.*"))
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row")).alias("best")
-    sets = written(rows.groupBy("key").agg(best, F.first("size").alias("size"), F.first("bits").alias("bits"), F.first("wide").alias("wide"), F.first("first").alias("first")).select("key", "best", F.col("best.row").alias("row"), "size", "bits", "wide", "first"), "sets")
-    roots = links(sets, texts)
-    named = sets.join(roots, sets.row == roots.node, "left").select("best", F.coalesce("root", "row").alias("root"))
-    kept = named.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias(_ROW))
-    dropped = written(marked.select(_ROW).join(kept, _ROW, "left_anti"), "dropped")
-    once = marked.join(_few(dropped), _ROW, "left_anti")
-    return once.select(*[F.col(f"`{c}`") for c in docs.columns])
+    texts = texts_of(docs)
+    marked = _identified(texts).withColumn("d", described(F.col("text"), counted(texts)))
+    marked = written(marked.select(*IDENTITY, "d.*"), "marked")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("without"), *IDENTITY)).alias("best")
+    figures = [F.first(c).alias(c) for c in ("fp", "size", "bits", "wide")]
+    sets = written(marked.groupBy("key").agg(best, *figures), "sets")
+    roots = set_links(marked, sets, texts)
+    named = written(sets.join(roots, sets.key == roots.node, "left").select("key", "best", F.coalesce("root", "key").alias("root")), "roots")
+    chosen = named.groupBy("root").agg(F.min("best").alias("best")).select(*[F.col(f"best.{c}").alias(c) for c in IDENTITY])
+    rows = marked.groupBy(*IDENTITY).agg(F.count("*").alias("times"))
+    chosen = chosen.withColumn("chosen", F.lit(True))
+    rows = written(rows.join(chosen, _same(rows, chosen), "left").select(*[rows[c] for c in IDENTITY], "times", F.coalesce("chosen", F.lit(False)).alias("chosen")), "chosen")
+    own = numbered(docs).withColumns({"doc_id": field(docs, "doc_id", "long"), "text": F.coalesce(field(docs, "text", "string"), F.lit(""))})
+    own = _identified(own)
+    dropped, twice = rows.where("not chosen"), rows.where("chosen and times > 1")
+    columns = [f"c{k}" for k in range(len(docs.columns))]
+    gone = _few(dropped.union(twice))
+    once = own.join(gone, _same(own, gone), "left_anti").select(*columns)
+    if twice.count():  # of repeated rows one stays
+        again = _few(twice)
+        once = once.union(own.join(again, _same(own, again), "left_semi").dropDuplicates(IDENTITY).select(*columns))
+    return once.toDF(*docs.columns)

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraops.llm.common import column, slices, text_of, written
+from terraops.llm.common import slices, texts_of, written
 from terraops.llm.pieces import encoder
 
 #: Ranks are counted apart in so many groups of the pieces of one length.
@@ -100,7 +100,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, ke
                 out["doc_id"] = names.take(out.doc_id.to_numpy())
                 yield out
 
-    rows = docs.select(column(docs, "doc_id", "long").alias("doc_id"), text_of(docs).alias("text"))
+    rows = texts_of(docs)
     return rows.mapInPandas(cut, PIECES + ", ids array<int>" * keep_ids)
 
 

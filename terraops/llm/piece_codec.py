@@ -19,7 +19,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terraops.llm.common import column, text_of
+from terraops.llm.common import texts_of
 
 SPACE = "▁"
 BARE = "\x01"
@@ -196,7 +196,7 @@ def piece_digests(docs: DataFrame, model: str, end_id: int) -> DataFrame:
                 rows.append((ids.count(" ") + 1, sha(ids), sha(decoded)))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    out = docs.select(column(docs, "doc_id", "long").alias("doc_id"), digest(text_of(docs)).alias("d"))
+    out = texts_of(docs).select("doc_id", digest("text").alias("d"))
     return out.select("doc_id", "d.*")
 
 
@@ -209,7 +209,7 @@ def piece_ids(docs: DataFrame, model: str, end_id: int) -> DataFrame:
         for batch in batches:
             yield pd.Series([list(map(int, own.digest(text, end_id)[0].split(" "))) for text in batch])
 
-    return docs.select(column(docs, "doc_id", "long").alias("doc_id"), encode(text_of(docs)).alias("ids"))
+    return texts_of(docs).select("doc_id", encode("text").alias("ids"))
 
 
 def piece_texts(rows: DataFrame, model: str) -> DataFrame:

@@ -14,12 +14,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terraops.llm.common import column, fold, labelled_sample, slices, text_of
+from terraops.llm.common import fold, kept_where, labelled_sample, slices, texts_of
 
 PASSAGE = 512
-MODULUS, HELD_OUT, SAMPLE_ROWS, THRESHOLD = 5, 0, 5_000, 0.3
-#: Passages of a sample document that the fit sees, evenly spaced; scores see all.
-FIT_PASSAGES = 64
+#: The model is fitted on at most so many labelled documents with at most so many bytes of text; it sees all their passages.
+MODULUS, HELD_OUT, SAMPLE_ROWS, SAMPLE_BYTES, THRESHOLD = 5, 0, 5_000, 32_000_000, 0.3
+#: Bytes after which a text is described anew, so that long texts need no more memory than short ones; a multiple of PASSAGE.
+PORTION = 1_048_576
 HIDDEN, GATE, STEPS, RATE, DECAY, SEED = 16, 8, 250, 0.03, 1e-4, 7
 _KINDS = np.zeros(256, np.uint8)
 for _k, _bytes in enumerate((b"\n\r\x0b\x0c", b" \t", bytes(range(65, 91)), bytes(range(97, 123)), bytes(range(48, 58)), b".,;:", b"!?", b"|", b"'\"()[]{}", b"*#$%&@^~_=+-<>/\\`", bytes(range(128, 256))), 1):
@@ -67,6 +68,11 @@ def passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out, counts
 
 
+def portions(text: bytes) -> list[bytes]:
+    """The text in runs of PORTION bytes, each described on its own: a word across their edge counts as two."""
+    return [text[k : k + PORTION] for k in range(0, len(text), PORTION)] or [b""]
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -119,35 +125,51 @@ class AttentionModel:
         e = np.exp(s - np.maximum.reduceat(s, starts)[of])
         return e / np.add.reduceat(e, starts)[of]
 
-    def score(self, x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        if not len(sizes):
-            return np.empty(0)
+    def pooled(self, x: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each bag's passages the greatest attention score, the sum of weights relative to it, and the weighted sum."""
         w, starts = self.w, np.cumsum(sizes) - sizes
         h = np.tanh(((x - self.mean) / self.spread) @ w["enc"] + w["enc0"])
-        a = self._attention((np.tanh(h @ w["tan"]) * _sigmoid(h @ w["gate"])) @ w["att"], starts, np.repeat(np.arange(len(sizes)), sizes))
-        return _sigmoid(np.add.reduceat(a[:, None] * h, starts, axis=0) @ w["out"] + w["out0"])
+        s = (np.tanh(h @ w["tan"]) * _sigmoid(h @ w["gate"])) @ w["att"]
+        top = np.maximum.reduceat(s, starts)
+        e = np.exp(s - np.repeat(top, sizes))
+        return top, np.add.reduceat(e, starts), np.add.reduceat(e[:, None] * h, starts, axis=0)
+
+    def score(self, x: np.ndarray, sizes: np.ndarray, bags: np.ndarray | None = None) -> np.ndarray:
+        """Scores of the texts; bags names the text of each run of passages, ascending from 0, if texts have several."""
+        if not len(sizes):
+            return np.empty(0)
+        return self._scored(*self.pooled(x, sizes), np.arange(len(sizes)) if bags is None else bags)
+
+    def _scored(self, top: np.ndarray, weight: np.ndarray, total: np.ndarray, bags: np.ndarray) -> np.ndarray:
+        starts = np.flatnonzero(np.append(True, bags[1:] != bags[:-1]))
+        share = np.exp(top - np.maximum.reduceat(top, starts)[bags])
+        weight, total = np.add.reduceat(weight * share, starts), np.add.reduceat(total * share[:, None], starts, axis=0)
+        return _sigmoid(total / weight[:, None] @ self.w["out"] + self.w["out0"])
 
     def score_column(self, text: Column) -> Column:
         """Probability that the text is of good quality; a null text counts as empty."""
 
         def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for batch in batches:
-                texts = [t.encode() for t in batch]
-                rows = [self.score(*passages(texts[a:b])) for a, b in slices(texts)]
-                yield pd.Series(np.concatenate(rows) if rows else np.empty(0))
+                runs = [(k, run) for k, t in enumerate(batch) for run in portions(t.encode())]
+                texts = [run for _, run in runs]
+                pooled = [self.pooled(*passages(texts[a:b])) for a, b in slices(texts)]
+                yield pd.Series(self._scored(*map(np.concatenate, zip(*pooled, strict=True)), np.array([k for k, _ in runs])) if runs else np.empty(0))
 
         return F.pandas_udf(scored, "double")(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def fit_quality(documents: DataFrame, labels: DataFrame) -> AttentionModel | None:
-    """A model from at most SAMPLE_ROWS labelled documents outside the held-out fold; None without any."""
-    sample = labelled_sample(documents, labels, "quality", MODULUS, HELD_OUT, SAMPLE_ROWS)
+    """A model from all passages of a sample of labelled documents outside the held-out fold; None without any.
+
+    The sample has at most SAMPLE_ROWS documents and SAMPLE_BYTES of text; a longer text is not in it.
+    """
+    sample = labelled_sample(documents, labels, "quality", MODULUS, HELD_OUT, SAMPLE_ROWS, SAMPLE_BYTES)
 
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for label, text in zip(batch.label, batch.text, strict=True):
-                x, _ = passages([text.encode()])
-                x = x[np.unique(np.linspace(0, len(x) - 1, FIT_PASSAGES).astype(int))]
+                x = np.concatenate([passages([run])[0] for run in portions(text.encode())])
                 yield pd.DataFrame({"label": [label], "n": [len(x)], "x": [x.tobytes()]})
 
     found = sample.mapInPandas(bags, "label double, n long, x binary").toPandas()
@@ -158,21 +180,27 @@ def fit_quality(documents: DataFrame, labels: DataFrame) -> AttentionModel | Non
     return AttentionModel.fit(x, found.n.to_numpy(np.int64), found.label.to_numpy())
 
 
-def _score(model: AttentionModel | None, docs: DataFrame) -> Column:
-    return model.score_column(text_of(docs)) if model else F.lit(0.5)
+def _score(model: AttentionModel | None, text: Column) -> Column:
+    return model.score_column(text) if model else F.lit(0.5)
 
 
 def quality(docs: DataFrame, documents: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) of each row of docs; the model is learned from documents and labels.
 
-    An empty or null text is one empty passage. Without labelled rows every score is 0.5. Repeated rows give
-    repeated results, a null doc_id is kept (held_out false), other columns are ignored.
+    An empty or null text is one empty passage; long texts are described PORTION bytes at a time. Without labelled
+    rows every score is 0.5. Repeated rows give repeated results, a null doc_id is kept (held_out false), other
+    columns are ignored; an empty table gives no rows.
     """
     model = fit_quality(documents, labels)
-    out = docs.select(column(docs, "doc_id", "long").alias("doc_id"), fold(docs, MODULUS, HELD_OUT).alias("held_out"), _score(model, docs).alias("score"))
+    out = texts_of(docs).select("doc_id", fold(F.col("doc_id"), MODULUS, HELD_OUT).alias("held_out"), _score(model, F.col("text")).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def of_quality(docs: DataFrame, documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs, all columns as they are, whose score is at least THRESHOLD."""
-    return docs.where(_score(fit_quality(documents, labels), docs) >= THRESHOLD)
+    """The rows of docs, all columns as they are, whose score is at least THRESHOLD.
+
+    A null text is scored as an empty one and stays null; repeated rows stay or go together, null ids and columns
+    of any name stay as they are; an empty table gives no rows, and without labelled rows all stay.
+    """
+    model = fit_quality(documents, labels)
+    return kept_where(docs, lambda text: _score(model, text) >= THRESHOLD)

@@ -1,11 +1,11 @@
 """SimHash fingerprints and exact search for those that differ in a few bits, by vantage-point trees.
 
 Two fingerprints that differ in at most D bits differ in at most D // bands bits of one of `bands` equal
-groups of bits. For each group a vantage-point tree splits the fingerprints by the Hamming distance of that
-group from a vantage value. A branch that the triangle bound rules out gets nothing; every fingerprint has
-one home shard a tree and is also sent to the shards whose boundary it overlaps. Shards are tasks of their
-own; within one a further vantage point orders the rows, and only rows whose distances from it differ by at
-most D are compared. With more than D bands the bound is 0 bits and no shard overlaps another.
+groups of bits: for D = 3 and two groups, in at most one bit of 32. For each group a vantage-point tree splits the
+fingerprints by the Hamming distance of that group from a vantage value. A branch that the triangle bound rules
+out gets nothing; every fingerprint has one home shard a tree and is also sent to the shards whose boundary it
+overlaps. Shards are tasks of their own; within one a further vantage point orders the rows, and only rows whose
+distances from it differ by at most D are compared.
 """
 
 from __future__ import annotations
@@ -18,12 +18,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terraops.llm.common import column, slices, text_of, written
+from terraops.llm.blocks import block_pairs, mixed
+from terraops.llm.common import slices, texts_of, written
 from terraops.llm.graph import Forest, components
 
-BITS, SEED, SHINGLE, DISTANCE, BANDS = 64, 42, 3, 3, 4
-#: Fingerprints from which the trees are built, rows aimed at in a shard, and most in one block of a shard.
-SAMPLE, SHARD, BLOCK = 16_384, 4_096, 16_384
+BITS, SEED, SHINGLE, DISTANCE, BANDS = 64, 42, 3, 3, 2
+#: Rows aimed at in a shard, most in one block of a shard, fingerprints from which the trees are built: four a shard, from and to.
+SHARD, BLOCK, SAMPLE, SAMPLE_MOST = 1_024, 16_384, 16_384, 1_048_576
 #: A byte's bits in eight lanes of a 64-bit integer.
 _LANES = (np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.uint64) << (8 * np.arange(8)).astype(np.uint64)).sum(1, dtype=np.uint64)
 
@@ -62,47 +63,55 @@ def majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _fingerprints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in batches:
-        texts, out = batch.tolist(), []
-        for a, b in slices(texts):
-            rows = [shingle_hashes(t) for t in texts[a:b]]
-            sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-            hashes = np.fromiter((h for r in rows for h in r), np.uint64, int(sizes.sum()))
-            out.append(majority(hashes, sizes).view(np.int64))
-        yield pd.Series(np.concatenate(out) if out else np.empty(0, np.int64))
+def fingerprint(text: Column, size: int = SHINGLE) -> Column:
+    """SimHash of a text's shingles of size words, as a signed integer."""
 
+    def made(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            texts, out = batch.tolist(), []
+            for a, b in slices(texts):
+                out.append(fingerprints([shingle_hashes(t, size) for t in texts[a:b]]))
+            yield pd.Series(np.concatenate(out) if out else np.empty(0, np.int64))
 
-def fingerprint(text: Column) -> Column:
-    """SimHash of a text, as a signed integer."""
-    return F.pandas_udf(_fingerprints, "long")(text)
+    return F.pandas_udf(made, "long")(text)
+
+
+def fingerprints(rows: list[list[int]]) -> np.ndarray:
+    """SimHash of each list of shingle hashes, as signed integers."""
+    sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+    return majority(np.fromiter((h for r in rows for h in r), np.uint64, int(sizes.sum())), sizes).view(np.int64)
 
 
 class VantageTree:
     """Shards of 64-bit values by their distances, on the bits of mask, from vantage values."""
 
-    def __init__(self, sample: np.ndarray, mask: int, leaf: int, seed: int = 0):
-        self.mask, self.shards, self.nodes = np.uint64(mask), 0, []  # node: vantage, cut, inside, outside
+    def __init__(self, sample: np.ndarray, mask: int, leaf: int, radius: int, seed: int = 0):
+        self.mask, self.radius, self.shards, self.nodes = np.uint64(mask), radius, 0, []  # node: vantage, cut, inside, outside
         draw = np.random.default_rng(seed)
         self.root = self._grow(np.sort(sample) & self.mask, leaf, draw)
 
     def _grow(self, values: np.ndarray, leaf: int, draw) -> int:
-        if len(values) > leaf:
-            for vantage in draw.choice(values, 8):
-                far = np.bitwise_count(values ^ vantage)
-                cut = int(np.median(far))
-                cut -= bool((far <= cut).all())
-                inside = far <= cut
-                if inside.any():
-                    node = len(self.nodes)
-                    self.nodes.append(None)
-                    self.nodes[node] = (vantage, cut, self._grow(values[inside], leaf, draw), self._grow(values[~inside], leaf, draw))
-                    return node
-        self.shards += 1
-        return -self.shards
-
-    def route(self, values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, shard, home): each row's home shard, and the others that may hold a value within radius."""
+        """Of some vantage values the one whose boundary, at the median distance, the fewest values overlap."""
+        best = None
+        for vantage in draw.choice(values, 8) if len(values) > leaf else ():
+            far = np.bitwise_count(values ^ vantage).astype(np.int64)
+            cut = int(np.median(far))
+            cut -= bool((far <= cut).all())
+            inside, both = far <= cut, int((np.abs(2 * (far - cut) - 1) < 2 * self.radius).sum())
+            if inside.any() and (best is None or both < best[0]):
+                best = both, vantage, cut, inside
+        if best is None:
+            self.shards += 1
+            return -self.shards
+        _, vantage, cut, inside = best
+        node = len(self.nodes)
+        self.nodes.append(None)
+        self.nodes[node] = (vantage, cut, self._grow(values[inside], leaf, draw), self._grow(values[~inside], leaf, draw))
+        return node
+
+    def route(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, shard, home): each row's home shard, and the others that may hold a value within the radius."""
+        radius = self.radius
         out, todo = [], [(self.root, np.arange(len(values)), np.ones(len(values), bool))]
         while todo:
             node, rows, home = todo.pop()
@@ -147,48 +156,48 @@ def links(values: DataFrame, distance: int = DISTANCE, bands: int = BANDS) -> Da
     Each shard gives a spanning forest of its links, so its rows are at most as many as the shard's. A
     shard above BLOCK rows is dealt out as pairs of blocks, each a task of its own.
     """
-    radius, masks = distance // bands, band_masks(bands)
     n = values.count()
-    drawn = values.orderBy(F.xxhash64("value"), "value").limit(SAMPLE).toPandas().value.to_numpy(np.int64).view(np.uint64)
+    share = max(SAMPLE, min(SAMPLE_MOST, 4 * n // SHARD)) / max(n, 1)
+    drawn = values.where(F.pmod(F.xxhash64("value", F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30))).toPandas().value.to_numpy(np.int64).view(np.uint64)
     leaf = max(1, len(drawn) * SHARD // max(n, 1))
-    trees = [VantageTree(drawn, mask, leaf, k) for k, mask in enumerate(masks)] if n else []
-
-    def route(blocks: dict[int, int]):
-        def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                own = batch.value.to_numpy(np.int64)
-                for band, tree in enumerate(trees):
-                    row, shard, home = tree.route(own.view(np.uint64), radius)
-                    cell = shard | band << 32
-                    count = np.array([blocks.get(c, 1) for c in cell.tolist()], np.int64)
-                    block = (own[row].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % count
-                    at = np.repeat(np.arange(len(row)), count)  # a block meets every block of its shard
-                    other = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
-                    part = np.minimum(block[at], other) * count[at] + np.maximum(block[at], other)
-                    yield pd.DataFrame({"cell": cell[at], "part": part, "block": block[at], "value": own[row][at], "home": home[at]})
-
-        return rows_of
-
-    schema = "cell long, part long, block long, value long, home boolean"
-    sizes = values.mapInPandas(route({}), schema).groupBy("cell").count().where(F.col("count") > BLOCK).collect()
-    blocks = {r["cell"]: -(-r["count"] // BLOCK) for r in sizes}
+    trees = [VantageTree(drawn, mask, leaf, distance // bands, k) for k, mask in enumerate(band_masks(bands))] if len(drawn) else []
+
+    def routed(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for band, tree in enumerate(trees):
+            row, shard, home = tree.route(batch.value.to_numpy(np.int64).view(np.uint64))
+            yield row, shard | band << 32, home
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for _, cell, home in routed(batch):
+                yield pd.DataFrame({"cell": cell, "home": home, "n": 1}).groupby(["cell", "home"], as_index=False).n.sum()
+
+    sizes = values.mapInPandas(counted, "cell long, home boolean, n long").groupBy("cell", "home").agg(F.sum("n").alias("n"))
+    blocks = {(r["cell"], r["home"]): -(-r["n"] // BLOCK) for r in sizes.where(F.col("n") > BLOCK).collect()}  # a row a large shard
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            own = batch.value.to_numpy(np.int64)
+            for row, cell, home in routed(batch):
+                homes, guests = (np.array([blocks.get((c, at_home), 1) for c in cell.tolist()], np.int64) if blocks else np.ones(len(cell), np.int64) for at_home in (True, False))
+                at, guest, low, high, right = block_pairs(mixed(own[row]), home, homes, guests)
+                yield pd.DataFrame({"cell": cell[at], "guest": guest, "low": low, "high": high, "value": own[row][at], "right": right})
 
     def match(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("value", ignore_index=True)
-        own, home, block = rows.value.to_numpy(np.int64), rows.home.to_numpy(bool), rows.block.to_numpy()
-        low = block == block.min() if len(rows) else block
-        across = not low.all()
-        groups = [np.flatnonzero(low), np.flatnonzero(~low)] if across else [np.arange(len(rows))] * 2
+        own, right = rows.value.to_numpy(np.int64), rows.right.to_numpy(bool)
+        same = not rows.guest.iloc[0] and rows.low.iloc[0] == rows.high.iloc[0]
         forest = Forest(len(rows))
-        for a, b in near_pairs(own.view(np.uint64), groups[0], groups[1], distance):
-            met = (home[a] | home[b]) & (a != b)
+        for a, b in near_pairs(own.view(np.uint64), np.flatnonzero(~right), np.flatnonzero(same | right), distance):
+            met = a != b
             if met.any():
                 forest.join_all(a[met], b[met])
         roots = forest.roots()
         moved = roots != np.arange(len(rows))
         return pd.DataFrame({"a": own[moved], "b": own[roots[moved]]})
 
-    return values.mapInPandas(route(blocks), schema).groupBy("cell", "part").applyInPandas(match, "a long, b long")
+    dealt = values.mapInPandas(deal, "cell long, guest boolean, low long, high long, value long, right boolean")
+    return dealt.groupBy("cell", "guest", "low", "high").applyInPandas(match, "a long, b long")
 
 
 def grouped(fingerprints: DataFrame, distance: int = DISTANCE, bands: int = BANDS) -> DataFrame:
@@ -211,22 +220,6 @@ def simhash_components(docs: DataFrame, distance: int = DISTANCE, bands: int = B
     a row with a null doc_id is linked, but lends no id unless its whole group has none; other columns are
     ignored; an empty table gives no rows.
     """
-    rows = written(docs.select(column(docs, "doc_id", "long").alias("doc_id"), fingerprint(text_of(docs)).alias("fp")), "fingerprints")
+    rows = written(texts_of(docs).select("doc_id", fingerprint(F.col("text")).alias("fp")), "fingerprints")
     named = rows.join(grouped(rows, distance, bands).select("fp", "component_id"), "fp")
     return named.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def one_of_each(docs: DataFrame, distance: int = DISTANCE, bands: int = BANDS) -> DataFrame:
-    """docs with one row for each group of linked fingerprints: that of the smallest doc_id, all columns as they are.
-
-    Of rows that share this doc_id and fingerprint one stays. If all ids of a group are null, one row stays.
-    """
-    fp, best = "__terraops_fp", "__terraops_id"
-    marked = written(docs.withColumn(fp, fingerprint(text_of(docs))), "marked")
-    ids = column(marked, "doc_id", "long")
-    groups = grouped(marked.select(ids.alias("doc_id"), F.col(fp).alias("fp")), distance, bands)
-    winner = groups.groupBy("root").agg(F.min_by(F.struct("fp", "first_id"), F.struct(F.col("first_id").isNull(), "first_id", "fp")).alias("w"))
-    winner = winner.select(F.col("w.fp").alias(fp), F.col("w.first_id").alias(best))
-    kept = marked.join(winner, (marked[fp] == winner[fp]) & ids.eqNullSafe(winner[best]), "left_semi")
-    once = kept.withColumn(best, ids).dropDuplicates([fp, best])
-    return once.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terraops.llm.common import column, slices, text_of
+from terraops.llm.common import slices, texts_of
 from terraops.llm.pieces import Memo, chunk_of, cuttable, keyed
 
 #: Fixed: the pre-tokens of byte-level BPE files.
@@ -181,6 +181,6 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512) -> DataFrame
             done = [counter.count_texts(texts[a:b]) for a, b in slices(texts)]
             yield pd.Series(np.concatenate(done) if done else np.empty(0, np.int64))
 
-    counted = docs.select(column(docs, "doc_id", "long").alias("doc_id"), text_of(docs).alias("text"))
+    counted = texts_of(docs)
     counted = counted.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.pandas_udf(count, "long")("text").alias("n_tokens"))
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import struct
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,17 +20,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terraops.llm.common import column, slices, text_of, written
+from terraops.llm.common import slices, texts_of, written
 from terraops.llm.pieces import encoder
 
 #: One in so many set bits has its place noted.
 SAMPLE = 256
-#: Characters of text in a block, about.
-BLOCK_CHARS = 2_000_000
+#: Characters of text in a block, about, and documents of it whose offsets are read at a time.
+BLOCK_CHARS, READ_DOCS = 2_000_000, 1_024
 MAGIC = b"EFT1"
 BLOCKS = "shard int, block int, first long, n_docs long, n_ids long, body binary"
 READ = "shard int, first long, doc_id long, in_block long, n_tokens long, ids_crc32 long"
-_ONES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1).astype(np.int64)
 
 
 class EliasFano:
@@ -70,26 +70,24 @@ class EliasFano:
         bits = bits[first % 8 : first % 8 + (end - begin) * self.low_bits].reshape(end - begin, self.low_bits)
         return (bits.astype(np.uint64) << np.arange(self.low_bits, dtype=np.uint64)).sum(1, dtype=np.uint64)
 
-    def values(self) -> np.ndarray:
-        at = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        return (at - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits) | self._lows(0, self.n)
-
     def select(self, i: int) -> int:
-        """The i-th value: from the nearest noted place, bytes are skipped by their number of set bits."""
+        """The i-th value."""
         if not 0 <= i < self.n:
             raise IndexError(i)
-        place = int(self.samples[i // SAMPLE])
-        need, byte = i % SAMPLE, place // 8
-        head = int(self.high[byte]) >> place % 8 << place % 8
-        counts = np.cumsum(np.concatenate([[_ONES[head]], _ONES[self.high[byte + 1 : byte + 1 + SAMPLE * 4]]]))
-        while counts[-1] <= need:  # a long gap
-            more = self.high[byte + len(counts) : byte + 5 * len(counts)]
-            counts = np.concatenate([counts, counts[-1] + np.cumsum(_ONES[more])])
-        step = int(np.searchsorted(counts, need, "right"))
-        value = head if step == 0 else int(self.high[byte + step])
-        before = int(counts[step - 1]) if step else 0
-        bit = np.flatnonzero(np.unpackbits(np.uint8([value]), bitorder="little"))[need - before]
-        return ((byte + step) * 8 + int(bit) - i) << self.low_bits | int(self._lows(i, i + 1)[0])
+        return int(self.select_range(i, i + 1)[0])
+
+    def select_range(self, begin: int, end: int) -> np.ndarray:
+        """The values from begin up to end: of the upper bits only the bytes between the noted places about them are read."""
+        if begin >= end:
+            return np.empty(0, np.int64)
+        noted = begin // SAMPLE
+        after = -(-end // SAMPLE)
+        byte = int(self.samples[noted]) // 8
+        last = int(self.samples[after]) // 8 + 1 if after < len(self.samples) else len(self.high)
+        at = np.flatnonzero(np.unpackbits(self.high[byte:last], bitorder="little")) + 8 * byte
+        skipped = np.searchsorted(at, int(self.samples[noted]))  # bits of the first byte that lie before the noted place
+        at = at[skipped + begin - noted * SAMPLE :][: end - begin]
+        return (at - np.arange(begin, end)) << self.low_bits | self._lows(begin, end).astype(np.int64)
 
 
 def pack_block(doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray) -> bytes:
@@ -114,7 +112,15 @@ class Block:
         self.ids = np.frombuffer(data, f"<u{width}", n, at)
 
     def doc_ids(self) -> list[int | None]:
-        return [None] * self.nulls + [int(i) + self.base for i in self.names.values()]
+        return [None] * self.nulls + (self.names.select_range(0, self.names.n) + self.base).tolist()
+
+    def portions(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(first document, its start and the ends of it and the next ones), READ_DOCS documents at a time."""
+        start = 0
+        for k in range(0, self.ends.n, READ_DOCS):
+            ends = self.ends.select_range(k, min(k + READ_DOCS, self.ends.n))
+            yield k, np.append(start, ends)
+            start = int(ends[-1])
 
     def document(self, k: int) -> np.ndarray:
         """The ids of the k-th document, by two selects."""
@@ -125,17 +131,19 @@ def write_token_file(docs: DataFrame, tokenizer: str, end_id: int, shards: int |
     """The rows of the token file of docs: blocks in ascending doc_id order by (shard, block).
 
     Every whole text (null: empty) is encoded without special tokens and end_id is appended. Rows with a null
-    doc_id come first, repeated rows are all kept (equal doc_ids in the order of their texts), other columns
+    doc_id come first, repeated rows are all kept (equal doc_ids in the order of their texts' XXH64), other columns
     are ignored; an empty table gives no blocks. Shards are ranges of doc_id between approximate quantiles
-    that a scan of that one column finds, so no task gets more than its share of documents.
+    that a scan of that one column finds; an id, or null, that fills several ranges is dealt over them by that hash.
     """
     spark = docs.sparkSession
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(column(docs, "doc_id", "long").alias("doc_id"), text_of(docs).alias("text"))
-    cuts = rows.agg(F.percentile_approx("doc_id", [k / shards for k in range(1, shards)] or [0.5], 20 * shards)).first()[0] or []
-    shard = F.when(F.col("doc_id").isNull(), 0).otherwise(_below(sorted(set(cuts)) if shards > 1 else []))
-    rows = rows.withColumn("shard", shard.cast("int"))
-    rows = rows.repartitionById(shards, F.col("shard")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text").select("doc_id", "text")
+    rows = texts_of(docs).withColumn("mixed", F.shiftrightunsigned(F.xxhash64("text"), 32))
+    figures = rows.agg(F.percentile_approx("doc_id", [k / shards for k in range(1, shards)] or [0.5], 20 * shards), F.count("*"), F.count("doc_id")).first()
+    cuts = sorted(figures[0] or []) if shards > 1 else []
+    first = (figures[1] - figures[2]) * shards // max(figures[1], 1)  # nulls fill so many shards and a part of the next
+    rows = rows.withColumn("shard", _shard(cuts, first).cast("int"))
+    order = [F.col("doc_id").asc_nulls_first(), "mixed", F.xxhash64("text"), "text"]
+    rows = rows.repartitionById(shards + first, F.col("shard")).sortWithinPartitions(*order).select("doc_id", "text")
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder, own = encoder(tokenizer), TaskContext.get().partitionId()
@@ -151,6 +159,20 @@ def write_token_file(docs: DataFrame, tokenizer: str, end_id: int, shards: int |
     return written(rows.mapInPandas(encode, BLOCKS), "token_file")
 
 
+def _shard(cuts: list[int], first: int) -> Column:
+    """The shard of a row (doc_id, mixed): first + how many of the ascending cuts lie below doc_id; nulls come before.
+
+    If several cuts are equal, the rows of that doc_id are dealt over the shards that the cuts divide.
+    """
+    spread = lambda n: F.floor(F.col("mixed") * n / F.lit(float(1 << 32)))
+    repeats = {c: n for c, n in Counter(cuts).items() if n > 1}
+    own = _below(cuts)
+    if repeats:  # at most half as many as shards
+        n = F.try_element_at(F.create_map(*[F.lit(x) for c, k in repeats.items() for x in (c, k)]), F.col("doc_id"))
+        own = own + F.coalesce(spread(n + 1), F.lit(0))
+    return F.when(F.col("doc_id").isNull(), spread(first + 1)).otherwise(own + first)
+
+
 def _below(cuts: list[int]) -> Column:
     """How many of the ascending cuts lie below doc_id: first among every width-th cut, then within its group."""
     if not cuts:
@@ -177,11 +199,12 @@ def read_token_file(blocks: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.itertuples(index=False):
                 block = Block(row.body)
-                ends = block.ends.values().astype(np.int64)
-                starts = np.append(0, ends[:-1])
-                raw = memoryview(block.ids.astype("<u4").tobytes())
-                crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                yield pd.DataFrame({"shard": row.shard, "first": row.first, "doc_id": pd.array(block.doc_ids(), "Int64"), "in_block": starts, "n_tokens": ends - starts, "ids_crc32": crc})
+                names = pd.array(block.doc_ids(), "Int64")
+                for k, edges in block.portions():
+                    raw = memoryview(block.ids[edges[0] : edges[-1]].astype("<u4").tobytes())
+                    at = (4 * (edges - edges[0])).tolist()
+                    crc = [zlib.crc32(raw[a:b]) for a, b in zip(at, at[1:], strict=False)]
+                    yield pd.DataFrame({"shard": row.shard, "first": row.first, "doc_id": names[k : k + len(crc)], "in_block": edges[:-1], "n_tokens": np.diff(edges), "ids_crc32": crc})
 
     rows = blocks.select("shard", "first", "body").mapInPandas(decode, READ)
     start = (F.col("shard_start") + F.col("first") + F.col("in_block")).alias("start")

@@ -106,7 +106,7 @@ def test_token_counts(docs):
 def test_token_file(spark, docs):
     blocks = token_file.write_token_file(docs, BYTE, 2, 3)
     rows = sorted(map(tuple, token_file.read_token_file(blocks).collect()), key=lambda r: r[1])
-    order = sorted(zip(IDS, TEXTS, strict=True), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    order = sorted(zip(IDS, TEXTS, strict=True), key=lambda r: (r[0] is not None, r[0] or 0, xxhash.xxh64_intdigest((r[1] or "").encode(), 42)))
     start, want = 0, []
     for i, text in order:
         ids = [*ids_of(text), 2]
@@ -119,12 +119,27 @@ def test_token_file(spark, docs):
         token_file.Block(b"nope" + bytes(100))
 
 
+def test_token_file_deals_hot_ids_over_shards(spark):
+    rows = [(7, f"text {k}") for k in range(60)] + [(None, f"none {k}") for k in range(60)] + [(k, "other") for k in range(20)] + [(7, "again")] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    blocks = token_file.write_token_file(docs, BYTE, 2, 8)
+    assert max(r.n for r in blocks.groupBy("shard").agg(F.sum("n_docs").alias("n")).collect()) < 50
+    back = sorted(map(tuple, token_file.read_token_file(blocks).collect()), key=lambda r: r[1])
+    assert [r[1] for r in back] == np.cumsum([0, *[r[2] for r in back]])[:-1].tolist()
+    assert [r[0] is not None for r in back] == sorted(r[0] is not None for r in back)
+    assert [r[0] for r in back if r[0] is not None] == sorted(i for i, _ in rows if i is not None)
+    crc = lambda t: zlib.crc32(np.array([*ids_of(t), 2], "<u4").tobytes())
+    assert Counter((r[0], r[3]) for r in back) == Counter((i, crc(t)) for i, t in rows)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 2**40) | st.integers(0, 9), max_size=700), st.integers(1, 2**20))
 def test_elias_fano(values, step):
     values = np.array(sorted(values), np.uint64)
     again, end = token_file.EliasFano.read(memoryview(b"??" + token_file.EliasFano.of(values).to_bytes()), 2)
-    assert again.values().tolist() == values.tolist()
+    assert again.select_range(0, len(values)).tolist() == values.tolist()
+    a, b = sorted((step % (len(values) + 1), step // 7 % (len(values) + 1)))
+    assert again.select_range(a, b).tolist() == values[a:b].tolist()
     for i in range(0, len(values), max(1, len(values) // 20)):
         assert again.select(i) == values[i]
     with pytest.raises(IndexError):
@@ -221,12 +236,9 @@ def test_simhash(docs):
     least = {r: min((i for i, q in zip(IDS, root, strict=True) if q == r and i is not None), default=None) for r in root}
     want = Counter((i, f"{v:016x}", least[r]) for i, v, r in zip(IDS, values, root, strict=True))
     assert Counter(map(tuple, simhash.simhash_components(docs).collect())) == want
-    kept = simhash.one_of_each(docs)
-    assert kept.columns == docs.columns
-    assert Counter(r.doc_id for r in kept.collect()) == Counter(set(least.values()))
 
 
-@pytest.mark.parametrize(("bands", "block"), [(1, 16_384), (2, 16_384), (4, 16_384), (4, 40), (2, 64)])
+@pytest.mark.parametrize(("bands", "block"), [(1, 16_384), (simhash.BANDS, simhash.BLOCK), (4, 16_384), (4, 40), (2, 20)])
 def test_vantage_trees_lose_no_link(spark, monkeypatch, bands, block):
     draw = np.random.default_rng(bands)
     base = draw.integers(0, 2**63, 60, dtype=np.int64)
@@ -240,6 +252,18 @@ def test_vantage_trees_lose_no_link(spark, monkeypatch, bands, block):
     assert {v: found.get(v, v) for v in values} == {v: least[r] for v, r in zip(values, root, strict=True)}
 
 
+def test_trees_prune_and_overlap():
+    """At the registered settings a fingerprint meets few of the shards, and more than its home in each tree."""
+    values = np.random.default_rng(2).integers(0, 2**63, 60_000).astype(np.uint64)
+    tree = simhash.VantageTree(values, simhash.band_masks(simhash.BANDS)[0], simhash.SHARD, simhash.DISTANCE // simhash.BANDS)
+    row, shard, home = tree.route(values)
+    assert home.sum() == len(values) and 2 * len(values) < len(row) < tree.shards * len(values) / 4
+    for bit in (0, 7, 31):  # every neighbour within the radius is routed to the home shard of each value
+        other = tree.route(values[:500] ^ np.uint64(1 << bit))
+        met = set(zip(other[0].tolist(), other[1].tolist(), strict=True))
+        assert all((r, s) in met for r, s, h in zip(row.tolist(), shard.tolist(), home.tolist(), strict=True) if h and r < 500)
+
+
 def test_components_of_a_chain(spark):
     n = 60
     edges = spark.createDataFrame([(k, k + 1) for k in range(n)] + [(5, 5), (3, 2), (100, 101)], "a long, b long")
@@ -247,15 +271,15 @@ def test_components_of_a_chain(spark):
     assert components(edges.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize(("cell", "block"), [(8_192, 4_096), (20, 4_096), (20, 7)])
-def test_near_vectors(spark, monkeypatch, cell, block):
+@pytest.mark.parametrize(("cell", "block", "local"), [(4_096, 8_192, 128), (20, 8_192, 4), (12, 7, 3), (5, 3, 1)])
+def test_near_vectors(spark, monkeypatch, cell, block, local):
     draw = np.random.default_rng(cell)
     base = draw.normal(size=(40, 8))
     rows = [(k, [float(x) for x in base[k % 40] + draw.normal(size=8) * 0.1 * (k % 3)], int(k % 2)) for k in range(160)]
     rows += [(200, rows[0][1], 0), (201, rows[0][1], 0), (201, rows[0][1], 0), (None, rows[0][1], 0), (202, rows[0][1], None), (203, [float(2 * x) for x in rows[0][1]], 0)]
     rows += [(300, None, 1), (301, [], 1), (302, [0.0] * 8, 1), (303, [float("nan")] + [1.0] * 7, 1), (304, [None] + [1.0] * 7, 1), (305, [float("inf")] * 8, 1), (306, [1.0] * 3, 1), (307, [1.0] * 3, 1)]
-    monkeypatch.setattr(near_vectors, "CELL", cell)
-    monkeypatch.setattr(near_vectors, "BLOCK", block)
+    for name, value in {"CELL": cell, "BLOCK": block, "LOCAL": local}.items():
+        monkeypatch.setattr(near_vectors, name, value)
     df = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id long, embedding array<double>, label int, node long, weight long")
     got = Counter(map(tuple, near_vectors.near_vectors(df).collect()))
 
@@ -276,35 +300,86 @@ def test_near_vectors(spark, monkeypatch, cell, block):
     assert got == want
 
 
+def test_bounds_spare_products_and_lose_no_pair():
+    """At the default constants, on vectors that fill 64 dimensions evenly: the case with the least to prune."""
+    draw = np.random.default_rng(4)
+    base = draw.normal(size=(4_000, 64))
+    units = near_vectors._unit(np.concatenate([base, base[:300] + draw.normal(size=(300, 64)) * 0.15]))
+    products: list[int] = []
+    got = {(int(a), int(b)) for i, j in near_vectors.near_pairs(units, units, 0.98, products) for a, b in zip(i, j, strict=True)}
+    want = set(zip(*map(np.ndarray.tolist, np.nonzero(units @ units.T >= 0.98)), strict=True))
+    assert got == want and len(want) > len(units) + 200
+    assert sum(products) < 0.6 * len(units) ** 2
+
+
+def slow_filter(rows, k, kind):
+    out = [kind]
+    for x in range(64):
+        a, b, c = (int(rows[k, x - 1]) if x else 0), (int(rows[k - 1, x]) if k else 0), (int(rows[k - 1, x - 1]) if k and x else 0)
+        p = a + b - c
+        near = a if abs(p - a) <= abs(p - b) and abs(p - a) <= abs(p - c) else b if abs(p - b) <= abs(p - c) else c
+        out.append((int(rows[k, x]) - (0, a, b, (a + b) // 2, near)[kind]) % 256)
+    return out
+
+
+def slow_png(payload):
+    rows = np.frombuffer(payload, np.uint8).reshape(-1, 64)
+    lines = b""
+    for k in range(len(rows)):
+        every = [slow_filter(rows, k, kind) for kind in range(5)]
+        lines += bytes(min(every, key=lambda line: sum(min(v, 256 - v) for v in line[1:])))
+    chunk = lambda kind, data: len(data).to_bytes(4, "big") + kind + data + zlib.crc32(kind + data).to_bytes(4, "big")
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", (64).to_bytes(4, "big") + len(rows).to_bytes(4, "big") + bytes([8, 0, 0, 0, 0])) + chunk(b"IDAT", zlib.compress(lines, 6)) + chunk(b"IEND", b"")
+
+
+def slow_hash(payload):
+    rows = [list(payload[k : k + 64]) for k in range(0, len(payload), 64)]
+    height = len(rows)
+    small = []
+    for k in range(32):
+        a, b = k * height // 32, max((k + 1) * height // 32, k * height // 32 + 1)
+        small.append([sum((r[2 * c] + r[2 * c + 1]) / 2 for r in rows[a:b]) / (b - a) for c in range(32)])
+    cos = [[math.cos(math.pi / 32 * (x + 0.5) * u) for x in range(32)] for u in range(8)]
+    low = [round(sum(cos[u][i] * small[i][j] * cos[v][j] for i in range(32) for j in range(32)), 6) for u in range(8) for v in range(8)]
+    middle = sorted(low[1:])[31]
+    return f"{int(''.join('0' if k == 0 else str(int(x > middle)) for k, x in enumerate(low)), 2):016x}"
+
+
 def test_png_round_trip_with_every_filter():
     draw = np.random.default_rng(1)
     rows = draw.integers(0, 256, (40, 64), dtype=np.uint8)
     assert (media.read_png(media.write_png(rows.tobytes())) == rows).all()
-    lines = np.zeros((40, 65), np.uint8)
-    lines[:, 0] = draw.integers(0, 5, 40)
-    for k in range(40):
-        for x in range(64):
-            a, b, c = (int(rows[k, x - 1]) if x else 0), (int(rows[k - 1, x]) if k else 0), (int(rows[k - 1, x - 1]) if k and x else 0)
-            p = a + b - c
-            near = a if abs(p - a) <= abs(p - b) and abs(p - a) <= abs(p - c) else b if abs(p - b) <= abs(p - c) else c
-            lines[k, x + 1] = (int(rows[k, x]) - (0, a, b, (a + b) // 2, near)[lines[k, 0]]) % 256
+    lines = np.array([slow_filter(rows, k, draw.integers(0, 5)) for k in range(40)], np.uint8)
     assert (media.unfilter(lines) == rows).all()
-    png = bytearray(media.write_png(b"a" * 64))
-    png[45] ^= 1
-    with pytest.raises(ValueError):
-        media.read_png(bytes(png))
+    two = np.concatenate([lines, np.array([slow_filter(rows, k, 4) for k in range(40)], np.uint8)])
+    assert (media.unfilter(two, np.array([0, 40])) == np.concatenate([rows, rows])).all()
+    texts = [media.padded(t.encode()) for t in (prose(0, 0), prose(1, 1), prose(2, 30), prose(3, 300), ("a row of 64 letters, which comes again and again in this one text"[:64] * 9))]
+    assert media.write_pngs(texts) == list(map(slow_png, texts))
+    kinds = {k for t in texts for k in media.png_lines(media.write_png(t))[:, 0].tolist()}
+    assert len(kinds) == 5  # reading these undoes every filter
+
+
+def test_damaged_images_are_rows(spark):
+    good = media.write_png(media.padded(prose(7, 80).encode()))
+    draw = random.Random(2)
+    images = [(k, bytearray(good)) for k in range(300)]
+    for _, data in images[1:]:
+        data[draw.randrange(len(data))] ^= 1 << draw.randrange(8)
+    images += [(300, bytearray(good[:-5])), (301, bytearray()), (302, bytearray(b"x" * 50))]
+    rows = media.media_features(spark.createDataFrame([(k, bytes(x)) for k, x in images], "doc_id long, media binary")).collect()
+    assert [r.doc_id for r in rows if r.error is None] == [0]
+    assert all(r.payload_sha256 is None and r.media_bytes is not None for r in rows if r.error)
 
 
 def test_media_rows(docs, spark):
     rows = media.text_media(docs).collect()
-    assert len(rows) == len(IDS)
-    by_id = texts_by_id()
-    for r in rows:
-        texts = [t.encode() for t in by_id[r.doc_id]]
-        assert r.n_bytes in map(len, texts)
-        payloads = [t + bytes(-len(t) % 64 or (0 if t else 64)) for t in texts]
-        assert (r.payload_bytes, r.payload_sha256, r.tail_crc32) in [(len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:])) for p in payloads]
-        assert re.fullmatch("[0-9a-f]{16}", r.feature)
+    want = Counter()
+    for i, text in zip(IDS, TEXTS, strict=True):
+        raw = (text or "").encode()
+        payload = raw + bytes(-len(raw) % 64 or (0 if raw else 64))
+        stored = slow_png(payload) if len(raw) < 5_000 else media.write_png(payload)
+        want[(i, len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(stored), hashlib.sha256(stored).hexdigest(), slow_hash(payload), None)] += 1
+    assert Counter(map(tuple, rows)) == want
     nothing = media.media_features(spark.createDataFrame([(1, None)], "doc_id long, media binary")).first()
     assert nothing.payload_bytes is None and nothing.feature is None
 
@@ -327,40 +402,110 @@ def test_ngram_scores(docs):
     assert got == want
 
 
-def test_levenshtein_trie():
-    terms = ["idiot", "pathetic", "fool", "worthless", "stem*"]
-    trie = toxicity.LevenshteinTrie(terms)
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, before = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+    return row[-1]
 
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            row, before = [i], row
-            for j, y in enumerate(b, 1):
-                row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
-        return row[-1]
 
+def test_levenshtein_trie():
+    terms = ["idiot", "pathetic", "fool", "worthless"]
+    trie, exact = toxicity.LevenshteinTrie(terms), toxicity.LevenshteinTrie(terms, errors=False)
     draw = random.Random(3)
-    words = ["idiot", "idi0t", "idiots", "diot", "pathetc", "fool", "foul", "wrthles", "stem", "stems", "stemming", "", "xyz"]
+    words = ["idiot", "idi0t", "idiots", "diot", "pathetc", "fool", "foul", "wrthles", "", "xyz"]
     for _ in range(3000):
-        word = list(draw.choice(terms[:4]))
+        word = list(draw.choice(terms))
         for _ in range(draw.randint(0, 3)):
             k = draw.randrange(len(word) + 1)
             word[k : k + draw.randint(0, 1)] = draw.choice(["", "a", "o", "t", "é"])
         words.append("".join(word))
     for word in words:
-        near = [d for t in terms[:4] if (d := distance(word, t)) <= toxicity.errors_allowed(t)]
-        want = 0 if word.startswith("stem") and word != "stem" else min(near, default=-1)
-        assert trie.distance(word) == want, word
+        near = [d for t in terms if (d := edits(word, t)) <= toxicity.errors_allowed(t)]
+        assert trie.distance(word) == min(near, default=-1), word
+        assert exact.distance(word) == (0 if word in terms else -1), word
+
+
+def slow_features(text, terms, spared):
+    """Hits, contexts and windows by plain loops over all words and terms."""
+    words = text.lower().split()
+    bare = [w.strip(toxicity._EDGES) for w in words]
+    hits = {}
+    for k, w in enumerate(bare):
+        near = [d for t in terms if (d := edits(w, t)) <= toxicity.errors_allowed(t)]
+        if w and near and w not in spared:
+            hits[k] = min(near)
+    n, quoted, directed, plain = [0, 0, 0], 0, 0.0, []
+    for k, far in hits.items():
+        opener = k if words[k][0] in toxicity.OPENING else None
+        for j in range(k - 1, max(-1, k - 1 - toxicity.CONTEXT), -1):
+            if opener is not None or words[j][-1] in toxicity.CLOSING:
+                break
+            opener = j if words[j][0] in toxicity.OPENING else None
+        closes = any(words[j].rstrip(".,;:!?")[-1:] and words[j].rstrip(".,;:!?")[-1] in toxicity.CLOSING for j in range(k, min(len(words), k + toxicity.CONTEXT + 1)))
+        if opener is not None and closes or any(w in toxicity.REPORTED for w in bare[max(0, k - 4) : k]):
+            quoted += 1
+            continue
+        n[far] += 1
+        plain.append((k, 0.5**far))
+        directed += 0.5**far * any(w in toxicity.DIRECTED for w in bare[max(0, k - 4) : k] + bare[k + 1 : k + 4])
+    dense = max((sum(x for j, x in plain if k - toxicity.WINDOW < j <= k) for k, _ in plain), default=0)
+    return [1, *map(math.log1p, (*n, quoted, 100 * sum(x for _, x in plain) / max(len(words), 20), dense, directed))]
+
+
+def test_features_are_those_of_plain_loops():
+    terms, spared = ["idiot", "moron", "worthless", "scum"], ["idiom", "worth"]
+    parts = ["idiot", "Idoit,", "moron!", "morons", "idiom", "wrthless", "worthles's", "scum", "scums", '"idiot', 'idiot"', "he", "said", "you", "are", "«moron»", "a", '"so', 'it"', "goes.", "...", "words"]
+    draw = random.Random(5)
+    texts = ["", " ", "idiot"] + [" ".join(draw.choice(parts) for _ in range(draw.choice([3, 20, 200]))) for _ in range(300)]
+    got = toxicity.Finder(terms, spared).features(texts)
+    assert np.allclose(got, [slow_features(t, terms, spared) for t in texts])
 
 
 def test_quotation_is_told_from_abuse():
     finder = toxicity.Finder(toxicity.TERMS)
+    at = {name: k for k, name in enumerate(toxicity.FEATURES)}
     plain, quoted, reported, wrong = finder.features(["you are an idiot", 'the sign read "an idiot lives here" in red', "he said idiot twice", "what an idoit and idiiot"])
-    assert plain[1] > 0 and plain[6] > 0 and plain[3] == 0
-    assert quoted[1] == 0 and quoted[3] > 0 and reported[3] > 0
-    assert wrong[1] == 0 and wrong[2] > 0
-    model = toxicity.ToxicityModel(tuple(toxicity.TERMS), (), tuple(toxicity.PRIOR.tolist()))
-    assert model.weights[1] > model.weights[3]
+    assert plain[at["exact"]] > 0 and plain[at["directed"]] > 0 and plain[at["quoted"]] == 0
+    assert quoted[at["exact"]] == 0 and quoted[at["quoted"]] > 0 and reported[at["quoted"]] > 0
+    assert wrong[at["exact"]] == 0 and wrong[at["one error"]] + wrong[at["two errors"]] > 0
+
+
+def abuse(seed, n):
+    """(doc_id, text, toxic): abuse, half of it misspelled; words near a term, and quotations of abuse, are clean."""
+    draw = random.Random(seed)
+    fill = [f"{a}{b}{c}" for a in "bdfglmprst" for b in "aeiou" for c in ("lk", "nd", "rst", "mp")]
+    out = []
+    for k in range(n):
+        words = [draw.choice(fill) for _ in range(60)]
+        kind = k % 6
+        for _ in range(3 if kind < 5 else 0):
+            term = draw.choice(["worthless", "pathetic", "disgusting", "imbecile", "parasite", "repulsive"])
+            cut = draw.randrange(1, len(term) - 1)
+            bad = term[:cut] + draw.choice("xyz") + term[cut + draw.randint(0, 1) :]
+            what = {0: term, 1: bad, 2: bad, 3: f'"{term} {draw.choice(fill)}"', 4: {"w": "worthiness", "p": "pathetics", "d": "digesting"}.get(term[0], "parasites")}[kind]
+            words.insert(draw.randrange(len(words)), what)
+        out.append((k, " ".join(words), int(kind < 3)))
+    return out
+
+
+def test_errors_and_contexts_raise_held_out_results(spark):
+    rows = abuse(11, 900)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(2)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 == 1]
+
+    def right(errors, contexts):
+        model = toxicity.fit_toxicity(docs, labels, errors, contexts)
+        finder, weights = model.finder(), np.array(model.weights)
+        assert (weights[toxicity.EVIDENCE] >= 0).all()
+        score = 1 / (1 + np.exp(-finder.features([r[1] for r in held]) @ weights))
+        return np.mean((score >= 0.5) == [r[2] for r in held])
+
+    full = right(True, True)
+    assert full > 0.95 and right(False, True) < full - 0.1 and right(True, False) < full - 0.05
 
 
 def test_classifiers_on_awkward_rows(spark, docs, labels):
@@ -402,13 +547,43 @@ def test_attention_gradient():
         assert grad[name][index] == pytest.approx((up - down) / 2e-4, abs=2e-4)
 
 
+def test_long_texts_are_pooled_by_portions(monkeypatch):
+    draw = np.random.default_rng(1)
+    w = {k: draw.normal(0, 0.5, s) for k, s in {"enc": (quality.FEATURES, quality.HIDDEN), "enc0": (quality.HIDDEN,), "tan": (quality.HIDDEN, quality.GATE), "gate": (quality.HIDDEN, quality.GATE), "att": (quality.GATE,), "out": (quality.HIDDEN,), "out0": (1,)}.items()}
+    model = quality.AttentionModel(np.zeros(quality.FEATURES), np.ones(quality.FEATURES), w)
+    monkeypatch.setattr(quality, "PORTION", 1024)
+    text = prose(8, 900).encode()
+    x, sizes = quality.passages(quality.portions(text))
+    assert len(sizes) > 3
+    whole = model.score(x, np.array([len(x)]))
+    assert model.score(x, sizes, np.zeros(len(sizes), int)) == pytest.approx(whole)
+    assert b"".join(quality.portions(text)) == text and quality.portions(b"") == [b""]
+
+
+def test_attention_finds_the_passage_that_decides():
+    """Bags of 20 alike passages, of which one decides: uniform weights in place of the learned ones lose the labels."""
+    draw = np.random.default_rng(6)
+    n, size = 600, 20
+    x = draw.normal(0, 1, (n * size, quality.FEATURES)).astype(np.float32) * 0.3
+    y = (np.arange(n) % 2).astype(float)
+    at = np.arange(n) * size + draw.integers(0, size, n)
+    x[:, 1] += draw.normal(0, 1, n * size)  # what the others say, at random
+    x[:, 2:] *= 0.1
+    x[at, 0], x[at, 1] = 6, np.where(y == 1, 4, -4)
+    model = quality.AttentionModel.fit(x[: 500 * size], np.full(500, size), y[:500])
+    test, want = x[500 * size :], y[500:]
+    learned = np.mean((model.score(test, np.full(100, size)) > 0.5) == want)
+    flat = quality.AttentionModel(model.mean, model.spread, model.w | {"att": np.zeros_like(model.w["att"])})
+    uniform = np.mean((flat.score(test, np.full(100, size)) > 0.5) == want)
+    assert learned > 0.95 and learned > uniform + 0.2
+
+
 EMPTY = {
     "token_counts": lambda d, lab: token_counts.token_counts(d, BYTE),
     "token_file": lambda d, lab: token_file.read_token_file(token_file.write_token_file(d, BYTE, 2)),
     "packed": lambda d, lab: packing.packed(d, BYTE, 2),
     "pieces": lambda d, lab: piece_codec.piece_digests(d, PIECE, 2),
     "simhash": lambda d, lab: simhash.simhash_components(d),
-    "one_of_each": lambda d, lab: simhash.one_of_each(d),
     "media": lambda d, lab: media.text_media(d),
     "ngram_scores": lambda d, lab: ngram_scores.ngram_scores(d, BYTE),
     "toxicity": lambda d, lab: toxicity.toxicity(d, d, lab),
@@ -417,6 +592,23 @@ EMPTY = {
 }
 
 
+@pytest.fixture(scope="session")
+def twins(spark, docs, labels):
+    """The rows with columns whose names differ from those that are read in case alone, and a column of nulls."""
+    named = lambda df, *more: df.select(*df.columns, *[F.lit(k).alias(c) for k, c in enumerate(more)])
+    return named(docs, "DOC_ID", "Text", "LABEL"), named(labels, "Doc_Id", "QUALITY", "Toxic")
+
+
+@pytest.mark.parametrize("name", list(EMPTY))
+def test_names_that_differ_in_case(docs, labels, twins, name):
+    if name == "vectors":
+        own, other = (d.select(*[F.col(c) for c in ()], F.lit(1).alias("vec_id"), F.array(F.lit(1.0)).alias("embedding"), F.lit(3).alias("label"), *x) for d, x in ((docs, ()), (docs, (F.lit(1).alias("VEC_ID"), F.lit(2).alias("Label")))))
+        assert near_vectors.near_vectors(own).collect() == near_vectors.near_vectors(other).collect()
+        return
+    rows = lambda df: Counter(map(str, df.collect()))
+    assert rows(EMPTY[name](twins[0], twins[1])) == rows(EMPTY[name](docs, labels))
+
+
 @pytest.mark.parametrize("name", list(EMPTY))
 def test_empty_table(docs, labels, name):
     assert EMPTY[name](docs.limit(0), labels).count() == 0

@@ -50,6 +50,27 @@ def test_pipeline(spark, sf, documents):
     assert packed.groupby("sequence_id").length.sum().max() <= 1024
 
 
+AWKWARD = [(3, "one two three four five six"), (3, "one two three four five six"), (1, "one two three four five six"), (None, "one two three four five six"), (None, None), (7, None), (8, ""), (9, " "), (10, "x " * 30_000), (11, "you worthless pathetic idiot"), (12, "short")]
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_on_awkward_rows(spark, sf, name):
+    """Nulls, empty and long texts, repeated rows, columns whose names differ in case alone, and no rows at all."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs = spark.createDataFrame([(i, t, "en", None, 5, "t") for i, t in AWKWARD], "doc_id long, text string, lang string, source string, n_chars long, TEXT string").repartition(2)
+    rows = stage(spark, docs, sf)
+    found = rows.collect()
+    assert stage(spark, docs.limit(0), sf).count() == 0
+    if name == "packing":
+        assert Counter(r.doc_id for r in found if r.piece == 0) == Counter(i for i, _ in AWKWARD)
+        return
+    assert rows.columns == docs.columns and Counter((r[0], r[1]) for r in found) <= Counter(AWKWARD)
+    if name == "near_duplicates":
+        assert Counter(r[0] for r in found) == Counter([1, 7, 10, 11, 12])
+    if name == "toxicity":
+        assert 11 not in {r[0] for r in found} and len(found) == len(AWKWARD) - 1
+
+
 def test_the_rest_does_not_import_this_package():
     import subprocess
 

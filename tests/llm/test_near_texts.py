@@ -38,9 +38,9 @@ def planted(seed):
     return list(zip(ids, rows, strict=True))
 
 
-@pytest.mark.parametrize(("seed", "often"), [(1, 3), (2, 10**9)])
-def test_stage_links_as_brute_force(spark, monkeypatch, seed, often):
-    monkeypatch.setattr(near_texts, "OFTEN", often)
+@pytest.mark.parametrize(("seed", "counters"), [(1, near_texts.COUNTERS), (2, near_texts.SEGMENT)])
+def test_stage_links_as_brute_force(spark, monkeypatch, seed, counters):
+    monkeypatch.setattr(near_texts, "COUNTERS", counters)
     monkeypatch.setattr(near_texts, "BROADCAST", 0 if seed == 2 else near_texts.BROADCAST)
     rows = planted(seed)
     sets = [shingles(t) for _, t in rows]
@@ -62,6 +62,28 @@ def test_stage_links_as_brute_force(spark, monkeypatch, seed, often):
     assert near_texts.one_of_each_text(docs.limit(0)).count() == 0
 
 
+def test_all_shingles_are_counted(spark):
+    rows = planted(3)
+    counts = near_texts.counted(spark.createDataFrame([(t or "",) for _, t in rows], "text string").repartition(5))
+    assert counts.sum() == sum(len(shingles(t)) for _, t in rows)
+
+
+def test_fingerprints_alone_leave_links(spark):
+    """Why the search by shingles is there: of planted pairs of similarity 0.8 and more the trees link a part."""
+    draw = random.Random(9)
+    pairs = []
+    for k in range(200):
+        base = [f"w{draw.randrange(3000)}" for _ in range(150)]
+        text = list(base)
+        for at in draw.sample(range(150), 1 + k % 3):
+            text[at] = f"new{k}"
+        a, b = " ".join(base), " ".join(text)
+        if linked(shingles(a), shingles(b)):
+            pairs.append([near_texts.fingerprints([near_texts.shingle_hashes(t, near_texts.WORDS)])[0] for t in (a, b)])
+    bits = np.array([bin(int(np.uint64(np.int64(a)) ^ np.uint64(np.int64(b)))).count("1") for a, b in pairs])
+    assert len(pairs) > 100 and 0.1 < np.mean(bits <= 3) < 0.9
+
+
 def test_parities_rule_out_no_link():
     draw = np.random.default_rng(1)
     for n in (1, 9, 60, 700):
