@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -77,6 +80,28 @@ def _drop(spark: SparkSession, path: str) -> None:
         print(f"left {path}: {type(error).__name__}")
 
 
+_CACHES: list = []
+
+
+def cached(size: int) -> Callable:
+    """lru_cache for what a worker keeps; release() empties it."""
+
+    def wrap(f: Callable) -> Callable:
+        own = lru_cache(size)(f)
+        _CACHES.append(own)
+        return own
+
+    return wrap
+
+
+def release() -> None:
+    """Gives back what a reused worker holds of earlier stages."""
+    for own in _CACHES:
+        own.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def slices(texts: list[str], at_once: int = CHARS_AT_ONCE) -> Iterator[tuple[int, int]]:
     """Ranges of texts with about at_once characters each; a longer text is a range of its own."""
     begin = held = 0

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraops.llm.common import field, numbered, slices, texts_of, written
+from terraops.llm.common import field, numbered, release, slices, texts_of, written
 from terraops.llm.graph import components
 from terraops.llm.simhash import fingerprints, links, shingle_hashes
 
@@ -51,6 +51,7 @@ def counted(texts: DataFrame) -> np.ndarray:
     counters, segment = COUNTERS, SEGMENT
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release()
         total = np.zeros(counters, np.int64)
         for batch in batches:
             for a, b in slices(texts := batch.text.tolist()):

@@ -9,16 +9,14 @@ number there, dealt into the same buckets and joined with the table there. The p
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terraops.llm.common import slices, texts_of, written
+from terraops.llm.common import release, slices, texts_of, written
 from terraops.llm.pieces import encoder
 
 BACKOFF = 0.4
@@ -53,13 +51,6 @@ def _dealt(bucket: np.ndarray, **columns: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"bucket": bucket[order][starts].astype(np.int32), **cut})
 
 
-def _release() -> None:
-    """Gives back what a reused worker holds of earlier stages."""
-    encoder.cache_clear()
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-
-
 class Batch:
     """Bigrams (first << 32 | second) of some documents; a text begins after the mark `begin`."""
 
@@ -116,7 +107,7 @@ def ngram_scores(docs: DataFrame, tokenizer: str) -> DataFrame:
     begin = encoder(tokenizer).tokenizer.get_vocab_size()
 
     def tokenize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        _release()
+        release()
         coder = encoder(tokenizer, ROOM)
         for batch in batches:
             texts = batch.text.tolist()
@@ -132,7 +123,7 @@ def ngram_scores(docs: DataFrame, tokenizer: str) -> DataFrame:
     buckets = max(1, -(-everything // np.dtype(dtype).itemsize // BUCKET))
 
     def batches_of(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, Batch]]:
-        _release()
+        release()
         for batch in batches:
             at = batch.ids.map(len).cumsum() // BYTES
             for _, part in batch.groupby(at):

@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraops.llm.common import slices, texts_of, written
-from terraops.llm.pieces import encoder
+from terraops.llm.pieces import ROOM, encoder
 
-#: Ranks are counted apart in so many groups of the pieces of one length.
-SALTS = 256
+#: Ranks are counted apart in so many groups of the pieces of one length: one for so many pieces, from and to.
+SALT, SALTS, SALTS_MOST = 16_384, 64, 4_096
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -78,11 +78,11 @@ def plan(counts: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
     return np.array(sorted(runs), np.int64).reshape(-1, 6), sequences
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, keep_ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, keep_ids: bool = False, room: int = ROOM) -> DataFrame:
     """One row per piece of each whole text's ids (null: empty) with end_id appended; with keep_ids the ids too."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = encoder(tokenizer)
+        coder = encoder(tokenizer, room)
         for batch in batches:
             texts, names = batch.text.tolist(), batch.doc_id.array
             for a, b in slices(texts):
@@ -108,11 +108,12 @@ def placed(pieces: DataFrame, capacity: int) -> DataFrame:
     """pieces (doc_id, piece, start, length, ids_crc32 and others) with sequence_id and offset.
 
     pieces must be stored rows. The driver gets one count for each length and salt, at most
-    (capacity + 1) * SALTS numbers whatever the input; repeated rows are pieces of their own.
+    (capacity + 1) * SALTS_MOST numbers whatever the input; repeated rows are pieces of their own.
     """
-    salt = F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(SALTS)).cast("int")
+    salts = min(SALTS_MOST, max(SALTS, pieces.count() // SALT))
+    salt = F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(salts)).cast("int")
     pieces = pieces.withColumn("salt", salt)
-    table = np.zeros((capacity + 1, SALTS), np.int64)
+    table = np.zeros((capacity + 1, salts), np.int64)
     for row in pieces.groupBy("length", "salt").count().collect():
         table[row["length"], row["salt"]] = row["count"]
     runs, _ = plan(table.sum(1), capacity)
@@ -131,14 +132,14 @@ def placed(pieces: DataFrame, capacity: int) -> DataFrame:
     return out.select(*[c for c in pieces.columns if c != "salt"], "place.sequence_id", "place.offset")
 
 
-def packed(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 1024) -> DataFrame:
+def packed(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 1024, room: int = ROOM) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece.
 
     Documents longer than the capacity are cut into pieces of the capacity, of which the first may be
-    shorter. A null or empty text is the end id alone; a null doc_id is kept; other columns are ignored; an
-    empty table gives no rows.
+    shorter. A null or empty text is the end id alone; a null doc_id is kept; repeated rows are pieces of their own;
+    other columns are ignored; an empty table gives no rows. A worker keeps the ids of room chunks.
     """
-    return placed(written(token_pieces(docs, tokenizer, end_id, capacity), "pieces"), capacity)
+    return placed(written(token_pieces(docs, tokenizer, end_id, capacity, room=room), "pieces"), capacity)
 
 
 def sequences(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 1024) -> DataFrame:

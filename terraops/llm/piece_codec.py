@@ -11,7 +11,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import pandas as pd
@@ -19,7 +18,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terraops.llm.common import texts_of
+from terraops.llm.common import cached, texts_of
 
 SPACE = "▁"
 BARE = "\x01"
@@ -173,7 +172,7 @@ class PieceCodec:
         return text[1:] if text[:1] == " " else text
 
 
-@lru_cache(2)
+@cached(2)
 def codec(path: str) -> PieceCodec:
     return PieceCodec(path)
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import os
 import re
-from functools import lru_cache
 from itertools import chain
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks already use every core
@@ -18,6 +17,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks already use ev
 import numpy as np
 from tokenizers import Tokenizer
 
+from terraops.llm.common import cached
+
 #: Longest text that is cut at one go; longer ones are taken in parts of this many characters.
 PART_CHARS = 1_000_000
 #: Chunks kept by a worker, and the longest that it keeps.
@@ -179,7 +180,7 @@ def keyed(memo: Memo, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return memo.codes(keys), np.array(sizes, np.int64)
 
 
-@lru_cache(4)
+@cached(4)
 def encoder(path: str, room: int = ROOM) -> ChunkEncoder:
     """One a worker and file."""
     return ChunkEncoder(path, room)

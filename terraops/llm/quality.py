@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terraops.llm.common import fold, kept_where, labelled_sample, slices, texts_of
+from terraops.llm.common import fold, kept_where, labelled_sample, release, slices, texts_of
 
 PASSAGE = 512
 #: The model is fitted on at most so many labelled documents with at most so many bytes of text; it sees all their passages.
@@ -150,6 +150,7 @@ class AttentionModel:
         """Probability that the text is of good quality; a null text counts as empty."""
 
         def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            release()
             for batch in batches:
                 runs = [(k, run) for k, t in enumerate(batch) for run in portions(t.encode())]
                 texts = [run for _, run in runs]

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -17,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terraops.llm.common import slices, texts_of
+from terraops.llm.common import cached, slices, texts_of
 from terraops.llm.pieces import Memo, chunk_of, cuttable, keyed
 
 #: Fixed: the pre-tokens of byte-level BPE files.
@@ -161,7 +160,7 @@ class RankMerger:
         return totals[ends] - totals[ends - sizes]
 
 
-@lru_cache(4)
+@cached(4)
 def merger(path: str) -> RankMerger:
     return RankMerger(path)
 

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terraops.llm.common import fold, kept_where, labelled_sample, slices, texts_of, written
+from terraops.llm.common import fold, kept_where, labelled_sample, release, slices, texts_of, written
 
 #: Abusive words of general knowledge, before any label is seen.
 TERMS = """
@@ -223,6 +223,7 @@ class ToxicityModel:
         """Probability that the text is toxic; a null text counts as empty."""
 
         def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            release()
             finder, weights = self.finder(), np.array(self.weights)
             for batch in batches:
                 texts = batch.tolist()
