@@ -1,7 +1,8 @@
 """A training corpus from documents: without toxic texts, of good quality, one of each near-duplicate, packed.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read back as
-the next stage's docs. All but the last return the columns of docs.
+the next stage's docs. All but the last return the columns of docs. Any of the columns may hold nulls, further columns
+may have any name, and an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -18,12 +19,12 @@ from terraops.llm.toxicity import without_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the toxicity operator rejects."""
+    """Drops the documents that the toxicity operator rejects; null texts are scored as empty ones, repeated rows go together."""
     return without_toxic(docs, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the quality classifier rejects."""
+    """Drops the documents that the quality classifier rejects; null texts are scored as empty ones, repeated rows go together."""
     return of_quality(docs, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
@@ -31,14 +32,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps one document of each group of linked texts.
 
     Texts link when the Jaccard similarity of their sets of five-word shingles is 0.8 or more; transitively
-    linked documents are one group, of which that of the smallest doc_id stays.
+    linked documents are one group, of which that of the smallest doc_id stays. SimHash finds most links, a search
+    by rare shingles the rest. Texts without words (null, empty, blank) are alike; of repeated rows one stays.
     """
     return one_of_each_text(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places all tokens of what is left in sequences of at most 1024."""
-    return packed(docs, public_tokenizers.path(BYTE_BPE), END_ID, 1024)
+    """Places all tokens of what is left in sequences of at most 1024.
+
+    Null and empty texts are their end id alone, repeated rows are pieces of their own, other columns are ignored.
+    """
+    return packed(docs, public_tokenizers.path(BYTE_BPE), END_ID, 1024, room=400_000)  # the stages before have filled the workers
 
 
 STAGES = [("toxicity", toxicity), ("quality", quality), ("near_duplicates", near_duplicates), ("packing", packing)]
