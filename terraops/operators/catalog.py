@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terraops.functions import text, time
@@ -45,9 +45,12 @@ def with_tags_compat(catalog: DataFrame, tags: list[str], position: str) -> Data
 
 
 def running_flag(rows: DataFrame, keys: list[str], position: str, condition: Column, name: str = "seen") -> DataFrame:
-    """rows with whether condition has held in their key up to them, in the order of position."""
-    w = Window.partitionBy(*keys).orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn(name, F.max(F.coalesce(condition, F.lit(False))).over(w))
+    """rows with whether condition has held in their key up to them, in the order of position.
+
+    The first such row of a key decides, so its position is found by an aggregate and no task has to hold a key.
+    """
+    first = rows.where(condition).groupBy(*keys).agg(F.min(position).alias("__first"))
+    return rows.join(first, keys, "left").withColumn(name, F.coalesce(F.col(position) >= F.col("__first"), F.lit(False))).select(*rows.columns, name)
 
 
 def overlapping(catalog: DataFrame, start: Column, end: Column, today: date) -> DataFrame:
@@ -94,6 +97,11 @@ def index_by(catalog: DataFrame, key: Column, name: str = "key", parts: int = 64
     return rows.groupBy(name, "part").agg(F.sort_array(F.collect_list("dataset_id")).alias("dataset_ids"))
 
 
+def lists_by(catalog: DataFrame, key: Column, name: str = "key") -> DataFrame:
+    """Inverted index as lists: (key, dataset_ids in order). A list is one row; for keys with very many see index_by."""
+    return catalog.select(key.alias(name), "dataset_id").groupBy(name).agg(F.sort_array(F.collect_list("dataset_id")).alias("dataset_ids"))
+
+
 def selected(rows: DataFrame, keys: DataFrame, key: str, invert: bool = False) -> DataFrame:
     return rows.join(keys, key, "left_anti" if invert else "left_semi")
 

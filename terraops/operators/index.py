@@ -5,6 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terraops.storage import stored
+
+
+_PART, _RANK = "__part", "__rank"
+
+
+def _ranged(df: DataFrame, *order: str | Column) -> DataFrame:
+    """df in range partitions, each sorted, with the number of a row's partition and its rank there, from 0.
+
+    The rows are stored: range bounds are drawn anew whenever a plan runs, and partition and rank must not change.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(_RANK, F.monotonically_increasing_id())
+    rows = rows.withColumn(_PART, F.shiftright(_RANK, 33).cast("int")).withColumn(_RANK, F.col(_RANK).bitwiseAND(F.lit((1 << 33) - 1)))
+    return stored(rows, "ranged")
+
 
 def dense_index(df: DataFrame, *order: str | Column, name: str = "index") -> DataFrame:
     """df sorted by order with a dense 0-based label.
@@ -12,14 +28,31 @@ def dense_index(df: DataFrame, *order: str | Column, name: str = "index") -> Dat
     Rows are range-partitioned and counted by partition, so no task sees them all: only one count for each
     partition meets in one place. order must be total, or equal rows take their labels in any order.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    part, rank, before = "__part", "__rank", "__before"
-    ranged = df.repartitionByRange(n, *order).withColumn(part, F.spark_partition_id())
-    ranked = ranged.withColumn(rank, F.row_number().over(Window.partitionBy(part).orderBy(*order)))
-    sizes = ranged.groupBy(part).agg(F.count("*").alias("__n"))
-    sizes = sizes.select(part, F.coalesce(F.sum("__n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(before))
-    # one row a partition: n of them at most
-    return ranked.join(F.broadcast(sizes) if n <= 100_000 else sizes, part).withColumn(name, (F.col(before) + F.col(rank) - 1).cast("long")).drop(part, rank, before)
+    ranged = _ranged(df, *order)
+    sizes = ranged.groupBy(_PART).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1))  # a row a partition
+    sizes = sizes.select(_PART, F.coalesce(before, F.lit(0)).alias("__before"))
+    label = (F.col("__before") + F.col(_RANK)).cast("long")
+    return ranged.join(F.broadcast(sizes), _PART).withColumn(name, label).select(*df.columns, name)
+
+
+def path_lengths(df: DataFrame, keys: list[str], position: str, x: str = "x", y: str = "y") -> DataFrame:
+    """(keys, points, length): the number of points of each key, and the planar length of its path in the order of position.
+
+    Points are range-partitioned by key and position, so that a key with many is measured by many tasks; the first
+    point of a partition finds the one before it in a table of one row for each partition.
+    """
+    rows = _ranged(df.select(*keys, position, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y")), *keys, position)
+    point = F.struct(*keys, "__x", "__y")
+    last = rows.groupBy(_PART).agg(F.max_by(point, _RANK).alias("p"))
+    last = last.select(_PART, F.lag("p").over(Window.orderBy(_PART)).alias("__last"))  # a row a partition
+    rows = rows.withColumn("__before", F.lag(point).over(Window.partitionBy(_PART).orderBy(_RANK))).join(F.broadcast(last), _PART)
+    before = F.coalesce("__before", "__last")
+    same = F.lit(True)
+    for k in keys:
+        same = same & before[k].eqNullSafe(F.col(k))
+    step = F.when(same & before.isNotNull(), F.hypot(F.col("__x") - before["__x"], F.col("__y") - before["__y"]))
+    return rows.groupBy(*keys).agg(F.count("*").alias("points"), F.coalesce(F.sum(step), F.lit(0.0)).alias("length"))
 
 
 def first_per_key(df: DataFrame, keys: list[str], *order: str | Column) -> DataFrame:
@@ -43,9 +76,13 @@ def distinct_values(df: DataFrame, columns: list[str], blank: str = " ") -> Data
 
 
 def fields(df: DataFrame) -> DataFrame:
-    """(position, field, type) of df's columns."""
-    rows = [(k, f.name, f.dataType.simpleString()) for k, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, field string, type string")
+    """(position, field, type, filled, different) of df's columns: how many rows have a value, how many values there are."""
+    kinds = {f.name: (k, f.dataType.simpleString()) for k, f in enumerate(df.schema.fields)}
+    texts = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in kinds])
+    values = texts.unpivot([], list(kinds), "field", "value").groupBy("field", "value").agg(F.count("*").alias("n"))
+    figures = values.groupBy("field").agg(F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("filled"), F.count("value").alias("different"))
+    listed = df.sparkSession.createDataFrame([(k, name, kind) for name, (k, kind) in kinds.items()], "position int, field string, type string")
+    return listed.join(figures, "field", "left").select("position", "field", "type", F.coalesce("filled", F.lit(0)).alias("filled"), F.coalesce("different", F.lit(0)).alias("different"))
 
 
 def not_done(work: DataFrame, done: DataFrame, key: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraops.operators.spatial import points_in_polygons, within_radius
@@ -29,10 +29,15 @@ def refine(everything: DataFrame, current: DataFrame | None, condition: Column,
     return current.unionByName(start).where(condition)
 
 
-def or_everything(result: DataFrame, everything: DataFrame) -> DataFrame:
-    """result, or everything if result has no rows."""
-    hits = result.agg(F.count("*").alias("__hits"))
-    return result.unionByName(everything.join(hits, F.col("__hits") == 0).drop("__hits"))
+def first_or_everything(result: DataFrame, everything: DataFrame, order: list[str | Column], limit: int) -> DataFrame:
+    """The first limit rows of result in order, or of everything if result has no rows.
+
+    Both are cut off together, result's rows first, so neither runs twice and only limit rows meet in one place.
+    """
+    turn = "__turn"
+    both = result.withColumn(turn, F.lit(0)).unionByName(everything.withColumn(turn, F.lit(1)))
+    first = both.orderBy(turn, *order).limit(limit)
+    return first.withColumn("__least", F.min(turn).over(Window.partitionBy(F.lit(0)))).where(F.col(turn) == F.col("__least")).drop(turn, "__least")
 
 
 def search(poi: DataFrame, order: list[str | Column], zones: DataFrame | None = None, condition: Column | None = None, centre: DataFrame | None = None, limit: int = 10, compat: bool = False) -> DataFrame:
@@ -48,4 +53,4 @@ def search(poi: DataFrame, order: list[str | Column], zones: DataFrame | None =
         found = cut(found.where(condition))
     if centre is not None:
         found = cut(within_radius(found, centre).select(*poi.columns))
-    return or_everything(found, poi).orderBy(*order).limit(limit)
+    return first_or_everything(found, poi, order, limit).orderBy(*order)

@@ -10,11 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terraops.functions import geo
-from terraops.operators.index import first_per_key
+from terraops.operators.index import dense_index, first_per_key
+from terraops.schemas import PARTS
 
+#: Grid cells of clip(), in degrees.
 CELL = 10.0
-#: Polygons up to this many are broadcast; more are joined by cells through a shuffle.
-BROADCAST_ROWS = 1_000
+#: Polygons are broadcast if their corners, counted once for each cell, are at most so many (16 bytes each); else they are shuffled by cell.
+BROADCAST_CORNERS = 1_000_000
+#: Pairs of a line and a polygon that are cut at once.
+PAIRS = 1_024
 
 
 def _cells(x0: Column, y0: Column, x1: Column, y1: Column, cell: float) -> Column:
@@ -28,16 +32,22 @@ def in_box(x: Column, y: Column, box: Column) -> Column:
     return (x >= box.x0) & (x <= box.x1) & (y >= box.y0) & (y <= box.y1)
 
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame, rings: str = "rings", cell: float = CELL) -> DataFrame:
+def points_in_polygons(points: DataFrame, polygons: DataFrame, rings: str = "rings", cell: float | None = None) -> DataFrame:
     """points x polygons where the point (x, y) lies inside by the even-odd rule over all rings.
 
-    A point has one cell, a polygon every cell of its box, so a pair meets once. The polygons' side is
-    broadcast if a bounded count finds few; else both sides shuffle by cell, and a cell with many points is
-    split by adaptive skew handling. Columns of both sides are kept and must not clash.
+    A point has one cell, a polygon every cell of its box, so a pair meets once. The side of a cell is the mean
+    side of the boxes unless it is given. The polygons' side is broadcast if their corners are counted to be few;
+    else both sides shuffle by cell, and a cell with many points is split by adaptive skew handling. Columns of both
+    sides are kept and must not clash.
     """
-    few = polygons.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    shapes = polygons.where(F.size(F.flatten(F.col(rings))) > 0).withColumn("__box", geo.box(F.flatten(F.col(rings))))
-    shapes = shapes.withColumn("__cell", F.explode(_cells(F.col("__box.x0"), F.col("__box.y0"), F.col("__box.x1"), F.col("__box.y1"), cell)))
+    corners = F.size(F.flatten(F.col(rings)))
+    shapes = polygons.where(corners > 0).withColumn("__box", geo.box(F.flatten(F.col(rings))))
+    sides = F.greatest(F.col("__box.x1") - F.col("__box.x0"), F.col("__box.y1") - F.col("__box.y0"))
+    if cell is None:
+        cell = max(shapes.agg(F.avg(sides)).first()[0] or 0.0, 1e-6)
+    cells = _cells(F.col("__box.x0"), F.col("__box.y0"), F.col("__box.x1"), F.col("__box.y1"), cell)
+    few = (shapes.agg(F.sum(corners.cast("long") * F.size(cells))).first()[0] or 0) <= BROADCAST_CORNERS
+    shapes = shapes.withColumn("__cell", F.explode(cells))
     located = points.where("x is not null and y is not null").withColumn("__cell", F.struct(F.floor(F.col("x") / cell).cast("int").alias("cx"), F.floor(F.col("y") / cell).cast("int").alias("cy")))
     met = located.join(F.broadcast(shapes) if few else shapes, "__cell")
     met = met.where(in_box(F.col("x"), F.col("y"), F.col("__box")))
@@ -57,14 +67,23 @@ def within_radius(points: DataFrame, centres: DataFrame, sides: int = 6) -> Data
     return points_in_polygons(points, shapes).drop("rings")
 
 
-def within_hits(points: DataFrame, hits: DataFrame, position: str) -> DataFrame:
+def within_hits(points: DataFrame, hits: DataFrame, position: str, band: float = 1.0) -> DataFrame:
     """points inside the ring that the hits, in the order of position, make: the second stage of the old search.
 
-    The ring is one row; it grows with the hits, so this belongs to small results only.
+    The ring's edges are rows. They meet the points of their bands of y, and a point is inside if an odd number of
+    them lie to its right; position names a point.
     """
-    rows = F.sort_array(F.collect_list(F.struct(F.col(position).alias("pos"), "x", "y")))
-    ring = hits.agg(F.transform(rows, lambda p: F.struct(p.x.alias("x"), p.y.alias("y"))).alias("__ring"))
-    return points.join(ring, F.size("__ring") > 0).where(geo.in_ring(F.col("x"), F.col("y"), F.col("__ring"))).drop("__ring")
+    corners = dense_index(hits.select(position, "x", "y"), position, name="__k").select("__k", F.col("x").alias("__ax"), F.col("y").alias("__ay"))
+    n = corners.count()
+    ends = corners.select(F.pmod(F.col("__k") - 1, F.lit(max(n, 1))).alias("__k"), F.col("__ax").alias("__bx"), F.col("__ay").alias("__by"))
+    index = lambda v: F.floor(v / band).cast("long")
+    bands = F.sequence(index(F.least("__ay", "__by")), index(F.greatest("__ay", "__by")))
+    edges = corners.join(ends, "__k").where("__ay <> __by").withColumn("__band", F.explode(bands))
+    met = points.select(position, "x", "y").withColumn("__band", index(F.col("y"))).join(edges, "__band")
+    x, y, ax, ay, bx, by = (F.col(c) for c in ("x", "y", "__ax", "__ay", "__bx", "__by"))
+    met = met.where(((by > y) != (ay > y)) & (x < (ax - bx) * (y - by) / (ay - by) + bx))
+    odd = met.groupBy(position).agg(F.count("*").alias("__n")).where("__n % 2 = 1")
+    return points.join(odd.select(position), position, "left_semi")
 
 
 def inside(x: np.ndarray, y: np.ndarray, rings: list[np.ndarray]) -> np.ndarray:
@@ -79,27 +98,56 @@ def inside(x: np.ndarray, y: np.ndarray, rings: list[np.ndarray]) -> np.ndarray:
     return odd
 
 
-def cut_path(path: np.ndarray, rings: list[np.ndarray]) -> list[np.ndarray]:
-    """The parts of a path inside a shape: segments are cut where they cross edges, pieces kept by their middle."""
-    out: list[list[np.ndarray]] = []
-    edges = np.concatenate([np.stack([r, np.roll(r, -1, 0)], 1) for r in rings])
-    d = edges[:, 1] - edges[:, 0]
-    for p, q in zip(path, path[1:], strict=False):
-        s = q - p
-        cross = s[0] * d[:, 1] - s[1] * d[:, 0]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            w = edges[:, 0] - p
-            t, u = (w[:, 0] * d[:, 1] - w[:, 1] * d[:, 0]) / cross, (w[:, 0] * s[1] - w[:, 1] * s[0]) / cross
-        ts = np.unique(np.concatenate([[0.0, 1.0], t[(cross != 0) & (t > 0) & (t < 1) & (u >= 0) & (u <= 1)]]))
-        mid = p + s * ((ts[:-1] + ts[1:]) / 2)[:, None]
-        for keep, a, b in zip(inside(mid[:, 0], mid[:, 1], rings), ts, ts[1:], strict=False):
-            if keep:
-                begin, end = p + s * a, p + s * b
-                if out and np.array_equal(out[-1][-1], begin):
-                    out[-1].append(end)
-                else:
-                    out.append([begin, end])
-    return [np.array(piece) for piece in out]
+def _crossed(sizes_a: np.ndarray, sizes_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of two ragged lists with as many groups: every row of a group with every other of the same group."""
+    starts = np.cumsum(sizes_b) - sizes_b
+    group = np.repeat(np.arange(len(sizes_a)), sizes_a)
+    times = sizes_b[group]
+    left = np.repeat(np.arange(len(group)), times)
+    return left, np.arange(len(left)) - np.repeat(np.cumsum(times) - times, times) + starts[group[left]]
+
+
+def cut_paths(paths: list[np.ndarray], shapes: list[list[np.ndarray]]) -> list[list[np.ndarray]]:
+    """The parts of each path inside its shape: segments are cut where they cross edges, pieces kept by their middle.
+
+    All segments, edges and pieces of the list are worked on together.
+    """
+    n = np.arange(len(paths))
+    segments = np.array([max(0, len(p) - 1) for p in paths], np.int64)
+    p, q = (np.concatenate([np.empty((0, 2)), *[x[a:b] for x in paths if len(x) > 1]]) for a, b in ((0, -1), (1, None)))
+    edges = np.array([sum(map(len, rings)) for rings in shapes], np.int64)
+    a = np.concatenate([np.empty((0, 2)), *[r for rings in shapes for r in rings]])
+    b = np.concatenate([np.empty((0, 2)), *[np.roll(r, -1, 0) for rings in shapes for r in rings]])
+    s, d = q - p, b - a
+    i, j = _crossed(segments, edges)
+    cross = s[i, 0] * d[j, 1] - s[i, 1] * d[j, 0]
+    w = a[j] - p[i]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t, u = (w[:, 0] * d[j, 1] - w[:, 1] * d[j, 0]) / cross, (w[:, 0] * s[i, 1] - w[:, 1] * s[i, 0]) / cross
+    hit = (cross != 0) & (t > 0) & (t < 1) & (u >= 0) & (u <= 1)
+    every = np.arange(len(p))
+    of, at = np.concatenate([every, every, i[hit]]), np.concatenate([np.zeros(len(p)), np.ones(len(p)), t[hit]])
+    order = np.lexsort((at, of))
+    of, at = of[order], at[order]
+    new = np.append(True, (of[1:] != of[:-1]) | (at[1:] != at[:-1])) if len(of) else np.empty(0, bool)
+    of, at = of[new], at[new]
+    inner = np.flatnonzero(of[1:] == of[:-1])
+    segment, t0, t1 = of[inner], at[inner], at[inner + 1]
+    begin, end = p[segment] + s[segment] * t0[:, None], p[segment] + s[segment] * t1[:, None]
+    mid = p[segment] + s[segment] * ((t0 + t1) / 2)[:, None]
+    owner = np.repeat(n, segments)[segment]
+    i, j = _crossed(np.bincount(owner, minlength=len(n)), edges)
+    spans = (b[j, 1] > mid[i, 1]) != (a[j, 1] > mid[i, 1])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        left = mid[i, 0] < (a[j, 0] - b[j, 0]) * (mid[i, 1] - b[j, 1]) / (a[j, 1] - b[j, 1]) + b[j, 0]
+    keep = np.flatnonzero(np.bincount(i[spans & left], minlength=len(mid)) % 2)
+    out: list[list[np.ndarray]] = [[] for _ in paths]
+    if len(keep):
+        begin, end, owner = begin[keep], end[keep], owner[keep]
+        apart = np.append(True, (owner[1:] != owner[:-1]) | (begin[1:] != end[:-1]).any(1))
+        for k, m in zip(*(lambda first: (first, np.append(first[1:], len(keep))))(np.flatnonzero(apart)), strict=True):
+            out[owner[k]].append(np.vstack([begin[k : k + 1], end[k:m]]))
+    return out
 
 
 def clip(lines: DataFrame, polygons: DataFrame, line_id: str, polygon_id: str, keep_polygon: bool = False, cell: float = CELL) -> DataFrame:
@@ -117,24 +165,38 @@ def clip(lines: DataFrame, polygons: DataFrame, line_id: str, polygon_id: str, k
     kept = polygons if keep_polygon else polygons.select(polygon_id, "rings")
     met = pairs.join(lines, line_id).join(kept, polygon_id)
 
-    @F.pandas_udf("parts array<array<struct<x:double,y:double>>>, ok boolean, error string")
-    def cut(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for lx, ly, px, py in batches:
-            rows = []
-            for a, b, cs, ds in zip(lx, ly, px, py, strict=True):
-                try:
-                    rings = [np.column_stack([np.asarray(c, float), np.asarray(d, float)]) for c, d in zip(cs, ds, strict=True) if len(c) > 2]
-                    parts = cut_path(np.column_stack([np.asarray(a, float), np.asarray(b, float)]), rings) if rings else []
-                    rows.append(([[{"x": float(x), "y": float(y)} for x, y in part] for part in parts], True, None))
-                except (ValueError, TypeError) as error:
-                    rows.append((None, False, f"{type(error).__name__}: {error}"))
-            yield pd.DataFrame(rows, columns=["parts", "ok", "error"])
-
+    rest = [c for c in met.columns if c != "rings"]
     of = lambda name, axis: F.transform(F.col(name), lambda p: p[axis])
     rings_of = lambda axis: F.transform(F.col("rings"), lambda r: F.transform(r, lambda p: p[axis]))
-    out = met.withColumn("cut", cut(of("path", "x"), of("path", "y"), rings_of("x"), rings_of("y")))
-    out = out.select(*[c for c in met.columns if c != "rings"], "cut.*")
-    return out.where(~F.col("ok") | (F.size("parts") > 0))
+    coordinates = {"__lx": of("path", "x"), "__ly": of("path", "y"), "__px": rings_of("x"), "__py": rings_of("y")}
+
+    names = list(coordinates)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for k in range(0, len(batch), PAIRS):
+                part = batch.iloc[k : k + PAIRS].reset_index(drop=True)
+                paths, shapes, errors = [], [], []
+                for a, b, cs, ds in zip(*(part[c] for c in names), strict=True):
+                    path, rings, error = np.empty((0, 2)), [], None
+                    try:
+                        rings = [np.column_stack([np.asarray(c, float), np.asarray(d, float)]) for c, d in zip(cs, ds, strict=True) if len(c) > 2]
+                        path = np.column_stack([np.asarray(a, float), np.asarray(b, float)])
+                    except (ValueError, TypeError) as wrong:
+                        error = f"{type(wrong).__name__}: {wrong}"
+                    paths.append(path if error is None else np.empty((0, 2)))
+                    shapes.append(rings if error is None else [])
+                    errors.append(error)
+                parts = cut_paths(paths, shapes)
+                met = [k for k in range(len(part)) if parts[k] or errors[k]]
+                shown = [None if errors[k] else [[{"x": x, "y": y} for x, y in piece.tolist()] for piece in parts[k]] for k in met]
+                yield part.loc[met, ["__pair"]].assign(parts=pd.Series(shown, index=met, dtype=object), ok=[errors[k] is None for k in met], error=[errors[k] for k in met])
+
+    keys = met.select(line_id, polygon_id).schema
+    pair = F.struct(F.col(line_id), F.col(polygon_id))
+    pieces = met.select(pair.alias("__pair"), *[c.alias(name) for name, c in coordinates.items()]).mapInPandas(cut, f"__pair {keys.simpleString()}, parts {PARTS}, ok boolean, error string")
+    pieces = pieces.select(*[F.col(f"__pair.{c}").alias(c) for c in (line_id, polygon_id)], "parts", "ok", "error")
+    return pieces.join(lines, line_id).join(kept.drop("rings"), polygon_id).select(*rest, "parts", "ok", "error")
 
 
 def parts_length(parts: Column) -> Column:

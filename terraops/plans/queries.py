@@ -41,6 +41,12 @@ def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipelines.trip_report(staff, views.trips(spark, sf_dir), *limits)
 
 
+def _found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staff = views.people(spark, sf_dir).where(F.col("Team").isin(*views.SEGMENTS)).drop("Team")
+    limits = [F.lit(v).cast("timestamp_ntz") for v in (views.FROM, views.TO)]
+    return trips.employee_trips(staff, views.trips(spark, sf_dir), *limits)
+
+
 @query('SELECT "index", "Name", "ID", "Duration", "Start", "End", "Route" FROM report')
 def trips_report(spark, sf_dir):
     return _report(spark, sf_dir)
@@ -62,18 +68,18 @@ _SEEN = """SELECT "Name", string_agg(city, ';' ORDER BY "Duration", "Start", "En
 
 @query(f"SELECT s.*, c.cities_visited, c.total_cities FROM ({_STATS}) s JOIN ({_SEEN}) c USING (\"Name\")")
 def trips_stats(spark, sf_dir):
-    return trips.trip_stats(_report(spark, sf_dir))
+    return trips.trip_stats(_found(spark, sf_dir))
 
 
 @query(f"""SELECT "Name", total_trips, round_even(total_travel_days::DOUBLE / total_trips, 1) AS avg_days_per_trip, round_even(100.0::DOUBLE * total_travel_days / nullif(total_time_span, 0), 1) AS travel_time_pct,
     round_even(total_time_span::DOUBLE / total_trips, 1) AS span_per_trip FROM ({_STATS})""")
 def trips_ratios(spark, sf_dir):
-    return trips.trip_ratios(trips.trip_stats(_report(spark, sf_dir))).select("Name", "total_trips", "avg_days_per_trip", "travel_time_pct", "span_per_trip")
+    return trips.trip_ratios(trips.trip_stats(_found(spark, sf_dir))).select("Name", "total_trips", "avg_days_per_trip", "travel_time_pct", "span_per_trip")
 
 
 @query(_SEEN)
 def trips_cities_first_seen(spark, sf_dir):
-    return trips.cities_first_seen(_report(spark, sf_dir))
+    return trips.cities_first_seen(_found(spark, sf_dir))
 
 
 @query("""SELECT "index", 'LineString (' || string_agg(cx || ' ' || cy, ',' ORDER BY pos) || ')' AS wkt, count(*) AS points FROM stops JOIN cities USING (city) GROUP BY "index\"""")
@@ -175,7 +181,9 @@ def poi_extent(spark, sf_dir):
     return views.poi(spark, sf_dir).agg(F.min("x").alias("x0"), F.min("y").alias("y0"), F.max("x").alias("x1"), F.max("y").alias("y1"))
 
 
-@query("SELECT CAST(pos AS INTEGER) AS position, field, type FROM (VALUES (0, 'ID', 'bigint'), (1, 'Start', 'timestamp_ntz'), (2, 'End', 'timestamp_ntz'), (3, 'Route', 'string')) v(pos, field, type)")
+@query("""SELECT CAST(pos AS INTEGER) AS position, field, type, filled, different FROM (VALUES (0, 'ID', 'bigint'), (1, 'Start', 'timestamp_ntz'), (2, 'End', 'timestamp_ntz'), (3, 'Route', 'string')) v(pos, field, type)
+    JOIN (SELECT 'ID' AS field, count("ID") AS filled, count(DISTINCT "ID") AS different FROM trips UNION ALL SELECT 'Start', count("Start"), count(DISTINCT "Start") FROM trips
+    UNION ALL SELECT 'End', count("End"), count(DISTINCT "End") FROM trips UNION ALL SELECT 'Route', count("Route"), count(DISTINCT "Route") FROM trips) USING (field)""")
 def layer_fields(spark, sf_dir):
     return index.fields(views.trips(spark, sf_dir))
 
@@ -257,9 +265,29 @@ def osm_labels(spark, sf_dir):
     return ways.select("way_id", osm.label(F.col("class"), F.col("name"), F.size("path") - 1, corners).alias("label"))
 
 
-@query()
+# The inverse geodesic, each round one row of the recursion; edges that do not converge leave their way without a length.
+_TERMS = """sqrt((c2 * sin(lam)) ** 2 + (c1 * s2 - s1 * c2 * cos(lam)) ** 2) AS ss, s1 * s2 + c1 * c2 * cos(lam) AS cs"""
+views.DUCKDB["geodesic"] = """SELECT way_id, pos, turn, sin(u1) AS s1, cos(u1) AS c1, sin(u2) AS s2, cos(u2) AS c2 FROM (SELECT way_id, pos, radians(nx - x) AS turn,
+    atan((1 - 1 / 298.257223563::DOUBLE) * tan(radians(y))) AS u1, atan((1 - 1 / 298.257223563::DOUBLE) * tan(radians(ny))) AS u2
+    FROM (SELECT way_id, pos, x, y, lead(x) OVER w AS nx, lead(y) OVER w AS ny FROM way_point WINDOW w AS (PARTITION BY way_id ORDER BY pos)) JOIN classed USING (way_id) WHERE kind = 'linear' AND nx IS NOT NULL)"""
+_ROUND = f"""SELECT *, acos(0) * 0 + atan2(ss, cs) AS sg, CASE WHEN ss = 0 THEN 0 ELSE c1 * c2 * sin(lam) / ss END AS sa FROM (SELECT *, {_TERMS} FROM rounds)"""
+_ROUND = f"""SELECT *, 1 - sa * sa AS ca, CASE WHEN 1 - sa * sa = 0 THEN 0 ELSE cs - 2 * s1 * s2 / (1 - sa * sa) END AS cm FROM ({_ROUND})"""
+_F = "(1 / 298.257223563::DOUBLE)"
+_C = f"({_F} / 16 * ca * (4 + {_F} * (4 - 3 * ca)))"
+_NEXT = f"(turn + (1 - {_C}) * {_F} * sa * (sg + {_C} * ss * (cm + {_C} * cs * (2 * cm * cm - 1))))"
+_K = f"(ca * (6378137.0::DOUBLE ** 2 - (6378137.0::DOUBLE * (1 - {_F})) ** 2) / (6378137.0::DOUBLE * (1 - {_F})) ** 2)"
+_A, _B = f"(1 + {_K} / 16384 * (4096 + {_K} * (-768 + {_K} * (320 - 175 * {_K}))))", f"({_K} / 1024 * (256 + {_K} * (-128 + {_K} * (74 - 47 * {_K}))))"
+_DS = f"({_B} * ss * (cm + {_B} / 4 * (cs * (2 * cm * cm - 1) - {_B} / 6 * cm * (4 * ss * ss - 3) * (4 * cm * cm - 3))))"
+_GEODESIC = f"""SELECT way_id, class, round(coalesce(km, 0), 3) AS km FROM classed LEFT JOIN (SELECT way_id, sum(m) / 1000 AS km, bool_and(done) AS good FROM (
+    WITH RECURSIVE rounds AS (SELECT *, turn AS lam, turn AS before, 0 AS r FROM geodesic UNION ALL SELECT way_id, pos, turn, s1, c1, s2, c2, {_NEXT} AS lam, lam AS before, r + 1 FROM ({_ROUND}) WHERE r < 99)
+    SELECT way_id, abs({_NEXT} - lam) < 1e-12 AS done, CASE WHEN ss = 0 THEN 0 ELSE 6378137.0::DOUBLE * (1 - {_F}) * {_A} * (sg - {_DS}) END AS m FROM ({_ROUND}) WHERE r = 99) GROUP BY way_id) USING (way_id)
+    WHERE kind = 'linear' AND coalesce(good, true)"""
+
+
+@query(_GEODESIC)
 def osm_length(spark, sf_dir):
-    return osm.measured(osm.classify(_drawn(spark, sf_dir))).where("kind = 'linear'").select("way_id", "class", "length")
+    found = osm.measured(osm.classify(_drawn(spark, sf_dir))).where("kind = 'linear' and not isnan(length)")
+    return found.select("way_id", "class", F.round(F.col("length") / 1000, 3).alias("km"))
 
 
 _E = 0.0818191908426215
@@ -470,18 +498,101 @@ def page_kv(spark, sf_dir):
     return html.place_rows(pages).drop("error")
 
 
-@query("""SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(l_linenumber AS VARCHAR) AS band, l_returnflag AS crs, CAST(l_quantity AS INTEGER) AS dim_x, epoch_ms(o_orderdate) AS start_ms, strftime(o_orderdate, '%Y-%m-%d') AS start_date
-    FROM orders JOIN lineitem ON o_orderkey = l_orderkey""")
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(l_linenumber AS VARCHAR) AS band, l_returnflag AS crs, CAST(l_quantity AS INTEGER) AS dim_x, 1 AS dim_y, epoch_ms(o_orderdate) AS start_ms, strftime(o_orderdate, '%Y-%m-%d') AS start_date,
+    epoch_ms(o_orderdate + INTERVAL 36 HOUR) AS end_ms, strftime(o_orderdate + INTERVAL 36 HOUR, '%Y-%m-%d') AS end_date, 'LineString (' || (o_orderkey % 90)::DOUBLE || ' 0.5,' || (o_orderkey % 90)::DOUBLE || ' 1.5)' AS footprint FROM orders JOIN lineitem ON o_orderkey = l_orderkey""")
 def image_bands(spark, sf_dir):
     """Orders as image features and their items as bands, through nested JSON."""
     ms = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("o_orderdate"))
     bands = views.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_linenumber").cast("string").alias("id"), F.col("l_returnflag").alias("crs"), F.array(F.col("l_quantity").cast("int"), F.lit(1)).alias("dimensions"))).alias("bands"))
     orders = views.table(spark, sf_dir, "orders").join(bands, F.col("o_orderkey") == F.col("l_orderkey"))
-    props = F.struct(ms.alias("system:time_start"), ms.alias("system:time_end"))
+    x = (F.col("o_orderkey") % 90).cast("double")
+    ring = F.struct(F.array(*[F.array(x, F.lit(y)) for y in (0.5, 1.5)]).alias("coordinates"))
+    props = F.struct(ms.alias("system:time_start"), (ms + 36 * 3_600_000).alias("system:time_end"), ring.alias("system:footprint"))
     feature = F.struct(F.col("o_orderkey").cast("string").alias("id"), props.alias("properties"), "bands")
     lines = orders.select(F.to_json(F.struct(F.array(feature).alias("features"))).alias("line"))
     documents = lines.select(F.from_json("line", tables.schemas.IMAGES).alias("d")).select("d.*")
-    return tables.image_bands(documents).select("id", "band", "crs", "dim_x", "start_ms", "start_date")
+    return tables.image_bands(documents).select("id", "band", "crs", "dim_x", "dim_y", "start_ms", "start_date", "end_ms", "end_date", geo.line_wkt(F.col("footprint")).alias("footprint"))
+
+
+@query("SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS index FROM orders")
+def orders_index(spark, sf_dir):
+    """Labels of rows with columns that the order does not name."""
+    return index.dense_index(views.table(spark, sf_dir, "orders"), "o_orderdate", "o_orderkey").select("o_orderkey", "o_totalprice", "index")
+
+
+@query(f"""SELECT row_number() OVER (ORDER BY "Name", "Duration", "Start", "End", "ID", "Route") - 1 AS "index", * FROM (
+    SELECT "Name", "ID", CAST((epoch_us("End") - epoch_us("Start")) // 86400000000 AS INTEGER) AS "Duration", "Start", "End", "Route"
+    FROM people JOIN (SELECT "ID", date_trunc('second', "Start") AS "Start", date_trunc('second', "End") AS "End", "Route" FROM trips) USING ("ID")
+    WHERE "Team" IN {views.SEGMENTS} AND "Start" >= TIMESTAMP '{views.FROM}' AND "End" <= TIMESTAMP '{views.TO}')""")
+def trips_csv(spark, sf_dir):
+    """From the text files that the trip pipeline starts with: employees, and travel_dddd.csv among other files."""
+    folder = storage.shared_folder(spark, "trips")
+    staff = views.people(spark, sf_dir).where(F.col("Team").isin(*views.SEGMENTS)).select("Name", "ID")
+    staff.write.csv(f"{folder}/employees")
+    at = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    travel = views.trips(spark, sf_dir).select("ID", at("Start"), at("End"), "Route")
+    travel.write.csv(f"{folder}/travel")
+    storage.rename_parts(spark, f"{folder}/travel", "travel_{:04d}.csv")
+    travel.limit(5).coalesce(1).write.mode("append").csv(f"{folder}/travel")  # its name is not one of theirs
+    limits = [F.lit(v).cast("timestamp_ntz") for v in (views.FROM, views.TO)]
+    out = pipelines.trip_report(tables.employees(spark, f"{folder}/employees"), tables.travel(spark, f"{folder}/travel"), *limits)
+    return out.withColumn("ID", F.col("ID").cast("long"))
+
+
+@query("""SELECT r."Name", r."ID", r."Duration", strftime(r."Start", '%Y-%m-%d %H:%M:%S') AS "Start", strftime(r."End", '%Y-%m-%d %H:%M:%S') AS "End", r."Route",
+    'LineString (' || string_agg(cx || ' ' || cy, ',' ORDER BY pos) || ')' AS geom_wkt, 4326 AS srid FROM report r JOIN stops s USING ("index") JOIN cities USING (city) GROUP BY ALL""")
+def trips_layer(spark, sf_dir):
+    """Through the typed line layer."""
+    folder = storage.shared_folder(spark, "trip_lines")
+    sinks.trip_lines(trips.route_lines(_report(spark, sf_dir), views.cities(spark), ["index"]), folder)
+    return spark.read.parquet(folder)
+
+
+@query("SELECT n_nationkey AS clip_oid, count(*) AS pieces, round(sum(degrees), 3) AS degrees FROM clipped GROUP BY n_nationkey")
+def clip_layers(spark, sf_dir):
+    """Through one folder of output for each clip polygon."""
+    folder = storage.shared_folder(spark, "clipped")
+    sinks.by_polygon(_clipped(spark, sf_dir, False), folder, "n_nationkey")
+    return spark.read.parquet(folder).groupBy("clip_oid").agg(F.count("*").alias("pieces"), F.round(F.sum(spatial.parts_length(F.col("parts"))), 3).alias("degrees"))
+
+
+@query("SELECT dataset_id, dataset_type, raw_start AS dataset_start, raw_end AS dataset_end, array_to_string(tags, ';') AS tags FROM dated")
+def catalog_built(spark, sf_dir):
+    """The catalog as it is built where there is none, and then read from its place."""
+    folder = storage.shared_folder(spark, "catalog")
+    rows = views.catalog(spark, sf_dir).selectExpr("cast(p_partkey as string) as dataset", "tags", "'' as description", "dataset_id", "dataset_type", "dataset_start", "dataset_end")
+    tables.catalog_or_build(spark, folder, lambda: rows)
+    found = tables.catalog_or_build(spark, folder, lambda: rows.limit(0))
+    return found.select("dataset_id", "dataset_type", "dataset_start", "dataset_end", F.array_join("tags", ";").alias("tags"))
+
+
+@query("SELECT publisher, string_agg(dataset_id, ';' ORDER BY dataset_id) AS datasets FROM catalog GROUP BY publisher")
+def catalog_lists(spark, sf_dir):
+    rows = cat.lists_by(_catalog(spark, sf_dir), text.publisher(F.col("dataset_id")), "publisher")
+    return rows.select("publisher", F.array_join("dataset_ids", ";").alias("datasets"))
+
+
+@query("SELECT p_partkey, n_name FROM in_zone JOIN nation USING (n_nationkey)")
+def poi_in_zone_compat(spark, sf_dir):
+    """As the old country filter: the first polygon of a name, its rings run together."""
+    zones = views.zones(spark, sf_dir)
+    later = zones.withColumns({"n_nationkey": F.col("n_nationkey") + 1000, "rings": F.transform("rings", lambda r: F.transform(r, lambda p: geo.point(p.x / 2, p.y)))})
+    shapes = spatial.first_flattened(zones.union(later), "n_name", "n_nationkey")
+    return spatial.points_in_polygons(views.poi(spark, sf_dir), shapes).select("p_partkey", "n_name")
+
+
+@query("SELECT p_partkey FROM poi WHERE amenity = 'Brand#4'")
+def poi_refine_compat(spark, sf_dir):
+    """As written: a current result without rows counts as none, so all points are refined."""
+    points = views.poi(spark, sf_dir)
+    return poi.refine(points, points.where("p_size > 1000"), F.expr("amenity = 'Brand#4'"), compat=True).select("p_partkey")
+
+
+@query("SELECT p_partkey FROM (SELECT p_partkey, p_size FROM poi JOIN (SELECT DISTINCT p_partkey FROM in_zone) USING (p_partkey) ORDER BY p_partkey LIMIT 50) WHERE p_size > 10")
+def poi_search_compat(spark, sf_dir):
+    """As written: the limit holds after each filter, not only at the end."""
+    found = pipelines.point_search(views.poi(spark, sf_dir), ["p_partkey"], zones=views.zones(spark, sf_dir), condition=F.col("p_size") > 10, limit=50, compat=True)
+    return found.select("p_partkey")
 
 
 @query("SELECT p_partkey, name, round(x, 6) AS x FROM poi")
@@ -551,5 +662,5 @@ def append_points(spark, sf_dir):
 @query("""SELECT user_id, count(*) AS points, round(coalesce(sum(sqrt((nv - value) ** 2 + (nk - event_id) ** 2)), 0), 3) AS length FROM (
     SELECT user_id, event_id, value, lead(value) OVER w AS nv, lead(event_id) OVER w AS nk FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) GROUP BY user_id""")
 def tracks(spark, sf_dir):
-    rows = index.paths(views.table(spark, sf_dir, "events"), ["user_id"], "event_id", "value", "event_id")
-    return rows.select("user_id", F.size("path").cast("long").alias("points"), F.round(geo.path_length(F.col("path")), 3).alias("length"))
+    rows = index.path_lengths(views.table(spark, sf_dir, "events"), ["user_id"], "event_id", "value", "event_id")
+    return rows.withColumn("length", F.round("length", 3))

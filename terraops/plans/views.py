@@ -61,17 +61,19 @@ def ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber as n", "l_partkey + if(l_linenumber = 7, 1000000000L, 0L) as node")
     lists = items.groupBy("l_orderkey").agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "node"))), lambda r: r.node).alias("nodes"))
     tags = F.expr("""map_concat(
-        case o_orderpriority when '1-URGENT' then map('waterway', 'stream') when '2-HIGH' then map('waterway', 'ditch', 'natural', 'water')
-            when '3-MEDIUM' then map('natural', 'water', 'water', 'lake') when '4-NOT SPECIFIED' then map('natural', 'water') else map('highway', 'path') end,
+        case o_orderpriority when '1-URGENT' then map('waterway', case o_orderkey % 3 when 0 then 'stream' when 1 then 'river' else 'canal' end) when '2-HIGH' then map('waterway', 'ditch', 'natural', 'water')
+            when '3-MEDIUM' then map('natural', 'water', 'water', case o_orderkey % 3 when 0 then 'lake' when 1 then 'pond' else 'reservoir' end) when '4-NOT SPECIFIED' then map('natural', 'water') else map('highway', 'path') end,
         case o_orderstatus when 'F' then map('name', 'Falls') when 'O' then map('name', 'Otter') else map() end)""")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("way_id"), tags.alias("tags"))
     return orders.join(lists, F.col("way_id") == F.col("l_orderkey")).select("way_id", "nodes", "tags")
 
 
 def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes and ways; before every fifth way stands an older one of its id, without tags."""
     points = nodes(spark, sf_dir).select(F.lit("node").alias("type"), "id", "lat", "lon", F.lit(None).cast("array<bigint>").alias("nodes"), F.lit(None).cast("map<string,string>").alias("tags"))
     lines = ways(spark, sf_dir).select(F.lit("way").alias("type"), F.col("way_id").alias("id"), F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"), "nodes", "tags")
-    return points.union(lines).withColumn("pos", F.lit(0))
+    last = points.union(lines).withColumn("pos", F.lit(1))
+    return last.union(last.where("type = 'way' and id % 5 = 0").withColumns({"tags": F.create_map().cast("map<string,string>"), "pos": F.lit(0)}))
 
 
 def roads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,7 +120,7 @@ DUCKDB = {
     "way_edge": """SELECT way_id, x, y, lead(x) OVER w AS nx, lead(y) OVER w AS ny, first_value(x) OVER w AS fx, first_value(y) OVER w AS fy
         FROM way_point WINDOW w AS (PARTITION BY way_id ORDER BY pos)""",
     "classed": """SELECT way_id, name, drawn, n, CASE WHEN NOT drawn THEN 'ignored' WHEN prio IN ('1-URGENT', '2-HIGH') THEN 'linear' WHEN prio IN ('3-MEDIUM', '4-NOT SPECIFIED') THEN 'areal' ELSE 'ignored' END AS kind,
-        CASE WHEN NOT drawn THEN NULL WHEN prio = '1-URGENT' THEN 'Stream' WHEN prio = '2-HIGH' THEN 'OtherLinear' WHEN prio = '3-MEDIUM' THEN 'Lake' WHEN prio = '4-NOT SPECIFIED' THEN 'OtherAreal' END AS class
+        CASE WHEN NOT drawn THEN NULL WHEN prio = '1-URGENT' THEN ['Stream', 'River', 'Canal'][way_id % 3 + 1] WHEN prio = '2-HIGH' THEN 'OtherLinear' WHEN prio = '3-MEDIUM' THEN ['Lake', 'Pond', 'Reservoir'][way_id % 3 + 1] WHEN prio = '4-NOT SPECIFIED' THEN 'OtherAreal' END AS class
         FROM way JOIN drawn USING (way_id)""",
     "catalog": """SELECT p_partkey, p_size, p_brand || '/' || p_name || '/' || p_partkey AS dataset_id, p_type AS dataset_type, string_split(p_name, ' ') AS tags, p_brand AS publisher,
         DATE '2000-01-01' + (p_partkey % 5000)::INT AS start, CASE WHEN p_partkey % 11 = 0 OR p_partkey % 7 = 0 THEN NULL ELSE DATE '2000-01-01' + (p_partkey % 5000 + 30 * p_size)::INT END AS "end",

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import io
+import lzma
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -18,24 +21,38 @@ def archives(spark: SparkSession, root: str) -> DataFrame:
     return files.selectExpr("path as archive", "content")
 
 
+#: What reading a damaged archive can raise, depending on the byte that is wrong.
+DAMAGE = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, OSError, ValueError, NotImplementedError, RuntimeError, struct.error, LookupError, OverflowError)
+
+
 def members(zips: DataFrame) -> DataFrame:
-    """(archive, member, content, error): one row per file in each archive; a bad archive gives one row with its error.
+    """(archive, member, content, error): one row per file in each archive.
 
-    Members are handed on one at a time, so a task holds one archive and one member.
+    A member that cannot be read, or whose checksum is wrong, has its error in place of the content; an archive that
+    cannot be opened gives one row with its error and no member. Each member is read once and handed on alone, so a
+    task holds one archive and one member.
     """
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, data in zip(batch.archive, batch.content, strict=True):
-                row = {"archive": name, "member": None, "content": None, "error": None}
-                try:
-                    with zipfile.ZipFile(io.BytesIO(data or b"")) as file:
-                        if broken := file.testzip():
-                            raise zipfile.BadZipFile(f"{broken} is damaged")
-                        for info in file.infolist():
-                            if not info.is_dir():
-                                yield pd.DataFrame([row | {"member": info.filename, "content": file.read(info)}])
-                except (zipfile.BadZipFile, NotImplementedError, RuntimeError, EOFError) as error:
-                    yield pd.DataFrame([row | {"error": f"{type(error).__name__}: {error}"}])
+                for row in _expanded(data or b""):
+                    yield pd.DataFrame([{"archive": name} | row])
 
     return zips.select("archive", "content").mapInPandas(expand, MEMBERS)
+
+
+def _expanded(data: bytes) -> Iterator[dict]:
+    try:
+        file = zipfile.ZipFile(io.BytesIO(data))
+        listed = [info for info in file.infolist() if not info.is_dir()]
+    except DAMAGE as error:
+        yield {"member": None, "content": None, "error": f"{type(error).__name__}: {error}"}
+        return
+    for info in listed:
+        row = {"member": info.filename.encode("utf-8", "replace").decode(), "content": None, "error": None}
+        try:
+            row["content"] = file.read(info)
+        except DAMAGE as error:
+            row["error"] = f"{type(error).__name__}: {error}"
+        yield row

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from terraops.functions import geo, text, time
-from terraops.operators.spatial import cut_path, inside
+from terraops.operators.spatial import cut_paths, inside
 
 
 def one(spark, column):
@@ -133,7 +133,7 @@ polygon = st.lists(st.tuples(st.integers(-30, 30), st.integers(-30, 30)), min_si
 def test_pieces_lie_inside_and_are_no_longer_than_the_path(shape, path):
     path = np.array(path)
     length = lambda p: float(np.hypot(*np.diff(p, axis=0).T).sum())
-    pieces = cut_path(path, [shape])
+    pieces = cut_paths([path], [[shape]])[0]
     assert sum(map(length, pieces)) <= length(path) + 1e-9
     for piece in pieces:
         for a, b in zip(piece, piece[1:], strict=False):

@@ -73,6 +73,31 @@ def test_dense_index_has_no_gaps_or_ties(spark):
     assert index.dense_index(df.limit(0), "v").count() == 0
 
 
+@pytest.mark.parametrize("parts", ["8", "64"])
+def test_dense_index_with_other_columns(spark, parts):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        df = spark.range(100_000).select((F.col("id") * 7919 % 100_000).alias("v"), F.concat(F.lit("row "), "id").alias("other"))
+        rows = index.dense_index(df, "v").toPandas()
+        assert rows["index"].tolist() == rows.v.tolist() and rows["index"].is_unique and rows.other.nunique() == 100_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_path_lengths_cross_partitions(spark):
+    rows = [(k % 3 and "hot" or "b", k, float(k % 7), float(k % 5)) for k in range(500)] + [(None, 1, 0.0, 0.0), (None, 2, 3.0, 4.0), ("one", 1, 1.0, 1.0)]
+    got = {r.id: (r.points, r.length) for r in index.path_lengths(spark.createDataFrame(rows, "id string, seq int, x double, y double"), ["id"], "seq").collect()}
+    for key in ("hot", "b", None, "one"):
+        own = np.array([r[2:] for r in rows if r[0] == key])
+        assert got[key] == (len(own), pytest.approx(np.hypot(*np.diff(own, axis=0).T).sum()))
+
+
+def test_running_flag(spark):
+    df = spark.createDataFrame([("a", 1, False), ("a", 2, True), ("a", 3, None), ("b", 1, None)], "k string, pos int, hit boolean")
+    assert {(r.k, r.pos): r.seen for r in catalog.running_flag(df, ["k"], "pos", F.col("hit")).collect()} == {("a", 1): False, ("a", 2): True, ("a", 3): True, ("b", 1): False}
+
+
 def test_distinct_values_drop_one_blank(spark):
     df = spark.createDataFrame([(" ", "a"), ("", "a"), (None, "b"), ("x", " ")], "p string, q string")
     assert {tuple(r) for r in index.distinct_values(df, ["p", "q"]).collect()} == {("p", ""), ("p", None), ("p", "x"), ("q", "a"), ("q", "b")}
@@ -87,11 +112,22 @@ def test_spatial_join_equals_the_nested_loop(spark):
     x, y = np.array([p[1] for p in points]), np.array([p[2] for p in points])
     want = {(int(i), k) for k, rings in shapes for i in np.flatnonzero(spatial.inside(x, y, [np.array(r) for r in rings]))}
     assert {(r.id, r["shape"]) for r in spatial.points_in_polygons(left, right).collect()} == want
-    spatial.BROADCAST_ROWS, kept = 3, spatial.BROADCAST_ROWS
-    try:
-        assert {(r.id, r["shape"]) for r in spatial.points_in_polygons(left, right, cell=5.0).collect()} == want
-    finally:
-        spatial.BROADCAST_ROWS = kept
+    for cell in (5.0, 100.0, None):
+        kept, spatial.BROADCAST_CORNERS = spatial.BROADCAST_CORNERS, 3
+        try:
+            assert {(r.id, r["shape"]) for r in spatial.points_in_polygons(left, right, cell=cell).collect()} == want
+        finally:
+            spatial.BROADCAST_CORNERS = kept
+
+
+def test_ring_of_hits_equals_the_nested_loop(spark):
+    draw = np.random.default_rng(6)
+    points = [(i, *map(float, p)) for i, p in enumerate(draw.uniform(-5, 5, (200, 2)))]
+    df = spark.createDataFrame(points, "id int, x double, y double")
+    xy = np.array([p[1:] for p in points])
+    want = set(np.flatnonzero(spatial.inside(xy[:, 0], xy[:, 1], [xy[:40]])).tolist())
+    assert {r.id for r in spatial.within_hits(df, df.where("id < 40"), "id").collect()} == want
+    assert spatial.within_hits(df, df.limit(0), "id").count() == 0
 
 
 def test_search_falls_back_to_everything(spark):
@@ -196,6 +232,40 @@ def test_archives(spark, tmp_path):
     assert len([r for r in rows if r.error]) == 1
 
 
+def test_any_damaged_byte_of_an_archive_is_a_row(spark):
+    with zipfile.ZipFile(buffer := io.BytesIO(), "w", zipfile.ZIP_DEFLATED) as file:
+        for name in ("a.txt", "b.txt"):
+            file.writestr(name, f"{name} some text to be packed " * 20)
+    good, draw, zips = buffer.getvalue(), np.random.default_rng(3), []
+    for k in range(500):
+        bad = bytearray(good)
+        bad[int(draw.integers(len(bad)))] ^= 1 << int(draw.integers(8))
+        zips.append((str(k), bytes(bad)))
+    rows = archives.members(spark.createDataFrame([*zips, ("none", None)], "archive string, content binary")).collect()
+    assert {r.archive for r in rows} == {str(k) for k in range(500)} | {"none"}
+    assert all((r.content is None) == (r.error is not None) for r in rows)
+    assert sum(r.error is not None for r in rows) > 200
+    assert all(bytes(r.content).decode()[6:].startswith("some text") or b"some text" in bytes(r.content) for r in rows if r.content)
+
+
+def test_clip_by_brute_force(spark):
+    """Lengths inside concave rings with holes, against many points along each line."""
+    draw = np.random.default_rng(8)
+    star = [[float(r * np.cos(a)), float(r * np.sin(a))] for k, a in enumerate(np.linspace(0, 2 * np.pi, 10, endpoint=False)) for r in [4 if k % 2 else 9]]
+    hole = [[-1.0, -1.0], [1.0, -1.0], [1.0, 1.0], [-1.0, 1.0]]
+    rings = [np.array(star), np.array(hole)]
+    paths = [draw.uniform(-10, 10, (int(n), 2)) for n in draw.integers(2, 6, 40)]
+    for path, parts in zip(paths, spatial.cut_paths(paths, [rings] * 40), strict=True):
+        steps = np.concatenate([p + (q - p) * (np.arange(20_000)[:, None] + 0.5) / 20_000 for p, q in zip(path, path[1:], strict=False)])
+        weight = np.repeat(np.hypot(*np.diff(path, axis=0).T) / 20_000, 20_000)
+        want = weight[spatial.inside(steps[:, 0], steps[:, 1], rings)].sum()
+        assert sum(np.hypot(*np.diff(x, axis=0).T).sum() for x in parts) == pytest.approx(want, abs=0.02)
+    assert spatial.cut_paths([], []) == []
+    lines = spark.createDataFrame([(1, [(0.0, 2.0), (20.0, 2.0)]), (2, [(None, 2.0), (1.0, 2.0), (5.0, 5.0)])], "road int, path array<struct<x:double,y:double>>")
+    shape = spark.createDataFrame([(7, [[tuple(p) for p in star]])], "oid int, rings array<array<struct<x:double,y:double>>>")
+    assert {r.road: r.ok for r in spatial.clip(lines, shape, "road", "oid").collect()}[1]
+
+
 @pytest.mark.parametrize("kind", ["point", "line", "polygon"])
 def test_shapefile_round_trip(spark, tmp_path, kind):
     shape = [[(0.0, 1.5)]] if kind == "point" else [[(0.0, 0.0), (2.0, 0.0), (2.0, 2.0)], [(5.0, 5.0), (6.0, 5.0), (6.0, 6.0)]]
