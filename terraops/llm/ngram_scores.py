@@ -22,8 +22,8 @@ from terraops.llm.pieces import encoder
 BACKOFF = 0.4
 #: A bigram is in the head if it makes one in so many tokens.
 HEAD = 65_536
-#: Tokens of the corpus to a bucket, whatever its size, so that a bucket stays small; bytes of ids whose bigrams a task counts at once.
-BUCKET, BYTES = 1_048_576, 2_000_000
+#: Buckets at least, and tokens of the corpus to a bucket at most, so that a bucket stays small; bytes of ids whose bigrams a task counts at once.
+BUCKETS, BUCKET, BYTES = 128, 4_194_304, 2_000_000
 #: Chunks that a worker keeps while it encodes: fewer than elsewhere, as later stages need the memory.
 ROOM = 500_000
 #: In place of a count of 0.
@@ -101,8 +101,8 @@ def ngram_scores(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(doc_id, n_tokens, log_score, score) of each row: the sum of log S over its tokens, and their mean.
 
     S of a token after another is their bigram's count over the first's, or BACKOFF times the token's own
-    share of all tokens if no other document has the bigram. Buckets hold about as many bigrams at every size of
-    the corpus. A null or empty text has no tokens and scores 0. Repeated rows are documents of their own; a null doc_id is kept; other columns are ignored.
+    share of all tokens if no other document has the bigram. A bucket has a bounded share of the corpus at every
+    size of it. A null or empty text has no tokens and scores 0. Repeated rows are documents of their own; a null doc_id is kept; other columns are ignored.
     """
     begin = encoder(tokenizer).tokenizer.get_vocab_size()
 
@@ -120,7 +120,7 @@ def ngram_scores(docs: DataFrame, tokenizer: str) -> DataFrame:
     rows = texts_of(docs).withColumn("row", F.monotonically_increasing_id())
     tokens = written(rows.mapInPandas(tokenize, "doc_id long, row long, ids binary"), "tokens")
     everything = tokens.agg(F.sum(F.octet_length("ids").cast("long"))).first()[0] or 0
-    buckets = max(1, -(-everything // np.dtype(dtype).itemsize // BUCKET))
+    buckets = max(BUCKETS, -(-everything // np.dtype(dtype).itemsize // BUCKET))
 
     def batches_of(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, Batch]]:
         release()
