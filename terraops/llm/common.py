@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Characters of text that a task holds in Python objects at a time.
 CHARS_AT_ONCE = 2_000_000
+#: A key is hot if it has more rows than this and more than one in so many of all.
+HOT, HOT_KEYS = 262_144, 65_536
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +82,20 @@ def _drop(spark: SparkSession, path: str) -> None:
         print(f"left {path}: {type(error).__name__}")
 
 
+def with_figures(rows: DataFrame, figures: DataFrame, key: str, total: int) -> DataFrame:
+    """rows, at most total of them, joined with their key's row of figures, whose n is the key's number of rows.
+
+    Figures are aggregates of the rows, so that adaptive execution can't split a hot key of their join. There are
+    fewer than HOT_KEYS hot keys; their figures are broadcast, and no task has to take all rows of one.
+    """
+    hot = max(HOT, total // HOT_KEYS)
+    if total <= hot:  # no key can have more
+        return rows.join(figures, key)
+    many = figures.where(F.col("n") > hot)
+    rest = rows.join(F.broadcast(many.select(key)), key, "left_anti")
+    return rest.join(figures, key).unionByName(rows.join(F.broadcast(many), key))
+
+
 _CACHES: list = []
 
 

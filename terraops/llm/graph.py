@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terraops.llm.common import written
+from terraops.llm.common import with_figures, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -18,17 +18,18 @@ def components(edges: DataFrame) -> DataFrame:
 
     Roots themselves are left out, as are loops; repeated edges count once. Every round is written to the
     shared folder, so plans stay short and a lost executor costs one round at most. Only sums come to the
-    driver. The number of rounds grows with the logarithm of the number of nodes.
+    driver, and the edges of a node with very many are not met in one task. The number of rounds grows with the
+    logarithm of the number of nodes.
     """
     edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), "edges")
     state = _state(edges)
     while True:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
-        moved = large.join(lowest, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = written(moved.union(lowest).distinct(), "edges")
+        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n"))
+        large = with_figures(both, least, "u", 2 * state[0]).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        lowest = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        moved = with_figures(large, lowest, "a", state[0]).where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        edges = written(moved.union(lowest.select("a", "m")).distinct(), "edges")
         state, before = _state(edges), state
         if state == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -18,7 +18,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from terraops.llm import media, near_vectors, ngram_scores, packing, piece_codec, pieces, quality, simhash, token_counts, token_file, toxicity
+from terraops.llm import common, media, near_vectors, ngram_scores, packing, piece_codec, pieces, quality, simhash, token_counts, token_file, toxicity
 from terraops.llm.graph import components
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
@@ -264,6 +264,26 @@ def test_trees_prune_and_overlap():
         assert all((r, s) in met for r, s, h in zip(row.tolist(), shard.tolist(), home.tolist(), strict=True) if h and r < 500)
 
 
+@pytest.mark.parametrize(("hot", "keys"), [(common.HOT, common.HOT_KEYS), (3, 10**9), (5, 20)])
+def test_components_with_hubs(spark, monkeypatch, hot, keys):
+    """Stars about the smallest and the greatest node, nodes of few edges, a hub of one node more than a hot key has."""
+    monkeypatch.setattr(common, "HOT", hot)
+    monkeypatch.setattr(common, "HOT_KEYS", keys)
+    edges = [(1, k) for k in range(2, 40)] + [(k, 99) for k in range(30, 60)] + [(200 + k, 300) for k in range(hot + 1 if hot < 9 else 4)] + [(400, 401), (402, 401)]
+    want = {k: 1 for k in (*range(2, 60), 99)} | {k: 200 for a, b in edges for k in (a, b) if 200 < k <= 300} | {401: 400, 402: 400}
+    assert {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()} == want
+
+
+@pytest.mark.parametrize(("hot", "keys"), [(10, 10**9), (10, 4), (common.HOT, common.HOT_KEYS)])
+def test_hot_keys_meet_their_figures_by_broadcast(spark, monkeypatch, hot, keys):
+    monkeypatch.setattr(common, "HOT", hot)
+    monkeypatch.setattr(common, "HOT_KEYS", keys)
+    rows = spark.createDataFrame([(k, j) for k, n in enumerate([1, 10, 11, 40]) for j in range(n)] + [(None, 0)], "k long, v long")
+    figures = rows.groupBy("k").agg(F.sum("v").alias("s"), F.count("*").alias("n"))
+    met = common.with_figures(rows, figures, "k", 63)
+    assert Counter(map(tuple, met.collect())) == Counter((k, j, n * (n - 1) // 2, n) for k, n in enumerate([1, 10, 11, 40]) for j in range(n))
+
+
 def test_components_of_a_chain(spark):
     n = 60
     edges = spark.createDataFrame([(k, k + 1) for k in range(n)] + [(5, 5), (3, 2), (100, 101)], "a long, b long")
