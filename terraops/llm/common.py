@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -116,6 +117,8 @@ def release() -> None:
         own.cache_clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # only glibc has it
+        trim(0)
 
 
 def slices(texts: list[str], at_once: int = CHARS_AT_ONCE) -> Iterator[tuple[int, int]]:

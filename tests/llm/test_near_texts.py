@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from terraops.llm import near_texts
+from terraops.llm import common, near_texts
 
 
 def shingles(text):
@@ -41,7 +41,9 @@ def planted(seed):
 @pytest.mark.parametrize(("seed", "counters"), [(1, near_texts.COUNTERS), (2, near_texts.SEGMENT)])
 def test_stage_links_as_brute_force(spark, monkeypatch, seed, counters):
     monkeypatch.setattr(near_texts, "COUNTERS", counters)
-    monkeypatch.setattr(near_texts, "BROADCAST", 0 if seed == 2 else near_texts.BROADCAST)
+    if seed == 2:
+        monkeypatch.setattr(near_texts, "BROADCAST", 0)
+        monkeypatch.setattr(common, "HOT", 4)
     rows = planted(seed)
     sets = [shingles(t) for _, t in rows]
     root = list(range(len(rows)))
