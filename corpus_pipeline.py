@@ -43,7 +43,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts are their end id alone, repeated rows are pieces of their own, other columns are ignored.
     """
-    return packed(docs, public_tokenizers.path(BYTE_BPE), END_ID, 1024, room=400_000)  # the stages before have filled the workers
+    return packed(docs, public_tokenizers.path(BYTE_BPE), END_ID, 1024, room=200_000)  # the stages before have filled the workers
 
 
 STAGES = [("toxicity", toxicity), ("quality", quality), ("near_duplicates", near_duplicates), ("packing", packing)]
