@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Characters of text that a task holds in Python objects at a time.
-CHARS_AT_ONCE = 2_000_000
+CHARS_AT_ONCE = 500_000
 #: A key is hot if it has more rows than this and more than one in so many of all.
 HOT, HOT_KEYS = 262_144, 65_536
 

@@ -92,6 +92,7 @@ def described(text: Column, counts: np.ndarray) -> Column:
     """(key, fp, size, bits, wide, first) of a text: a hash of its set, the SimHash, the number of shingles, parities and what it can be found by."""
 
     def rows_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        release()
         for batch in batches:
             texts, frames = batch.tolist(), []
             for a, b in slices(texts):

@@ -168,6 +168,7 @@ def fit_quality(documents: DataFrame, labels: DataFrame) -> AttentionModel | Non
     sample = labelled_sample(documents, labels, "quality", MODULUS, HELD_OUT, SAMPLE_ROWS, SAMPLE_BYTES)
 
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release()
         for batch in batches:
             for label, text in zip(batch.label, batch.text, strict=True):
                 x = np.concatenate([passages([run])[0] for run in portions(text.encode())])

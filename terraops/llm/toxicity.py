@@ -244,6 +244,7 @@ def learned_terms(sample: DataFrame, errors: bool = True, contexts: bool = True)
     """
 
     def plain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release()
         for batch in batches:
             for a, b in slices(texts := batch.text.tolist()):
                 yield pd.DataFrame({"label": batch.label.iloc[a:b], "words": [plain_words(t, contexts) for t in texts[a:b]]})
