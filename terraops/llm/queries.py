@@ -6,11 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from terraops.llm.common import table
+from terraops.llm.oracles import ORACLE_SQL as ORACLE_SQL
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECE_BPE = "piece_bpe_32k.model"
 END_ID = 2
-ORACLE_SQL: dict[str, str] = {}
 
 
 def op1_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +75,24 @@ def op10_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents, documents, table(spark, sf_dir, "labels"))
 
 
+def op11_checked_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from terraops.llm.personal_data import personal_data, span_digests
+
+    return span_digests(personal_data(table(spark, sf_dir, "documents")))
+
+
+def op12_filter_order_diagrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from terraops.llm.filter_audit import filter_audit
+
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_bit_plane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from terraops.llm.bit_planes import clustered
+
+    return clustered(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -88,5 +106,8 @@ QUERIES = {
         op8_metric_range_join,
         op9_png_media_columns,
         op10_levenshtein_toxicity,
+        op11_checked_personal_data,
+        op12_filter_order_diagrams,
+        op13_bit_plane_clusters,
     )
 }
