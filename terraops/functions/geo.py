@@ -69,7 +69,7 @@ def to_km(distance: Column, unit: Column) -> Column:
 def circle(lat: Column, lon: Column, radius_km: Column, sides: int = 6) -> Column:
     """Ring of a regular polygon about a point of the sphere; the first corner is half a step from north.
 
-    Longitudes are not wrapped: circles over the date line or a pole reach beyond 180 degrees.
+    Longitudes are not wrapped: circles over the date line or a pole reach beyond 180 degrees; see wrapped_rings.
     """
     p, r, step = F.radians(lat), radius_km / KM, 2 * math.pi / sides
 
@@ -86,6 +86,61 @@ def buffer(lat: Column, lon: Column, distance: Column, unit: str = "mi", sides:
     return circle(lat, lon, to_km(distance, F.lit(unit)), sides)
 
 
+def _let(value: Column, body) -> Column:
+    """body of value, which is worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def turn(degrees: Column) -> Column:
+    """A difference of longitudes the shorter way round: at least -180 and below 180."""
+    return F.when((degrees >= -180) & (degrees < 180), degrees).otherwise(degrees - 360 * F.floor((degrees + 180) / 360))
+
+
+def unrolled(ring: Column) -> Column:
+    """The ring with longitudes that go on from corner to corner the shorter way, the first corner once more at the end.
+
+    In a ring about a pole the last longitude is 360 degrees from the first. Work grows with the square of the corners.
+    """
+
+    def on(done: Column, p: Column) -> Column:
+        last = F.element_at(done, -1)
+        return F.concat(done, F.array(F.struct((last.x + turn(p.x - last.x)).alias("x"), p.y.alias("y"))))
+
+    return F.when(F.size(ring) > 0, F.aggregate(F.slice(closed(ring), 2, F.size(ring)), F.slice(ring, 1, 1), on)).otherwise(ring)
+
+
+def _beside(ring: Column, x: float, right: bool) -> Column:
+    """The part of the ring on one side of the meridian x."""
+    inside = (lambda p: p.x >= x) if right else (lambda p: p.x <= x)
+
+    def step(a: Column, b: Column) -> Column:
+        met = F.struct(F.lit(float(x)).alias("x"), (a.y + (b.y - a.y) * F.try_divide(x - a.x, b.x - a.x)).alias("y"))
+        none = F.slice(F.array(a), 1, 0)
+        return F.concat(F.when(inside(a), F.array(a)).otherwise(none), F.when(inside(a) != inside(b), F.array(met)).otherwise(none))
+
+    return _let(ring, lambda r: F.flatten(pairs(closed(r), step)))
+
+
+def wrapped_rings(ring: Column) -> Column:
+    """Rings between -180 and 180 degrees that together enclose what the ring does on the globe.
+
+    Edges go the shorter way round. A ring over the date line is split there, one about a pole is closed over the
+    pole that is nearer to its corners; any other is left as it is.
+    """
+
+    def split(line: Column) -> Column:
+        first, last = line[0], F.element_at(line, -1)
+        pole = F.when(F.aggregate(line, F.lit(0.0), lambda t, p: t + p.y) >= 0, 91.0).otherwise(-91.0)  # beyond it, so that points at the pole are inside
+        over = F.array(*[F.struct(p.x.alias("x"), pole.alias("y")) for p in (last, first)])
+        whole = F.when(F.abs(last.x - first.x) > 180, F.concat(line, over)).otherwise(F.slice(line, 1, F.size(line) - 1))
+        strips = lambda r: F.array(*[_beside(_beside(r, 360 * k - 180, True), 360 * k + 180, False) for k in range(-2, 3)])
+        moved = lambda rings: F.transform(rings, lambda r, k: F.transform(r, lambda p: F.struct((p.x - 360 * (k - 2)).alias("x"), p.y.alias("y"))))
+        return F.filter(_let(_let(whole, strips), moved), lambda r: F.size(r) > 2)
+
+    far = F.exists(ring, lambda p: F.abs(p.x) > 180) | F.exists(pairs(closed(ring), lambda a, b: F.abs(b.x - a.x) > 180), lambda v: v)
+    return F.when(far, _let(unrolled(ring), split)).otherwise(F.array(ring))
+
+
 def in_rings(x: Column, y: Column, rings: Column) -> Column:
     """Even-odd rule over all rings, which need not be closed; a ring edge is half-open in y."""
 
@@ -127,32 +182,86 @@ def line_from_wkt(text: Column) -> Column:
     return F.when(inner != "", path)
 
 
-def geodesic_metres(lon1: np.ndarray, lat1: np.ndarray, lon2: np.ndarray, lat2: np.ndarray) -> np.ndarray:
-    """Length on the WGS84 ellipsoid by Vincenty's inverse formula; NaN where it does not converge (near-antipodal)."""
+#: Rounds of Vincenty's formula before an edge is left to the search by azimuth, and halvings of that.
+ROUNDS, HALVINGS = 20, 120
+
+
+def _vincenty(turn: np.ndarray, s1: np.ndarray, c1: np.ndarray, s2: np.ndarray, c2: np.ndarray) -> np.ndarray:
+    """Metres by Vincenty's inverse formula; NaN where it has not converged, as it does not between near-antipodal points."""
     f, b = WGS84_F, WGS84_A * (1 - WGS84_F)
-    u1, u2 = np.arctan((1 - f) * np.tan(np.radians(lat1))), np.arctan((1 - f) * np.tan(np.radians(lat2)))
-    turn = np.radians(lon2 - lon1)
-    s1, c1, s2, c2 = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)
-    lam, done = turn.copy(), np.zeros(len(turn), bool)
+    out = np.full(len(turn), np.nan)
+    left, lam = np.arange(len(turn)), turn.copy()
     with np.errstate(invalid="ignore", divide="ignore"):
-        for _ in range(100):
-            sin_s = np.hypot(c2 * np.sin(lam), c1 * s2 - s1 * c2 * np.cos(lam))
-            cos_s = s1 * s2 + c1 * c2 * np.cos(lam)
+        for _ in range(ROUNDS):
+            u1, v1, u2, v2 = s1[left], c1[left], s2[left], c2[left]
+            sin_s = np.hypot(v2 * np.sin(lam), v1 * u2 - u1 * v2 * np.cos(lam))
+            cos_s = u1 * u2 + v1 * v2 * np.cos(lam)
             s = np.arctan2(sin_s, cos_s)
-            sin_a = np.where(sin_s == 0, 0, c1 * c2 * np.sin(lam) / sin_s)
+            sin_a = np.where(sin_s == 0, 0, v1 * v2 * np.sin(lam) / sin_s)
             cos2_a = 1 - sin_a**2
-            cos_m = np.where(cos2_a == 0, 0, cos_s - 2 * s1 * s2 / np.where(cos2_a == 0, 1, cos2_a))
+            cos_m = np.where(cos2_a == 0, 0, cos_s - 2 * u1 * u2 / np.where(cos2_a == 0, 1, cos2_a))
             c = f / 16 * cos2_a * (4 + f * (4 - 3 * cos2_a))
-            after = turn + (1 - c) * f * sin_a * (s + c * sin_s * (cos_m + c * cos_s * (2 * cos_m**2 - 1)))
-            done = np.abs(after - lam) < 1e-12
-            lam = after
-            if done.all():
+            after = turn[left] + (1 - c) * f * sin_a * (s + c * sin_s * (cos_m + c * cos_s * (2 * cos_m**2 - 1)))
+            done = (np.abs(after - lam) < 1e-12) & (np.abs(after) <= np.pi)
+            k = cos2_a * (WGS84_A**2 - b**2) / b**2
+            big_a = 1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k)))
+            big_b = k / 1024 * (256 + k * (-128 + k * (74 - 47 * k)))
+            ds = big_b * sin_s * (cos_m + big_b / 4 * (cos_s * (2 * cos_m**2 - 1) - big_b / 6 * cos_m * (4 * sin_s**2 - 3) * (4 * cos_m**2 - 3)))
+            out[left[done]] = np.where(sin_s == 0, 0.0, b * big_a * (s - ds))[done]
+            left, lam = left[~done], after[~done]
+            if not len(left):
                 break
-        k = cos2_a * (WGS84_A**2 - b**2) / b**2
-        big_a = 1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k)))
-        big_b = k / 1024 * (256 + k * (-128 + k * (74 - 47 * k)))
-        ds = big_b * sin_s * (cos_m + big_b / 4 * (cos_s * (2 * cos_m**2 - 1) - big_b / 6 * cos_m * (4 * sin_s**2 - 3) * (4 * cos_m**2 - 3)))
-        return np.where(sin_s == 0, 0.0, np.where(done, b * big_a * (s - ds), np.nan))
+    return out
+
+
+def _by_azimuth(turn: np.ndarray, s1: np.ndarray, c1: np.ndarray, s2: np.ndarray, c2: np.ndarray) -> np.ndarray:
+    """Metres for 0 <= turn <= pi by a search for the azimuth at the first point; it converges for all pairs of points.
+
+    With the point further from the equator first, and that in the south, the longitude that a geodesic reaches
+    grows with its azimuth (Karney, Algorithms for geodesics, 2013), so halving finds the root. Longitude and length are integrals of
+    smooth functions along the great circle of the auxiliary sphere, taken by Gauss and Legendre's rule.
+    """
+    f, b = WGS84_F, WGS84_A * (1 - WGS84_F)
+    swap = np.abs(s2) > np.abs(s1)
+    s1, c1, s2, c2 = np.where(swap, s2, s1), np.where(swap, c2, c1), np.where(swap, s1, s2), np.where(swap, c1, c2)
+    sign = np.where(s1 > 0, -1.0, 1.0)
+    s1, s2 = np.where(s1 == 0, -1e-300, s1 * sign), s2 * sign
+    nodes, weights = np.polynomial.legendre.leggauss(16)
+
+    def reached(delta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Longitude and length of the geodesic whose azimuth is delta beyond east."""
+        sin_a, cos_a = np.cos(delta), -np.sin(delta)
+        sin_0 = sin_a * c1
+        across = np.sqrt(np.maximum(0, (cos_a * c1) ** 2 + (c2 - c1) * (c2 + c1)))  # cos a2 cos u2
+        from_, to = np.arctan2(s1, cos_a * c1), np.arctan2(s2, across)
+        omega = np.arctan2(sin_0 * s2, across) - np.arctan2(sin_0 * s1, cos_a * c1)
+        k2 = (cos_a**2 + (sin_a * s1) ** 2) * f * (2 - f) / (1 - f) ** 2
+        half = (to - from_) / 2
+        root = np.sqrt(1 + k2[:, None] * np.sin(((from_ + to) / 2)[:, None] + half[:, None] * nodes) ** 2)
+        behind = half * ((2 - f) / (1 + (1 - f) * root) * weights).sum(1)
+        return omega - f * sin_0 * behind, b * half * (root * weights).sum(1)
+
+    low, high = np.full(len(turn), -np.pi / 2), np.full(len(turn), np.pi / 2)
+    for _ in range(HALVINGS):
+        middle = (low + high) / 2
+        short = reached(middle)[0] < turn
+        low, high = np.where(short, middle, low), np.where(short, high, middle)
+    out = reached(high)[1]
+    along = (s1 == -1e-300) & (s2 == 0) & (turn <= (1 - f) * np.pi)  # on the equator
+    return np.where(along, WGS84_A * turn, out)
+
+
+def geodesic_metres(lon1: np.ndarray, lat1: np.ndarray, lon2: np.ndarray, lat2: np.ndarray) -> np.ndarray:
+    """Length of the shortest way on the WGS84 ellipsoid, for every pair of points; NaN for coordinates that are not finite."""
+    f = WGS84_F
+    turn = np.radians((lon2 - lon1 + 180) % 360 - 180)
+    u1, u2 = np.arctan((1 - f) * np.tan(np.radians(lat1))), np.arctan((1 - f) * np.tan(np.radians(lat2)))
+    terms = [np.abs(turn), np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)]
+    out = _vincenty(*terms)
+    left = np.flatnonzero(np.isnan(out) & np.isfinite(turn + u1 + u2))
+    if len(left):
+        out[left] = _by_azimuth(*[t[left] for t in terms])
+    return out
 
 
 def geodesic_length(path: Column) -> Column:
@@ -172,7 +281,11 @@ def geodesic_length(path: Column) -> Column:
 
 
 def ellipsoid_area(ring: Column) -> Column:
-    """Square metres inside a ring on the WGS84 ellipsoid: the sphere's trapezoids at authalic latitudes."""
+    """Square metres inside a ring on the WGS84 ellipsoid: the sphere's trapezoids at authalic latitudes.
+
+    Edges go the shorter way round, so a ring may cross the date line. One that goes once round encloses a pole,
+    and its area is what the ring leaves of that half of the ellipsoid.
+    """
     e = math.sqrt(WGS84_F * (2 - WGS84_F))
     atanh = lambda v: 0.5 * F.log((1 + v) / (1 - v))
     q_pole = 1 + (1 - e * e) / (2 * e) * math.log((1 + e) / (1 - e))
@@ -181,5 +294,13 @@ def ellipsoid_area(ring: Column) -> Column:
         s = F.sin(F.radians(y))
         return (1 - e * e) * (s / (1 - e * e * s * s) + atanh(e * s) / e)
 
-    parts = pairs(closed(ring), lambda a, b: F.radians(b.x - a.x) * (q(a.y) + q(b.y)) / (2 * q_pole))
-    return F.abs(total(parts)) * (WGS84_A**2 * q_pole / 2)
+    def step(a: Column, b: Column) -> Column:
+        x = turn(b.x - a.x)
+        return F.struct(x.alias("x"), (F.radians(x) * (q(a.y) + q(b.y)) / (2 * q_pole)).alias("part"))
+
+    def area(steps: Column) -> Column:
+        part = F.abs(total(F.transform(steps, lambda s: s.part)))
+        round_ = F.abs(total(F.transform(steps, lambda s: s.x))) > 180
+        return F.when(round_, 2 * math.pi - part).otherwise(part) * (WGS84_A**2 * q_pole / 2)
+
+    return _let(pairs(closed(ring), step), area)

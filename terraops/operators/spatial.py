@@ -1,31 +1,19 @@
-"""Spatial joins as equi joins on grid cells with an exact test after them."""
+"""Spatial joins as equi joins on cells of a grid with an exact test after them, and clipping by segments and edges."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraops.functions import geo
+from terraops.operators import grid
 from terraops.operators.index import dense_index, first_per_key
 from terraops.schemas import PARTS
+from terraops.storage import stored
 
-#: Grid cells of clip(), in degrees.
-CELL = 10.0
-#: Polygons are broadcast if their corners, counted once for each cell, are at most so many (16 bytes each); else they are shuffled by cell.
+#: Polygons, or edges, are broadcast if their corners, counted once for each cell, are at most so many; else they are shuffled by cell.
 BROADCAST_CORNERS = 1_000_000
-#: Pairs of a line and a polygon that are cut at once.
-PAIRS = 1_024
-
-
-def _cells(x0: Column, y0: Column, x1: Column, y1: Column, cell: float) -> Column:
-    """Grid cells that a box touches."""
-    index = lambda v: F.floor(v / cell).cast("int")
-    rows = F.sequence(index(y0), index(y1))
-    return F.flatten(F.transform(F.sequence(index(x0), index(x1)), lambda cx: F.transform(rows, lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))))
 
 
 def in_box(x: Column, y: Column, box: Column) -> Column:
@@ -35,23 +23,30 @@ def in_box(x: Column, y: Column, box: Column) -> Column:
 def points_in_polygons(points: DataFrame, polygons: DataFrame, rings: str = "rings", cell: float | None = None) -> DataFrame:
     """points x polygons where the point (x, y) lies inside by the even-odd rule over all rings.
 
-    A point has one cell, a polygon every cell of its box, so a pair meets once. The side of a cell is the mean
-    side of the boxes unless it is given. The polygons' side is broadcast if their corners are counted to be few;
-    else both sides shuffle by cell, and a cell with many points is split by adaptive skew handling. Columns of both
-    sides are kept and must not clash.
+    Each polygon has at most four cells, of the level of its own box (cell is the side of the smallest cells, if
+    given), and a point has one cell at each level that polygons have, so a pair meets once whatever mix of sizes
+    there is. One small job counts corners by level when the plan is made: the widest levels, whose cells hold the
+    most points, are broadcast while their corners are counted to be few; finer ones shuffle by cell, where adaptive
+    execution splits a cell with many points. Columns of both sides are kept and must not clash. Polygons with
+    a corner that is not finite, or without corners, and points without x or y are in no pair.
     """
-    corners = F.size(F.flatten(F.col(rings)))
-    shapes = polygons.where(corners > 0).withColumn("__box", geo.box(F.flatten(F.col(rings))))
-    sides = F.greatest(F.col("__box.x1") - F.col("__box.x0"), F.col("__box.y1") - F.col("__box.y0"))
-    if cell is None:
-        cell = max(shapes.agg(F.avg(sides)).first()[0] or 0.0, 1e-6)
-    cells = _cells(F.col("__box.x0"), F.col("__box.y0"), F.col("__box.x1"), F.col("__box.y1"), cell)
-    few = (shapes.agg(F.sum(corners.cast("long") * F.size(cells))).first()[0] or 0) <= BROADCAST_CORNERS
-    shapes = shapes.withColumn("__cell", F.explode(cells))
-    located = points.where("x is not null and y is not null").withColumn("__cell", F.struct(F.floor(F.col("x") / cell).cast("int").alias("cx"), F.floor(F.col("y") / cell).cast("int").alias("cy")))
-    met = located.join(F.broadcast(shapes) if few else shapes, "__cell")
-    met = met.where(in_box(F.col("x"), F.col("y"), F.col("__box")))
-    return met.where(geo.in_rings(F.col("x"), F.col("y"), F.col(rings))).drop("__cell", "__box")
+    finest = cell or grid.FINEST
+    shapes = polygons.withColumn("__box", geo.box(F.flatten(F.col(rings)))).where(grid.bounded("__box")).withColumn("__level", F.expr(grid.level("__box", finest)))
+    cells = F.expr(grid.cells("__box", "__level", finest=finest))
+    corners = F.size(F.flatten(F.col(rings))).cast("long") * F.size(cells)
+    wide, fine, total = [], [], 0
+    for k, n in sorted(((r[0], r[1]) for r in shapes.groupBy("__level").agg(F.sum(corners)).collect()), reverse=True):  # a row a level
+        total += n
+        (wide if total <= BROADCAST_CORNERS else fine).append(k)
+    located = points.where("x is not null and y is not null")
+    parts = []
+    for own, few in ((wide, True), (fine, False)):
+        if own or (few and not fine):
+            keys = ", ".join(f"struct({k} as k, {grid.at('x', str(k), finest)} as cx, {grid.at('y', str(k), finest)} as cy)" for k in own or [0])
+            shown = shapes.where(F.col("__level").isin(own)).withColumn("__cell", F.explode(cells))
+            met = located.withColumn("__cell", F.expr(f"explode(array({keys}))")).join(F.broadcast(shown) if few else shown, "__cell").where(in_box(F.col("x"), F.col("y"), F.col("__box")))
+            parts.append(met.where(geo.in_rings(F.col("x"), F.col("y"), F.col(rings))).drop("__cell", "__box", "__level"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def first_flattened(polygons: DataFrame, name: str, position: str) -> DataFrame:
@@ -61,10 +56,17 @@ def first_flattened(polygons: DataFrame, name: str, position: str) -> DataFrame:
 
 
 def within_radius(points: DataFrame, centres: DataFrame, sides: int = 6) -> DataFrame:
-    """points x centres (lat, lon, radius_km) where the point lies in the polygon about the centre."""
+    """points x centres (lat, lon, radius_km) where the point lies in the polygon about the centre.
+
+    Polygons over the date line are split there and those about a pole are closed over it; points beyond 180 degrees
+    either way are found where they are on the globe.
+    """
     ring = geo.circle(F.col("lat"), F.col("lon"), F.col("radius_km"), sides)
-    shapes = centres.withColumn("rings", F.array(ring))
-    return points_in_polygons(points, shapes).drop("rings")
+    shapes = stored(centres.withColumn("rings", geo.wrapped_rings(ring)), "circles")
+    x = F.col("x")
+    turned = points.withColumn("__x", x).withColumn("x", F.when(x >= 180, x - 360).when(x < -180, x + 360).otherwise(x))
+    found = points_in_polygons(turned, shapes).withColumn("x", F.col("__x"))
+    return found.select(*points.columns, *[c for c in centres.columns if c not in points.columns])
 
 
 def within_hits(points: DataFrame, hits: DataFrame, position: str, band: float = 1.0) -> DataFrame:
@@ -98,105 +100,107 @@ def inside(x: np.ndarray, y: np.ndarray, rings: list[np.ndarray]) -> np.ndarray:
     return odd
 
 
-def _crossed(sizes_a: np.ndarray, sizes_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of two ragged lists with as many groups: every row of a group with every other of the same group."""
-    starts = np.cumsum(sizes_b) - sizes_b
-    group = np.repeat(np.arange(len(sizes_a)), sizes_a)
-    times = sizes_b[group]
-    left = np.repeat(np.arange(len(group)), times)
-    return left, np.arange(len(left)) - np.repeat(np.cumsum(times) - times, times) + starts[group[left]]
+def _finite(p: Column) -> Column:
+    return F.coalesce((F.abs(p.x) < float("inf")) & (F.abs(p.y) < float("inf")), F.lit(False))
+
+
+def _numbered(shapes: DataFrame, points: Column, row: str, box: str) -> DataFrame:
+    """shapes with a row number, stored once so that it stays, the box of its points, and whether all of these are finite."""
+    sound = F.forall(points, _finite)
+    return stored(shapes.withColumns({row: F.monotonically_increasing_id(), box: geo.box(F.filter(points, _finite)), "__sound": sound, "__corners": F.size(points).cast("long")}), "shapes")
+
+
+#: Where along a segment it is found out whether it is inside: not where shapes are likely to have their edges.
+KNOWN = 0.4871093261
+
+
+#: SQL of the level of an edge's height.
+HEIGHT = grid.level_of("abs(__a.y - __b.y)")
 
 
-def cut_paths(paths: list[np.ndarray], shapes: list[list[np.ndarray]]) -> list[list[np.ndarray]]:
-    """The parts of each path inside its shape: segments are cut where they cross edges, pieces kept by their middle.
+def odd_to_the_right(points: DataFrame, edges: DataFrame, keys: list[str], group: list[str], heights: list[int], few: bool = False) -> DataFrame:
+    """keys of the points (keys, __x, __y) that an odd number of their group's edges lie right of.
 
-    All segments, edges and pieces of the list are worked on together.
+    group is among the keys. edges are (group, __a, __b); heights are their levels. An edge has at most two intervals
+    of y, of the level of its own height, and a point one at each level that edges have, so a point meets
+    the edges about its own y only, whatever the heights. few says that the edges may be broadcast.
     """
-    n = np.arange(len(paths))
-    segments = np.array([max(0, len(p) - 1) for p in paths], np.int64)
-    p, q = (np.concatenate([np.empty((0, 2)), *[x[a:b] for x in paths if len(x) > 1]]) for a, b in ((0, -1), (1, None)))
-    edges = np.array([sum(map(len, rings)) for rings in shapes], np.int64)
-    a = np.concatenate([np.empty((0, 2)), *[r for rings in shapes for r in rings]])
-    b = np.concatenate([np.empty((0, 2)), *[np.roll(r, -1, 0) for rings in shapes for r in rings]])
-    s, d = q - p, b - a
-    i, j = _crossed(segments, edges)
-    cross = s[i, 0] * d[j, 1] - s[i, 1] * d[j, 0]
-    w = a[j] - p[i]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        t, u = (w[:, 0] * d[j, 1] - w[:, 1] * d[j, 0]) / cross, (w[:, 0] * s[i, 1] - w[:, 1] * s[i, 0]) / cross
-    hit = (cross != 0) & (t > 0) & (t < 1) & (u >= 0) & (u <= 1)
-    every = np.arange(len(p))
-    of, at = np.concatenate([every, every, i[hit]]), np.concatenate([np.zeros(len(p)), np.ones(len(p)), t[hit]])
-    order = np.lexsort((at, of))
-    of, at = of[order], at[order]
-    new = np.append(True, (of[1:] != of[:-1]) | (at[1:] != at[:-1])) if len(of) else np.empty(0, bool)
-    of, at = of[new], at[new]
-    inner = np.flatnonzero(of[1:] == of[:-1])
-    segment, t0, t1 = of[inner], at[inner], at[inner + 1]
-    begin, end = p[segment] + s[segment] * t0[:, None], p[segment] + s[segment] * t1[:, None]
-    mid = p[segment] + s[segment] * ((t0 + t1) / 2)[:, None]
-    owner = np.repeat(n, segments)[segment]
-    i, j = _crossed(np.bincount(owner, minlength=len(n)), edges)
-    spans = (b[j, 1] > mid[i, 1]) != (a[j, 1] > mid[i, 1])
-    with np.errstate(divide="ignore", invalid="ignore"):
-        left = mid[i, 0] < (a[j, 0] - b[j, 0]) * (mid[i, 1] - b[j, 1]) / (a[j, 1] - b[j, 1]) + b[j, 0]
-    keep = np.flatnonzero(np.bincount(i[spans & left], minlength=len(mid)) % 2)
-    out: list[list[np.ndarray]] = [[] for _ in paths]
-    if len(keep):
-        begin, end, owner = begin[keep], end[keep], owner[keep]
-        apart = np.append(True, (owner[1:] != owner[:-1]) | (begin[1:] != end[:-1]).any(1))
-        for k, m in zip(*(lambda first: (first, np.append(first[1:], len(keep))))(np.flatnonzero(apart)), strict=True):
-            out[owner[k]].append(np.vstack([begin[k : k + 1], end[k:m]]))
-    return out
-
-
-def clip(lines: DataFrame, polygons: DataFrame, line_id: str, polygon_id: str, keep_polygon: bool = False, cell: float = CELL) -> DataFrame:
-    """The parts of each line (path) inside each polygon (rings): one row per pair that meets, with parts and ok.
-
-    Columns of the lines are kept and the polygon's id is added; keep_polygon keeps its other columns too (an
-    overlay). Candidate pairs come from an equi join on the grid cells of both boxes; a pair that several
-    cells give counts once. A pair that can't be cut has ok = false, null parts and the error.
+    ends = [grid.at(f"{f}(__a.y, __b.y)", "__k") for f in ("least", "greatest")]
+    tall = edges.where("__a.y <> __b.y").withColumn("__k", F.expr(HEIGHT)).withColumn("__at", F.expr(f"explode(sequence({', '.join(ends)}))"))
+    tall = tall.select(*group, "__k", "__at", "__a", "__b")
+    bands = F.expr(f"explode(transform(cast(array({', '.join(map(str, heights))}) as array<int>), k -> struct(k as __k, {grid.at('__y', 'k')} as __at)))")
+    met = points.withColumn("__band", bands).select(*points.columns, "__band.*").join(F.broadcast(tall) if few else tall, [*group, "__k", "__at"])
+    met = met.where("((__b.y > __y) <> (__a.y > __y)) and __x < (__a.x - __b.x) * (__y - __b.y) / (__a.y - __b.y) + __b.x")
+    return met.groupBy(*keys).agg(F.count("*").alias("__n")).where("__n % 2 = 1").drop("__n")
+
+
+def clip(lines: DataFrame, polygons: DataFrame, line_id: str, polygon_id: str, keep_polygon: bool = False) -> DataFrame:
+    """The parts of each line (path) inside each polygon (rings): one row per pair that meets, with parts, ok and error.
+
+    Columns of the lines are kept and the polygon's id is added; keep_polygon keeps its other columns too (an overlay).
+    Rows are known by numbers of their own, so ids may be null or repeated: a row gives its own pairs. A line with
+    fewer than two points and a polygon without a ring of three corners meet nothing. If a line or a polygon holds
+    a coordinate that is missing or not finite, the pairs of its box have ok = false, null parts and the error.
+
+    Segments of lines meet edges of polygons on the cells of a grid of several levels and are cut where they cross.
+    A segment is inside at one place if an odd number of edges lie right of that, which is an aggregate, and its
+    pieces follow from the edges in between; they are put together again by row number. No ring travels with a
+    pair: a task holds single segments and edges, the cuts of one line by one polygon, and in the end the parts of
+    one row. Lines and polygons are stored and counted when the plan is made; the edges are broadcast if they are few.
     """
-    boxed = lambda df, points: df.withColumn("__b", geo.box(points)).withColumn("__cell", F.explode(_cells(F.col("__b.x0"), F.col("__b.y0"), F.col("__b.x1"), F.col("__b.y1"), cell)))
-    left = boxed(lines.where(F.size("path") > 1), F.col("path")).select(line_id, "__cell", F.col("__b").alias("__lb"))
-    right = boxed(polygons.where(F.size(F.flatten("rings")) > 0), F.flatten("rings")).select(polygon_id, "__cell", F.col("__b").alias("__pb"))
-    overlap = (F.col("__lb.x0") <= F.col("__pb.x1")) & (F.col("__pb.x0") <= F.col("__lb.x1")) & (F.col("__lb.y0") <= F.col("__pb.y1")) & (F.col("__pb.y0") <= F.col("__lb.y1"))
-    pairs = left.join(right, "__cell").where(overlap).select(line_id, polygon_id).distinct()
-    kept = polygons if keep_polygon else polygons.select(polygon_id, "rings")
-    met = pairs.join(lines, line_id).join(kept, polygon_id)
-
-    rest = [c for c in met.columns if c != "rings"]
-    of = lambda name, axis: F.transform(F.col(name), lambda p: p[axis])
-    rings_of = lambda axis: F.transform(F.col("rings"), lambda r: F.transform(r, lambda p: p[axis]))
-    coordinates = {"__lx": of("path", "x"), "__ly": of("path", "y"), "__px": rings_of("x"), "__py": rings_of("y")}
-
-    names = list(coordinates)
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for k in range(0, len(batch), PAIRS):
-                part = batch.iloc[k : k + PAIRS].reset_index(drop=True)
-                paths, shapes, errors = [], [], []
-                for a, b, cs, ds in zip(*(part[c] for c in names), strict=True):
-                    path, rings, error = np.empty((0, 2)), [], None
-                    try:
-                        rings = [np.column_stack([np.asarray(c, float), np.asarray(d, float)]) for c, d in zip(cs, ds, strict=True) if len(c) > 2]
-                        path = np.column_stack([np.asarray(a, float), np.asarray(b, float)])
-                    except (ValueError, TypeError) as wrong:
-                        error = f"{type(wrong).__name__}: {wrong}"
-                    paths.append(path if error is None else np.empty((0, 2)))
-                    shapes.append(rings if error is None else [])
-                    errors.append(error)
-                parts = cut_paths(paths, shapes)
-                met = [k for k in range(len(part)) if parts[k] or errors[k]]
-                shown = [None if errors[k] else [[{"x": x, "y": y} for x, y in piece.tolist()] for piece in parts[k]] for k in met]
-                yield part.loc[met, ["__pair"]].assign(parts=pd.Series(shown, index=met, dtype=object), ok=[errors[k] is None for k in met], error=[errors[k] for k in met])
-
-    keys = met.select(line_id, polygon_id).schema
-    pair = F.struct(F.col(line_id), F.col(polygon_id))
-    pieces = met.select(pair.alias("__pair"), *[c.alias(name) for name, c in coordinates.items()]).mapInPandas(cut, f"__pair {keys.simpleString()}, parts {PARTS}, ok boolean, error string")
-    pieces = pieces.select(*[F.col(f"__pair.{c}").alias(c) for c in (line_id, polygon_id)], "parts", "ok", "error")
-    return pieces.join(lines, line_id).join(kept.drop("rings"), polygon_id).select(*rest, "parts", "ok", "error")
+    left = _numbered(lines.where(F.size("path") > 1), F.col("path"), "__l", "__lb")
+    right = _numbered(polygons.where("exists(rings, r -> size(r) > 2)"), F.flatten("rings"), "__p", "__rb")
+    box = "struct(least({0}.x, {1}.x) as x0, least({0}.y, {1}.y) as y0, greatest({0}.x, {1}.x) as x1, greatest({0}.y, {1}.y) as y1)"
+    segments = left.where("__sound").select("__l", "path", F.expr("posexplode(slice(path, 2, size(path) - 1))").alias("__s", "__to"))
+    segments = segments.select("__l", "__s", F.expr("path[__s]").alias("__from"), "__to").withColumn("__lb", F.expr(box.format("__from", "__to")))
+    edges = right.where("__sound").select("__p", F.expr("explode(filter(rings, r -> size(r) > 2))").alias("r")).select("__p", "r", F.expr("posexplode(r)").alias("k", "__a"))
+    edges = edges.select("__p", "__a", F.expr("r[(k + 1) % size(r)]").alias("__b")).withColumn("__rb", F.expr(box.format("__a", "__b")))
+    boxes = right.where("__sound").select("__p", "__rb")
+
+    span = "greatest(abs({0}.x - {1}.x), abs({0}.y - {1}.y))"
+    bits = lambda ks, size: f"aggregate({ks}, 0L, (m, k) -> m | {grid.mask(grid.level_of(size))})"
+    round_ = lambda size: f"aggregate(filter(rings, r -> size(r) > 2), 0L, (n, r) -> n | {bits('sequence(0, size(r) - 1)', size.format('r[k]', 'r[(k + 1) % size(r)]'))})"
+    own = lambda box: f"if({grid.bounded(box)}, {grid.mask(grid.level(box))}, 0L)"
+    at = grid.levels(left, segments=f"if(__sound, {bits('sequence(1, size(path) - 1)', span.format('path[k - 1]', 'path[k]'))}, 0L)", lines=own("__lb"), bad=f"if(__sound, 0L, {own('__lb')})")
+    at |= grid.levels(right, edges=f"if(__sound, {round_(span)}, 0L)", heights=f"if(__sound, {round_('abs({0}.y - {1}.y)')}, 0L)", polygons=own("__rb"), boxes=f"if(__sound, {own('__rb')}, 0L)", flawed=f"if(__sound, 0L, {own('__rb')})")
+    corners = right.agg(F.coalesce(F.sum("__corners"), F.lit(0))).first()[0]
+    few = corners * 4 * (2 + len(at["segments"])) <= BROADCAST_CORNERS
+    near = grid.meeting_boxes(segments, boxes, at["segments"], at["boxes"], few)
+    x, y = (f"__from.{c} + (__to.{c} - __from.{c}) * {KNOWN}D" for c in "xy")
+    names = ["__l", "__p", "__s"]
+    inner = odd_to_the_right(near.selectExpr(*names, f"{x} as __x", f"{y} as __y"), edges, names, ["__p"], at["heights"], few)
+    # an edge with its ends on either side of the segment changes what is inside; of two at a corner on it, one or both or none do
+    cross, wx, wy = "((__to.x - __from.x) * (__b.y - __a.y) - (__to.y - __from.y) * (__b.x - __a.x))", "(__a.x - __from.x)", "(__a.y - __from.y)"
+    t, u = f"({wx} * (__b.y - __a.y) - {wy} * (__b.x - __a.x)) / {cross}", f"({wx} * (__to.y - __from.y) - {wy} * (__to.x - __from.x)) / {cross}"
+    side = "((__to.x - __from.x) * ({0}.y - __from.y) - (__to.y - __from.y) * ({0}.x - __from.x) >= 0)"
+    met = grid.meeting_boxes(segments, edges, at["segments"], at["edges"], few).where(f"{cross} <> 0")
+    met = met.selectExpr(*names, f"{t} as t", f"{u} as u", f"cast({side.format('__a')} <> {side.format('__b')} as int) as flip").where("t > 0 and t < 1 and (flip = 1 or u >= 0 and u <= 1)").drop("u")
+    rows = near.selectExpr(*names, "0D as t", "0 as flip", "struct(__from, __to) as e").unionByName(met, allowMissingColumns=True)
+    rows = rows.unionByName(inner.selectExpr(*names, f"{KNOWN}D as t", "1 as odd"), allowMissingColumns=True).repartition("__l", "__p")
+    # from each cut to the next; whether it is inside follows from one place of the segment and the edges in between
+    segment = Window.partitionBy(*names)
+    along = segment.orderBy("t")
+    before = F.coalesce(F.sum(F.when(F.col("t") < KNOWN, F.col("flip"))).over(segment), F.lit(0)) + F.coalesce(F.max("odd").over(segment), F.lit(0))
+    flips = F.coalesce(F.sum("flip").over(along.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
+    pieces = rows.select(*names, "t", F.coalesce(F.lead("t").over(along), F.lit(1.0)).alias("t1"), F.first("e").over(along).alias("e"), ((flips + before) % 2).alias("inside"))
+    ends = ", ".join(f"struct({', '.join(f'e.__from.{c} + (e.__to.{c} - e.__from.{c}) * {v} as {c}' for c in 'xy')}) as {name}" for v, name in (("t", "__begin"), ("t1", "__end")))
+    kept = pieces.where("inside = 1 and t1 > t").select(*names, F.col("t").alias("__t"), F.expr(f"struct({ends}) as v")).select(*names, "__t", "v.*")
+    order = Window.partitionBy("__l", "__p").orderBy("__s", "__t")
+    apart = F.when(F.lag("__end").over(order) == F.col("__begin"), 0).otherwise(1)
+    kept = kept.withColumn("__new", apart).withColumn("__part", F.sum("__new").over(order))
+    points = F.sort_array(F.collect_list(F.struct("__s", "__t", "__begin", "__end")))
+    whole = kept.groupBy("__l", "__p", "__part").agg(points.alias("v")).select("__l", "__p", "__part", F.concat(F.array(F.col("v")[0]["__begin"]), F.transform("v", lambda v: v["__end"])).alias("points"))
+    parts = whole.groupBy("__l", "__p").agg(F.transform(F.sort_array(F.collect_list(F.struct("__part", "points"))), lambda v: v.points).alias("parts"))
+    parts = parts.select("__l", "__p", "parts", F.lit(True).alias("ok"), F.lit(None).cast("string").alias("error"))
+
+    pairs = [(left.where("not __sound"), right, "bad", "polygons")] * bool(at["bad"]) + [(left.where("__sound"), right.where("not __sound"), "lines", "polygons")] * bool(at["flawed"])
+    for some, others, k, m in pairs:
+        wrong = grid.meeting_boxes(some.select("__l", "__lb"), others.select("__p", "__rb"), at[k], at[m])
+        error = F.lit("a coordinate is missing or not finite").alias("error")
+        parts = parts.unionByName(wrong.select("__l", "__p", F.lit(None).cast(PARTS).alias("parts"), F.lit(False).alias("ok"), error))
+    ids = right.select("__p", *([c for c in polygons.columns if c != "rings"] if keep_polygon else [polygon_id]))
+    out = parts.join(left.select("__l", *lines.columns), "__l").join(F.broadcast(ids) if few and not keep_polygon else ids, "__p")
+    return out.select(*lines.columns, *[c for c in ids.columns if c != "__p"], "parts", "ok", "error")
 
 
 def parts_length(parts: Column) -> Column:

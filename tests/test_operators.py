@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from terraops import sinks
 from terraops.functions import geo
-from terraops.operators import catalog, index, osm, poi, spatial, trips
+from terraops.operators import catalog, grid, index, osm, poi, spatial, trips
 from terraops.plans import pipelines
 from terraops.sources import archives, html, shapefile, tables
 
@@ -248,22 +248,105 @@ def test_any_damaged_byte_of_an_archive_is_a_row(spark):
     assert all(bytes(r.content).decode()[6:].startswith("some text") or b"some text" in bytes(r.content) for r in rows if r.content)
 
 
-def test_clip_by_brute_force(spark):
+SHAPE = "array<array<struct<x:double,y:double>>>"
+STAR = [[float(r * np.cos(a)), float(r * np.sin(a))] for k, a in enumerate(np.linspace(0, 2 * np.pi, 10, endpoint=False)) for r in [4 if k % 2 else 9]]
+HOLE = [[-1.0, -1.0], [1.0, -1.0], [1.0, 1.0], [-1.0, 1.0]]
+
+
+def inside_length(path, rings, n=20_000):
+    """The length of path within rings, by many points along it."""
+    steps = np.concatenate([p + (q - p) * (np.arange(n)[:, None] + 0.5) / n for p, q in zip(path, path[1:], strict=False)])
+    weight = np.repeat(np.hypot(*np.diff(path, axis=0).T) / n, n)
+    return weight[spatial.inside(steps[:, 0], steps[:, 1], rings)].sum()
+
+
+def length_of(parts):
+    return sum(np.hypot(*np.diff(np.array([(p.x, p.y) for p in part]), axis=0).T).sum() for part in parts)
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 3])
+def test_clip_by_brute_force(spark, limit, monkeypatch):
     """Lengths inside concave rings with holes, against many points along each line."""
+    monkeypatch.setattr(spatial, "BROADCAST_CORNERS", limit)
     draw = np.random.default_rng(8)
-    star = [[float(r * np.cos(a)), float(r * np.sin(a))] for k, a in enumerate(np.linspace(0, 2 * np.pi, 10, endpoint=False)) for r in [4 if k % 2 else 9]]
-    hole = [[-1.0, -1.0], [1.0, -1.0], [1.0, 1.0], [-1.0, 1.0]]
-    rings = [np.array(star), np.array(hole)]
     paths = [draw.uniform(-10, 10, (int(n), 2)) for n in draw.integers(2, 6, 40)]
-    for path, parts in zip(paths, spatial.cut_paths(paths, [rings] * 40), strict=True):
-        steps = np.concatenate([p + (q - p) * (np.arange(20_000)[:, None] + 0.5) / 20_000 for p, q in zip(path, path[1:], strict=False)])
-        weight = np.repeat(np.hypot(*np.diff(path, axis=0).T) / 20_000, 20_000)
-        want = weight[spatial.inside(steps[:, 0], steps[:, 1], rings)].sum()
-        assert sum(np.hypot(*np.diff(x, axis=0).T).sum() for x in parts) == pytest.approx(want, abs=0.02)
-    assert spatial.cut_paths([], []) == []
-    lines = spark.createDataFrame([(1, [(0.0, 2.0), (20.0, 2.0)]), (2, [(None, 2.0), (1.0, 2.0), (5.0, 5.0)])], "road int, path array<struct<x:double,y:double>>")
-    shape = spark.createDataFrame([(7, [[tuple(p) for p in star]])], "oid int, rings array<array<struct<x:double,y:double>>>")
-    assert {r.road: r.ok for r in spatial.clip(lines, shape, "road", "oid").collect()}[1]
+    lines = spark.createDataFrame([(k, [tuple(map(float, p)) for p in path]) for k, path in enumerate(paths)], "road int, path array<struct<x:double,y:double>>")
+    shapes = {7: [STAR, HOLE], 8: [[[x / 50 + 3, y / 50 + 3] for x, y in STAR]]}
+    polygons = spark.createDataFrame([(k, [[tuple(p) for p in r] for r in rings]) for k, rings in shapes.items()], f"oid int, rings {SHAPE}")
+    found = {(r.road, r.oid): r for r in spatial.clip(lines, polygons, "road", "oid").collect()}
+    for k, path in enumerate(paths):
+        for oid, rings in shapes.items():
+            want = inside_length(path, [np.array(r) for r in rings])
+            got = found.get((k, oid))
+            assert (length_of(got.parts) if got else 0) == pytest.approx(want, abs=0.02)
+            for part in got.parts if got else []:
+                middle = np.array([[(p.x + q.x) / 2, (p.y + q.y) / 2] for p, q in zip(part, part[1:], strict=False)])
+                assert spatial.inside(middle[:, 0], middle[:, 1], [np.array(r) for r in rings]).all()
+    assert spatial.clip(lines.limit(0), polygons, "road", "oid").count() == spatial.clip(lines, polygons.limit(0), "road", "oid").count() == 0
+
+
+def test_clip_keeps_rows_of_repeated_and_null_ids_apart(spark):
+    square = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)]
+    line = lambda y, x=-5.0: [(x, y), (5.0, y)]
+    lines = spark.createDataFrame([(1, "a", line(1.0)), (1, "b", line(2.0)), (None, "c", line(3.0)), (4, "d", line(float("nan"))), (5, "e", [(None, 1.0), (1.0, 1.0)]), (6, "f", [(1.0, 1.0)]), (7, "g", None), (8, "h", [(1.0, 1.0), None])], "road int, kind string, path array<struct<x:double,y:double>>")
+    polygons = spark.createDataFrame([(7, [square]), (7, [square]), (None, [[(0.0, 0.0), (2.0, 0.0), (2.0, 4.0), (0.0, 4.0)]]), (9, []), (10, [[(0.0, 0.0), (1.0, 1.0)]]), (11, [[(0.0, 0.0), (float("inf"), 0.0), (0.5, 5.0)]])], f"oid int, rings {SHAPE}")
+    rows = spatial.clip(lines, polygons, "road", "oid").collect()
+    good = [(r.road, r.kind, r.oid, length_of(r.parts)) for r in rows if r.ok]
+    key = lambda r: (str(r[1]), str(r[2]))
+    assert sorted(good, key=key) == sorted([(road, kind, oid, n) for road, kind in ((1, "a"), (1, "b"), (None, "c")) for oid, n in ((7, 4.0), (7, 4.0), (None, 2.0))], key=key)
+    bad = [(r.kind, r.oid, r.parts, r.error is None) for r in rows if not r.ok]
+    assert {r[:2] for r in bad} == {("e", 7), ("e", None), ("h", 7), ("h", None), ("a", 11), ("b", 11), ("c", 11)} and all(r[2:] == (None, False) for r in bad)
+    assert len(bad) == 9  # e and h meet both rows of 7, and their known points are not in the box of 11
+    counts = {(r.oid, r.pieces, r.failed) for r in pipelines.clip_status(lines, polygons.where("oid <> 7"), "road", "oid").collect()}
+    assert counts == {(9, 0, 0), (10, 0, 0), (11, 0, 3)}
+
+
+def test_clip_of_a_ring_of_many_corners(spark):
+    n = 20_000
+    ring = [(float((8 + (k % 2)) * np.cos(a)), float((8 + (k % 2)) * np.sin(a))) for k, a in enumerate(np.linspace(0, 2 * np.pi, n, endpoint=False))]
+    lines = spark.range(1_024).select(F.col("id").alias("road"), F.array(geo.point(F.lit(-20.0), F.col("id") / 64 - 8), geo.point(F.lit(20.0), F.col("id") / 64 - 8)).alias("path"))
+    polygon = spark.createDataFrame([(1, [ring])], f"oid int, rings {SHAPE}")
+    rows = {r.road: r for r in spatial.clip(lines, polygon, "road", "oid").collect()}
+    for road in (64, 512, 1000):
+        path = np.array([(-20.0, road / 64 - 8), (20.0, road / 64 - 8)])
+        assert length_of(rows[road].parts) == pytest.approx(inside_length(path, [np.array(ring)], 5_000), abs=0.2)
+    assert len(rows) == 1_024
+
+
+def test_spatial_join_of_any_mix_of_sizes(spark):
+    """Twenty thousand small polygons and one as large as the world: each polygon has four cells at most."""
+    small = spark.range(20_000).select(F.col("id").alias("zone"), (F.col("id") % 200 - 100.0).alias("a"), (F.floor(F.col("id") / 200) - 50.0).alias("b"))
+    corner = lambda dx, dy: geo.point(F.col("a") + dx, F.col("b") + dy)
+    small = small.select("zone", F.array(F.array(corner(0, 0), corner(0.001, 0), corner(0.001, 0.001), corner(0, 0.001))).alias("rings"))
+    world = spark.createDataFrame([(-1, [[(-180.0, -90.0), (180.0, -90.0), (180.0, 90.0), (-180.0, 90.0)]]), (-2, [[(float("nan"), 0.0), (1.0, 1.0), (0.0, 1.0)]]), (-3, [])], f"zone long, rings {SHAPE}")
+    points = spark.createDataFrame([(k, k * 10 - 49.9995, k * 7 - 29.9995) for k in range(10)], "id int, x double, y double")
+    points = points.union(spark.createDataFrame([(20, None, 1.0), (21, float("nan"), 1.0), (22, float("inf"), 1.0)], "id int, x double, y double"))
+    zones = small.union(world)
+    found = {(r.id, r.zone) for r in spatial.points_in_polygons(points, zones).collect()}
+    assert found == {(k, -1) for k in range(10)} | {(k, (k * 7 - 30 + 50) * 200 + k * 10 - 50 + 100) for k in range(10)}
+    kept, spatial.BROADCAST_CORNERS = spatial.BROADCAST_CORNERS, 100
+    try:  # the widest level is broadcast, the small ones are shuffled
+        assert {(r.id, r.zone) for r in spatial.points_in_polygons(points, zones).collect()} == found
+    finally:
+        spatial.BROADCAST_CORNERS = kept
+
+
+def test_boxes_meet_once_whatever_their_sizes(spark):
+    draw = np.random.default_rng(3)
+
+    def boxes(n):
+        at, size = draw.uniform(-10, 10, (n, 2)), 10 ** draw.uniform(-5, 1.5, (n, 2))
+        return [(k, tuple(map(float, (*a, *(a + s))))) for k, (a, s) in enumerate(zip(at, size, strict=True))]
+
+    left, right = boxes(200), boxes(150)
+    kind = "struct<x0:double,y0:double,x1:double,y1:double>"
+    a, b = spark.createDataFrame(left, f"i int, __lb {kind}"), spark.createDataFrame(right, f"j int, __rb {kind}")
+    want = sorted((i, j) for i, p in left for j, q in right if p[0] <= q[2] and q[0] <= p[2] and p[1] <= q[3] and q[1] <= p[3])
+    for few in (True, False):
+        at = [grid.levels(df, own=grid.mask(grid.level(box)))["own"] for df, box in ((a, "__lb"), (b, "__rb"))]
+        met = grid.meeting_boxes(a, b, *at, few)
+        assert sorted((r.i, r.j) for r in met.collect()) == want
+    assert met.selectExpr("i").count() == len(want) > 100
 
 
 @pytest.mark.parametrize("kind", ["point", "line", "polygon"])
