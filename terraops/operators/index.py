@@ -62,6 +62,35 @@ def first_per_key(df: DataFrame, keys: list[str], *order: str | Column) -> DataF
     return df.groupBy(*keys).agg(ranked).select(*keys, *[F.col("__first")[c].alias(c) for c in rest])
 
 
+def _chunked(df: DataFrame, keys: list[str], order: list[str], size: int) -> DataFrame:
+    """df with __i, the place of a row among all by keys and order, and chunk, which size places share."""
+    return dense_index(df, *keys, *order, name="__i").withColumn("chunk", F.floor(F.col("__i") / size))
+
+
+def list_chunks(df: DataFrame, keys: list[str], order: list[str], value: str, size: int = 10_000) -> DataFrame:
+    """(keys, chunk, values): each key's values in order, in lists of at most size; chunks of a key are in order too.
+
+    Chunks are cut by the place of a row among all, which range partitions and one count for each of them give, so
+    a key with any number of rows is dealt over tasks and no row holds more than size values.
+    """
+    listed = F.sort_array(F.collect_list(F.struct("__i", F.col(value).alias("v"))))
+    return _chunked(df.select(*dict.fromkeys([*keys, *order, value])), keys, order, size).groupBy(*keys, "chunk").agg(F.transform(listed, lambda r: r.v).alias("values"))
+
+
+def path_chunks(df: DataFrame, keys: list[str], position: str, x: str = "x", y: str = "y", size: int = 10_000) -> DataFrame:
+    """(keys, chunk, path): each key's track in the order of position as parts of at most size + 1 points.
+
+    A part ends with the point that the next part of its key begins with, so parts joined end to end are the track. See list_chunks.
+    """
+    rows = _chunked(df.select(*keys, position, F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y")), keys, [position], size)
+    first = F.col("__i") % size == 0
+    copies = F.when(first, F.array(F.col("chunk"), F.col("chunk") - 1)).otherwise(F.array(F.col("chunk")))
+    rows = rows.withColumn("own", F.col("chunk")).withColumn("chunk", F.explode(copies))
+    points = F.sort_array(F.collect_list(F.struct("__i", "__x", "__y")))
+    parts = rows.groupBy(*keys, "chunk").agg(points.alias("p"), F.max(F.col("own") == F.col("chunk")).alias("met"))  # a key that begins a chunk has no part before it
+    return parts.where("met").select(*keys, "chunk", F.transform("p", lambda p: F.struct(p["__x"].alias("x"), p["__y"].alias("y"))).alias("path"))
+
+
 def paths(df: DataFrame, keys: list[str], position: str, x: str = "x", y: str = "y") -> DataFrame:
     """(keys, path): the points of each key in the order of position. A path is one row, which a task must hold."""
     rows = F.sort_array(F.collect_list(F.struct(F.col(position).alias("pos"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))))

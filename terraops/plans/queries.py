@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 from datetime import date
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -265,9 +266,9 @@ def osm_labels(spark, sf_dir):
     return ways.select("way_id", osm.label(F.col("class"), F.col("name"), F.size("path") - 1, corners).alias("label"))
 
 
-# The inverse geodesic, each round one row of the recursion; edges that do not converge leave their way without a length.
+# The inverse geodesic, each round one row of the recursion; edges that do not converge are searched for by azimuth.
 _TERMS = """sqrt((c2 * sin(lam)) ** 2 + (c1 * s2 - s1 * c2 * cos(lam)) ** 2) AS ss, s1 * s2 + c1 * c2 * cos(lam) AS cs"""
-views.DUCKDB["geodesic"] = """SELECT way_id, pos, turn, sin(u1) AS s1, cos(u1) AS c1, sin(u2) AS s2, cos(u2) AS c2 FROM (SELECT way_id, pos, radians(nx - x) AS turn,
+views.DUCKDB["geodesic"] = """SELECT way_id, pos, turn, sin(u1) AS s1, cos(u1) AS c1, sin(u2) AS s2, cos(u2) AS c2 FROM (SELECT way_id, pos, radians(nx - x - 360 * floor((nx - x + 180) / 360)) AS turn,
     atan((1 - 1 / 298.257223563::DOUBLE) * tan(radians(y))) AS u1, atan((1 - 1 / 298.257223563::DOUBLE) * tan(radians(ny))) AS u2
     FROM (SELECT way_id, pos, x, y, lead(x) OVER w AS nx, lead(y) OVER w AS ny FROM way_point WINDOW w AS (PARTITION BY way_id ORDER BY pos)) JOIN classed USING (way_id) WHERE kind = 'linear' AND nx IS NOT NULL)"""
 _ROUND = f"""SELECT *, acos(0) * 0 + atan2(ss, cs) AS sg, CASE WHEN ss = 0 THEN 0 ELSE c1 * c2 * sin(lam) / ss END AS sa FROM (SELECT *, {_TERMS} FROM rounds)"""
@@ -278,15 +279,36 @@ _NEXT = f"(turn + (1 - {_C}) * {_F} * sa * (sg + {_C} * ss * (cm + {_C} * cs * (
 _K = f"(ca * (6378137.0::DOUBLE ** 2 - (6378137.0::DOUBLE * (1 - {_F})) ** 2) / (6378137.0::DOUBLE * (1 - {_F})) ** 2)"
 _A, _B = f"(1 + {_K} / 16384 * (4096 + {_K} * (-768 + {_K} * (320 - 175 * {_K}))))", f"({_K} / 1024 * (256 + {_K} * (-128 + {_K} * (74 - 47 * {_K}))))"
 _DS = f"({_B} * ss * (cm + {_B} / 4 * (cs * (2 * cm * cm - 1) - {_B} / 6 * cm * (4 * ss * ss - 3) * (4 * cm * cm - 3))))"
-_GEODESIC = f"""SELECT way_id, class, round(coalesce(km, 0), 3) AS km FROM classed LEFT JOIN (SELECT way_id, sum(m) / 1000 AS km, bool_and(done) AS good FROM (
+_GEODESIC = f"""SELECT way_id, class, round(coalesce(km, 0), 3) AS km FROM classed LEFT JOIN (SELECT way_id, sum(CASE WHEN done THEN m ELSE metres END) / 1000 AS km FROM (
     WITH RECURSIVE rounds AS (SELECT *, turn AS lam, turn AS before, 0 AS r FROM geodesic UNION ALL SELECT way_id, pos, turn, s1, c1, s2, c2, {_NEXT} AS lam, lam AS before, r + 1 FROM ({_ROUND}) WHERE r < 99)
-    SELECT way_id, abs({_NEXT} - lam) < 1e-12 AS done, CASE WHEN ss = 0 THEN 0 ELSE 6378137.0::DOUBLE * (1 - {_F}) * {_A} * (sg - {_DS}) END AS m FROM ({_ROUND}) WHERE r = 99) GROUP BY way_id) USING (way_id)
-    WHERE kind = 'linear' AND coalesce(good, true)"""
+    SELECT way_id, pos, abs({_NEXT} - lam) < 1e-12 AND abs(lam) <= pi() AS done, CASE WHEN ss = 0 THEN 0 ELSE 6378137.0::DOUBLE * (1 - {_F}) * {_A} * (sg - {_DS}) END AS m FROM ({_ROUND}) WHERE r = 99) LEFT JOIN antipodal USING (way_id, pos) GROUP BY way_id) USING (way_id)
+    WHERE kind = 'linear'"""
+
+
+def azimuth_sql(source: str, names: str) -> str:
+    """(names, metres) of rows (names, turn, s1, c1, s2, c2): the azimuth at the first point by halving, integrals by Gauss and Legendre."""
+    nodes, weights = np.polynomial.legendre.leggauss(16)
+    rule = ", ".join(f"{{'x': {x!r}::DOUBLE, 'w': {w!r}::DOUBLE}}" for x, w in zip(nodes.tolist(), weights.tolist(), strict=True))
+    found = f"""(SELECT *, atan2(a1, ca * d1) AS lo, atan2(a2, across) AS hi, (ca ** 2 + (sa * a1) ** 2) * {_F} * (2 - {_F}) / (1 - {_F}) ** 2 AS k2, atan2(s0 * a2, across) - atan2(s0 * a1, ca * d1) AS omega
+        FROM (SELECT *, sa * d1 AS s0, sqrt(greatest(0, (ca * d1) ** 2 + (d2 - d1) * (d2 + d1))) AS across FROM (SELECT *, cos((low + high) / 2) AS sa, -sin((low + high) / 2) AS ca FROM tries)))"""
+    root = "sqrt(1 + k2 * sin((lo + hi) / 2 + (hi - lo) / 2 * n.x) ** 2)"
+    total = lambda term: f"(hi - lo) / 2 * list_sum(list_transform([{rule}], lambda n: n.w * {term}))"
+    short = f"omega - {_F} * s0 * ({total(f'(2 - {_F}) / (1 + (1 - {_F}) * {root})')}) < turn"
+    return f"""SELECT {names}, 6378137.0::DOUBLE * (1 - {_F}) * {total(root)} AS metres FROM (
+        WITH RECURSIVE tries AS (SELECT {names}, abs(turn) AS turn, CASE WHEN abs(s2) > abs(s1) THEN c2 ELSE c1 END AS d1, CASE WHEN abs(s2) > abs(s1) THEN c1 ELSE c2 END AS d2, -abs(CASE WHEN abs(s2) > abs(s1) THEN s2 ELSE s1 END) AS a1,
+            CASE WHEN abs(s2) > abs(s1) THEN s1 ELSE s2 END * CASE WHEN CASE WHEN abs(s2) > abs(s1) THEN s2 ELSE s1 END > 0 THEN -1 ELSE 1 END AS a2, -pi() / 2 AS low, pi() / 2 AS high, 0 AS r FROM {source}
+        UNION ALL SELECT {names}, turn, d1, d2, a1, a2, CASE WHEN {short} THEN (low + high) / 2 ELSE low END AS low, CASE WHEN {short} THEN high ELSE (low + high) / 2 END AS high, r + 1 AS r FROM {found} WHERE r < 60)
+        SELECT * FROM {found} WHERE r = 60)"""
+
+
+# of ways' edges, those so near to antipodal that rounds may not converge
+views.DUCKDB["near_antipodal"] = "SELECT * FROM geodesic WHERE s1 * s2 + c1 * c2 * cos(turn) < -0.99"
+views.DUCKDB["antipodal"] = azimuth_sql("near_antipodal", "way_id, pos")
 
 
 @query(_GEODESIC)
 def osm_length(spark, sf_dir):
-    found = osm.measured(osm.classify(_drawn(spark, sf_dir))).where("kind = 'linear' and not isnan(length)")
+    found = osm.measured(osm.classify(_drawn(spark, sf_dir))).where("kind = 'linear'")
     return found.select("way_id", "class", F.round(F.col("length") / 1000, 3).alias("km"))
 
 
@@ -295,7 +317,11 @@ _Q = "((1 - {e2}) * (sin(radians({y})) / (1 - {e2} * sin(radians({y})) ** 2) + 0
 _QA, _QB = (_Q.format(e="s.e", e2="(s.e * s.e)", y=y) for y in ("y", "coalesce(ny, fy)"))
 
 
-@query(f"""SELECT way_id, round(abs(sum(radians(coalesce(nx, fx) - x) * ({_QA} + {_QB}))) * 6378137.0::DOUBLE ** 2 / 4 / 1e9, 3) AS thousand_km2 FROM way_edge JOIN classed USING (way_id),
+# edges go the shorter way round; a ring once about a pole has what its edges leave of a half
+_WAY_EDGE = "(SELECT way_id, x, y, nx, ny, fx, fy, coalesce(nx, fx) - x - 360 * floor((coalesce(nx, fx) - x + 180) / 360) AS dx FROM way_edge)"
+
+
+@query(f"""SELECT way_id, round(CASE WHEN abs(sum(dx)) > 180 THEN 4 * pi() * any_value({_Q.format(e="s.e", e2="(s.e * s.e)", y="90.0::DOUBLE")}) - abs(sum(radians(dx) * ({_QA} + {_QB}))) ELSE abs(sum(radians(dx) * ({_QA} + {_QB}))) END * 6378137.0::DOUBLE ** 2 / 4 / 1e9, 3) AS thousand_km2 FROM {_WAY_EDGE} JOIN classed USING (way_id),
     (SELECT sqrt(1 / 298.257223563::DOUBLE * (2 - 1 / 298.257223563::DOUBLE)) AS e) s WHERE kind = 'areal' GROUP BY way_id""")
 def osm_area(spark, sf_dir):
     return osm.measured(osm.classify(_drawn(spark, sf_dir))).where("kind = 'areal'").select("way_id", F.round(F.col("area") / 1e9, 3).alias("thousand_km2"))
@@ -525,15 +551,18 @@ def orders_index(spark, sf_dir):
     FROM people JOIN (SELECT "ID", date_trunc('second', "Start") AS "Start", date_trunc('second', "End") AS "End", "Route" FROM trips) USING ("ID")
     WHERE "Team" IN {views.SEGMENTS} AND "Start" >= TIMESTAMP '{views.FROM}' AND "End" <= TIMESTAMP '{views.TO}')""")
 def trips_csv(spark, sf_dir):
-    """From the text files that the trip pipeline starts with: employees, and travel_dddd.csv among other files."""
+    """From the text files that the trip pipeline starts with: employees, and travel_dddd.csv in folders among other files."""
     folder = storage.shared_folder(spark, "trips")
     staff = views.people(spark, sf_dir).where(F.col("Team").isin(*views.SEGMENTS)).select("Name", "ID")
     staff.write.csv(f"{folder}/employees")
     at = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
     travel = views.trips(spark, sf_dir).select("ID", at("Start"), at("End"), "Route")
-    travel.write.csv(f"{folder}/travel")
-    storage.rename_parts(spark, f"{folder}/travel", "travel_{:04d}.csv")
-    travel.limit(5).coalesce(1).write.mode("append").csv(f"{folder}/travel")  # its name is not one of theirs
+    for part, below in (("ID % 3 = 0", "travel"), ("ID % 3 = 1", "travel/a"), ("ID % 3 = 2", "travel/a/b")):
+        travel.where(part).write.csv(f"{folder}/{below}")
+        storage.rename_parts(spark, f"{folder}/{below}", "travel_{:04d}.csv")
+    for k, near in enumerate(("travel_{:05d}.csv", "xtravel_{:04d}.csv", "travel_{:04d}.csv.old")):  # their names are not of the form
+        travel.where("ID < 100").coalesce(1).write.csv(f"{folder}/travel/c{k}")
+        storage.rename_parts(spark, f"{folder}/travel/c{k}", near)
     limits = [F.lit(v).cast("timestamp_ntz") for v in (views.FROM, views.TO)]
     out = pipelines.trip_report(tables.employees(spark, f"{folder}/employees"), tables.travel(spark, f"{folder}/travel"), *limits)
     return out.withColumn("ID", F.col("ID").cast("long"))
@@ -664,3 +693,6 @@ def append_points(spark, sf_dir):
 def tracks(spark, sf_dir):
     rows = index.path_lengths(views.table(spark, sf_dir, "events"), ["user_id"], "event_id", "value", "event_id")
     return rows.withColumn("length", F.round("length", 3))
+
+
+from terraops.plans import globe, lists  # noqa: E402, F401  their queries are registered here

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraops.functions import text, time
@@ -83,17 +83,27 @@ def _rows(pages: DataFrame, make, schema: str) -> DataFrame:
     return pages.select("url", "html").mapInPandas(read, f"url string, {schema}, error string")
 
 
+def _listed(cells: list[dict]) -> Iterator[tuple]:
+    for body in dict.fromkeys(c["body"] for c in cells if c["tag"] == "td"):
+        own = {c["class"]: c for c in cells if c["tag"] == "td" and c["body"] == body}
+        name = own[NAME_CELL]["hrefs"][0].split("/")[-1]
+        tags = list(dict.fromkeys(h.split("/")[-1] for h in own[TAGS_CELL]["hrefs"]))
+        yield name, tags, own[TEXT_CELL]["text"]
+
+
+LISTED = "dataset string, tags array<string>, description string"
+
+
 def catalog_rows(pages: DataFrame) -> DataFrame:
     """(url, dataset, tags, description, error): one row per table body of a listing page."""
+    return _rows(pages, _listed, LISTED)
+
 
-    def make(cells):
-        for body in dict.fromkeys(c["body"] for c in cells if c["tag"] == "td"):
-            own = {c["class"]: c for c in cells if c["tag"] == "td" and c["body"] == body}
-            name = own[NAME_CELL]["hrefs"][0].split("/")[-1]
-            tags = list(dict.fromkeys(h.split("/")[-1] for h in own[TAGS_CELL]["hrefs"]))
-            yield name, tags, own[TEXT_CELL]["text"]
+def _detail(cells: list[dict]) -> Iterator[tuple]:
+    yield next(c["text"] for c in [*cells, {"tag": "code", "text": None}] if c["tag"] == "code"), [c["text"] for c in cells if c["tag"] == "dd"]
 
-    return _rows(pages, make, "dataset string, tags array<string>, description string")
+
+DETAIL = "code string, dd array<string>"
 
 
 def detail_rows(pages: DataFrame, strict: bool = False) -> DataFrame:
@@ -101,29 +111,48 @@ def detail_rows(pages: DataFrame, strict: bool = False) -> DataFrame:
 
     The type and id come from the first <code>; the dates from the first <dd> that holds a range, else null.
     """
-
-    def make(cells):
-        yield next(c["text"] for c in [*cells, {"tag": "code", "text": None}] if c["tag"] == "code"), [c["text"] for c in cells if c["tag"] == "dd"]
-
-    found = _rows(pages, make, "code string, dd array<string>")
+    found = _rows(pages, _detail, DETAIL)
     ranges = F.filter(F.transform("dd", lambda t: time.availability(t, strict)), lambda r: r.isNotNull())
     error = F.when(F.col("error").isNull() & F.col("code").isNull(), "no code").otherwise(F.col("error"))
     found = found.withColumn("c", text.code_block(F.col("code"))).withColumn("r", F.get(ranges, 0))
     return found.select("url", "c.dataset_id", "c.dataset_type", F.col("r.start").alias("dataset_start"), F.col("r.end").alias("dataset_end"), error.alias("error"))
 
 
+def _place(cells: list[dict]) -> Iterator[tuple]:
+    out = {"lat": 0.0, "lng": 0.0, "city": "", "region_name": "", "country_name": ""}
+    for cell in (c for c in cells if c["tag"] == "td" and not c["bold"]):
+        if cell["class"] in ("lat", "lng"):
+            out[cell["class"]] = float(cell["text"])
+        elif cell["class"] == "city":
+            out["city"] = cell["text"].split(" ")[0]
+        elif not cell["class"] and cell["spans"] and cell["spans"][0]["class"] in ("region_name", "country_name"):
+            out[cell["spans"][0]["class"]] = cell["spans"][0]["text"]
+    yield tuple(out.values())
+
+
+PLACE = "lat double, lon double, city string, region string, country string"
+
+
 def place_rows(pages: DataFrame) -> DataFrame:
     """(url, lat, lon, city, region, country, error) of key-value pages; 0 or '' where a cell is missing."""
+    return _rows(pages, _place, PLACE)
+
+
+def _table_function(make, schema: str):
+    """make as a table function of a page's html, for LATERAL in SQL; a page that fails gives nulls and its error."""
+    width = len(schema.split(", "))
+
+    class Rows:
+        def eval(self, html: str):
+            try:
+                yield from [(*row, None) for row in make(_Cells(html).cells)]
+            except (ValueError, IndexError, KeyError) as error:
+                yield (*[None] * width, f"{type(error).__name__}: {error}")
+
+    return F.udtf(Rows, returnType=f"{schema}, error string")
+
 
-    def make(cells):
-        out = {"lat": 0.0, "lng": 0.0, "city": "", "region_name": "", "country_name": ""}
-        for cell in (c for c in cells if c["tag"] == "td" and not c["bold"]):
-            if cell["class"] in ("lat", "lng"):
-                out[cell["class"]] = float(cell["text"])
-            elif cell["class"] == "city":
-                out["city"] = cell["text"].split(" ")[0]
-            elif not cell["class"] and cell["spans"] and cell["spans"][0]["class"] in ("region_name", "country_name"):
-                out[cell["spans"][0]["class"]] = cell["spans"][0]["text"]
-        yield tuple(out.values())
-
-    return _rows(pages, make, "lat double, lon double, city string, region string, country string")
+def register_functions(spark: SparkSession) -> None:
+    """Makes the extractors table functions of a page's html in SQL: listing_rows, detail_cells and place_cells."""
+    for name, make, schema in (("listing_rows", _listed, LISTED), ("detail_cells", _detail, DETAIL), ("place_cells", _place, PLACE)):
+        spark.udtf.register(name, _table_function(make, schema))

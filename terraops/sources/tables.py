@@ -16,9 +16,13 @@ def employees(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.EMPLOYEES).csv(path, header=False)
 
 
-def travel(spark: SparkSession, folder: str) -> DataFrame:
-    """All headerless files travel_dddd.csv of one folder, with its times parsed."""
-    raw = spark.read.schema("ID int, Start string, End string, Route string").option("pathGlobFilter", "travel_[0-9][0-9][0-9][0-9].csv").csv(folder)
+def travel(spark: SparkSession, folder: str, name: str = r"^travel_[0-9]{4}\.csv$") -> DataFrame:
+    """All headerless files in or below folder whose name matches the regular expression, with their times parsed.
+
+    The name is a hidden column of the file source, so files that do not match are left out before any is read.
+    """
+    raw = spark.read.schema("ID int, Start string, End string, Route string").option("recursiveFileLookup", True).csv(folder)
+    raw = raw.where(F.col("_metadata.file_name").rlike(name))
     return raw.withColumn("Start", time.parse_timestamp(F.col("Start"))).withColumn("End", time.parse_timestamp(F.col("End")))
 
 

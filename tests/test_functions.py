@@ -10,7 +10,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from terraops.functions import geo, text, time
-from terraops.operators.spatial import cut_paths, inside
 
 
 def one(spark, column):
@@ -128,14 +127,45 @@ coordinate = st.integers(-40, 40).map(lambda v: v / 10 + 0.003)
 polygon = st.lists(st.tuples(st.integers(-30, 30), st.integers(-30, 30)), min_size=3, max_size=8, unique=True).map(lambda p: np.array(p, float) / 10)
 
 
-@settings(max_examples=150, deadline=None)
-@given(polygon, st.lists(st.tuples(coordinate, coordinate), min_size=2, max_size=5))
-def test_pieces_lie_inside_and_are_no_longer_than_the_path(shape, path):
-    path = np.array(path)
-    length = lambda p: float(np.hypot(*np.diff(p, axis=0).T).sum())
-    pieces = cut_paths([path], [[shape]])[0]
-    assert sum(map(length, pieces)) <= length(path) + 1e-9
-    for piece in pieces:
-        for a, b in zip(piece, piece[1:], strict=False):
-            if np.hypot(*(b - a)) > 1e-6:
-                assert inside(*((a + b) / 2)[:, None], [shape])[0]
+def test_geodesics_between_all_pairs():
+    draw = np.random.default_rng(0)
+    x, y = draw.uniform(-180, 180, 5_000), draw.uniform(-89, 89, 5_000)
+    back = geo.geodesic_metres(x, y, x + 180 + draw.normal(0, 0.3, 5_000), -y + draw.normal(0, 0.3, 5_000))
+    assert np.isfinite(back).all() and back.min() > 19.8e6 and back.max() < 20_003_932
+    known = [((0, 0), (179.5, 0.5), 19936288.579), ((0, -30), (179.8, 29.9), 19989832.828), ((0, 0), (180, 0), 20003931.459), ((10, 0), (40, 0), 6378137 * np.radians(30)), ((5, 90), (77, 90), 0.0), ((170, 10), (-170, 10), None)]
+    for (x1, y1), (x2, y2), metres in known:
+        got = geo.geodesic_metres(*(np.array([float(v)]) for v in (x1, y1, x2, y2)))[0]
+        assert got == pytest.approx(metres if metres is not None else geo.geodesic_metres(*(np.array([v]) for v in (0.0, 10.0, 20.0, 10.0)))[0], abs=2e-3)
+    # the search by azimuth against the rounds, where these converge
+    u = lambda v: np.arctan((1 - geo.WGS84_F) * np.tan(np.radians(v)))
+    turn, u1, u2 = np.radians(draw.uniform(0, 150, 5_000)), u(y), u(draw.permutation(y))
+    terms = turn, np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)
+    assert np.nanmax(np.abs(geo._vincenty(*terms) - geo._by_azimuth(*terms))) < 1e-3
+    assert np.isnan(geo.geodesic_metres(*(np.array([v]) for v in (np.nan, 0.0, 1.0, 1.0)))).all()
+
+
+def test_rings_over_the_date_line_and_poles(spark):
+    points = [(lat, lon, km, float(x), float(y)) for lat, lon, km in ((0.0, 179.5, 500.0), (88.0, 10.0, 1000.0), (-85.0, -170.0, 1500.0), (50.0, -179.9, 800.0), (20.0, 30.0, 700.0)) for x in range(-180, 181, 3) for y in range(-90, 91, 3)]
+    df = spark.createDataFrame(points, "lat double, lon double, km double, x double, y double")
+    rings = geo.wrapped_rings(geo.circle(F.col("lat"), F.col("lon"), F.col("km"), 64))
+    rows = df.select("*", geo.in_rings(F.col("x"), F.col("y"), rings).alias("inside"), geo.haversine(F.col("lat"), F.col("lon"), F.col("y"), F.col("x"), geo.KM).alias("d"), F.size(rings).alias("n")).collect()
+    for r in rows:
+        if r.d < 0.95 * r.km and r.x < 180:  # 180 is -180
+            assert r.inside, r
+        assert not (r.d > 1.02 * r.km and r.inside), r
+    assert {(r.lat, r.n) for r in rows} == {(0.0, 2), (88.0, 2), (-85.0, 2), (50.0, 2), (20.0, 1)}
+    plain = df.select(geo.circle(F.col("lat"), F.col("lon"), F.col("km")).alias("r")).where("r[0].x between 0 and 100").select((geo.wrapped_rings(F.col("r")) == F.array("r")).alias("same"))
+    assert plain.where("not same").count() == 0
+
+
+def test_areas_about_poles(spark):
+    """A hemisphere, what lies north of a parallel, and strips over the date line, however they are cut."""
+    ring = lambda y, turn=1: [(float((turn * 30 * k + 180) % 360 - 180), y) for k in range(12)]
+    box = lambda x0, x1, y0, y1: [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
+    rings = [ring(0.0), ring(60.0), ring(60.0, -1), ring(-60.0), box(170.0, -170.0, 10.0, 20.0), box(0.0, 20.0, 10.0, 20.0), ring(0.0, -1)]
+    df = spark.createDataFrame([(k, r) for k, r in enumerate(rings)], "k int, ring array<struct<x:double,y:double>>")
+    area = {r.k: r.a for r in df.select("k", geo.ellipsoid_area(F.col("ring")).alias("a")).collect()}
+    half = 510065621724088.4 / 2
+    assert area[0] == pytest.approx(half, rel=1e-9) == area[6]
+    assert area[1] == area[2] == pytest.approx(area[3], rel=1e-12) and 0.06 * 2 * half < area[1] < 0.07 * 2 * half
+    assert area[4] == pytest.approx(area[5], rel=1e-12)

@@ -1,8 +1,10 @@
 """Operators on small rows with known results."""
 
 import io
+import os
 import zipfile
 from datetime import date, datetime
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -127,6 +129,12 @@ def test_ring_of_hits_equals_the_nested_loop(spark):
     xy = np.array([p[1:] for p in points])
     want = set(np.flatnonzero(spatial.inside(xy[:, 0], xy[:, 1], [xy[:40]])).tolist())
     assert {r.id for r in spatial.within_hits(df, df.where("id < 40"), "id").collect()} == want
+    want = set(np.flatnonzero(spatial.inside(xy[:, 0], xy[:, 1], [xy])).tolist())
+    assert {r.id for r in spatial.within_hits(df, df, "id").collect()} == want
+    even = spark.createDataFrame([(k, float(k % 5), float(k // 5)) for k in range(25)], "id int, x double, y double")  # corners in rows, on one another's edges
+    grid_xy = np.array([(float(k % 5), float(k // 5)) for k in range(25)])
+    want = set(np.flatnonzero(spatial.inside(grid_xy[:, 0], grid_xy[:, 1], [grid_xy])).tolist())
+    assert {r.id for r in spatial.within_hits(even, even, "id").collect()} == want
     assert spatial.within_hits(df, df.limit(0), "id").count() == 0
 
 
@@ -285,6 +293,39 @@ def test_clip_by_brute_force(spark, limit, monkeypatch):
     assert spatial.clip(lines.limit(0), polygons, "road", "oid").count() == spatial.clip(lines, polygons.limit(0), "road", "oid").count() == 0
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_clip_along_edges_and_through_corners(spark, seed):
+    """Lines and rings with corners at whole numbers, many of them on one another; pieces are the shapes' own by the rule of points."""
+    draw = np.random.default_rng(seed)
+    paths = [draw.integers(0, 5, (int(n), 2)).astype(float) for n in draw.integers(2, 5, 40)]
+    shapes = [draw.integers(0, 5, (int(n), 2)).astype(float) for n in draw.integers(3, 7, 30)] + [np.array([[0.0, 0.0], [4, 0], [4, 4], [0, 4]])]
+    pairs = lambda rows: [tuple(map(float, p)) for p in rows]
+    lines = spark.createDataFrame([(k, pairs(p)) for k, p in enumerate(paths)], "road int, path array<struct<x:double,y:double>>")
+    polygons = spark.createDataFrame([(k, [pairs(r)]) for k, r in enumerate(shapes)], f"oid int, rings {SHAPE}")
+    found = {(r.road, r.oid): r.parts for r in spatial.clip(lines, polygons, "road", "oid").collect()}
+    assert len(found) > 400
+    for k, path in enumerate(paths):
+        for oid, shape in enumerate(shapes):
+            parts = found.get((k, oid), [])
+            n = 997
+            steps = np.concatenate([p + (q - p) * (np.arange(n)[:, None] + 0.5) / n for p, q in zip(path, path[1:], strict=False)])
+            weight = np.repeat(np.hypot(*np.diff(path, axis=0).T) / n, n)
+            within, edge = spatial.inside(steps[:, 0], steps[:, 1], [shape]), on_edge(steps, shape)  # on an edge, rounding decides
+            assert weight[within & ~edge].sum() - 0.05 <= length_of(parts) <= weight[within | edge].sum() + 0.05
+            for part in parts:
+                middle = np.array([[(a.x + b.x) / 2, (a.y + b.y) / 2] for a, b in zip(part, part[1:], strict=False) if np.hypot(b.x - a.x, b.y - a.y) > 1e-6]).reshape(-1, 2)
+                assert (spatial.inside(middle[:, 0], middle[:, 1], [shape]) | on_edge(middle, shape)).all()
+
+
+def on_edge(points, ring):
+    out = np.zeros(len(points), bool)
+    for a, b in zip(ring, np.roll(ring, -1, 0), strict=True):
+        d = b - a
+        t = np.clip(((points - a) @ d) / max(d @ d, 1e-12), 0, 1)
+        out |= np.hypot(*(a + t[:, None] * d - points).T) < 1e-9
+    return out
+
+
 def test_clip_keeps_rows_of_repeated_and_null_ids_apart(spark):
     square = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)]
     line = lambda y, x=-5.0: [(x, y), (5.0, y)]
@@ -393,3 +434,56 @@ def test_streams_take_the_same_expressions(spark, tmp_path):
         assert [r.id for r in spark.sql("select id from hits").collect()] == [1]
     finally:
         query.stop()
+
+
+def test_lists_and_tracks_in_parts(spark):
+    rows = [(k % 4 and "hot" or "b", k, float(k % 7), float(k % 5)) for k in range(500)] + [(None, 1, 0.0, 0.0), (None, 2, 3.0, 4.0), ("one", 1, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "id string, seq int, x double, y double").repartition(5)
+    lists = {}
+    for r in index.list_chunks(df, ["id"], ["seq"], "seq", 16).orderBy("chunk").collect():
+        assert len(r["values"]) <= 16
+        lists.setdefault(r.id, []).extend(r["values"])
+    tracks = {}
+    for r in index.path_chunks(df, ["id"], "seq", size=16).orderBy("chunk").collect():
+        assert len(r.path) <= 17
+        done = tracks.setdefault(r.id, [])
+        assert not done or done[-1] == tuple(r.path[0])
+        done.extend(map(tuple, r.path[1:] if done else r.path))
+    for key in ("hot", "b", None, "one"):
+        own = sorted(r[1:] for r in rows if r[0] == key)
+        assert lists[key] == [r[0] for r in own] and tracks[key] == [r[1:] for r in own]
+    assert index.list_chunks(df.limit(0), ["id"], ["seq"], "seq").count() == index.path_chunks(df.limit(0), ["id"], "seq").count() == 0
+
+
+def test_table_functions_in_sql(spark):
+    html.register_functions(spark)
+    page = '<td class="lat">1.5</td><td class="city">Ulm x</td>'
+    rows = spark.sql(f"SELECT p.*, r.* FROM VALUES ('u', '{page}'), ('v', '<td class=\"lat\">far</td>'), ('w', null) p(url, html), LATERAL place_cells(html) r").collect()
+    found = {r.url: r for r in rows}
+    assert (found["u"].lat, found["u"].city, found["u"].error) == (1.5, "Ulm", None) and found["v"].error and found["w"].city == ""
+
+
+def test_travel_files_below_folders_by_their_names(spark, tmp_path):
+    for k, name in enumerate(("travel_0001.csv", "a/travel_0002.csv", "a/b/travel_0003.csv", "a/travel_00004.csv", "xtravel_0005.csv", "travel_0006.csv.old")):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(f"{k},2020-01-01 00:00:00,2020-01-02 00:00:00,A;B\n")
+    assert sorted(r.ID for r in tables.travel(spark, str(tmp_path)).collect()) == [0, 1, 2]
+
+
+def test_example_of_a_trip_report(spark):
+    """The published example: TRIP_EXAMPLE names a folder with its input_data and results."""
+    folder = Path(os.environ.get("TRIP_EXAMPLE", ""))
+    results = [f for f in (folder / "results").glob("employee_trips_*.csv") if os.environ.get("TRIP_EXAMPLE")]
+    if not results:
+        pytest.skip("the example is not here")
+    limits = [F.lit(v).cast("timestamp_ntz") for v in ("2016-06-26 00:00:00", "2017-05-11 00:00:00")]
+    people = tables.employees(spark, str(folder / "input_data" / "employees.csv"))
+    report = pipelines.trip_report(people, tables.travel(spark, str(folder / "input_data")), *limits, ["Jones, Frank", "Brown, Justine", "Samulson, Roger"])
+    got = {(r["index"], r.Name, r.ID, r.Duration, str(r.Start), str(r.End), r.Route) for r in report.collect()}
+    whole, part = sorted((pd.read_csv(f) for f in results), key=len, reverse=True)
+    assert got == set(whole.itertuples(index=False, name=None)) and len(got) == 14
+    assert {r for r in got if 3 <= r[3] <= 10} == set(part.itertuples(index=False, name=None))
+    stats = {r.Name: r for r in trips.trip_stats(report).collect()}
+    for row in pd.read_csv(folder / "results" / "analysis.csv").itertuples():
+        own = stats[row.Name]
+        assert (own.total_trips, own.total_travel_days, own.total_cities, own.cities_visited, own.total_time_span, own.longest_trip_days, own.shortest_trip_days) == row[3:10]
