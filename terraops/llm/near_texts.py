@@ -17,10 +17,10 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terraops.llm.common import field, numbered, release, slices, texts_of, written
+from terraops.llm.common import field, numbered, release, slices, texts_of, with_figures, written
 from terraops.llm.graph import components
 from terraops.llm.simhash import fingerprints, links, shingle_hashes
 
@@ -177,14 +177,14 @@ def by_fingerprint(sets: DataFrame) -> DataFrame:
 def set_links(marked: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, root) of the keys of all sets that are linked."""
     found = verified(by_fingerprint(sets), sets, texts)
-    at = Window.partitionBy("shingle")
-    met = marked.select("key", F.explode("first").alias("shingle"))
-    met = met.withColumn("others", F.min("key").over(at) != F.max("key").over(at)).where("others").select("shingle", "key").distinct()
-    shared = written(met.join(sets.select("key", "size", "bits"), "key").select("shingle", "key", "size", "bits"), "shared")
-    named = written(_led(_rooted(shared, components(found))), "named")
+    met = written(marked.select("key", F.explode("first").alias("shingle")).distinct(), "met")
+    ends = met.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")  # others share it
+    shared = with_figures(met, ends, "shingle", met.count()).select("shingle", "key")
+    shared = written(shared.join(sets.select("key", "size", "bits"), "key").select("shingle", "key", "size", "bits"), "shared")
+    named = _led(_rooted(shared, components(found)))
     pairs = named.where(_may_link("own", "lead")).select(F.col("own.key").alias("a"), F.col("lead.key").alias("b"))
     found = found.union(verified(pairs, sets, texts))
-    named = written(_led(_rooted(shared, components(found))), "named")
+    named = _led(_rooted(shared, components(found)))
     others = named.select("shingle", F.col("own").alias("other"))
     apart = named.where(F.col("own.root") != F.col("lead.root"))  # what is in one group with the lead meets these alone
     turn = (F.col("own.key") < F.col("other.key")) | (F.col("other.root") == F.col("lead.root"))
@@ -199,9 +199,11 @@ def _rooted(shared: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _led(rows: DataFrame) -> DataFrame:
-    """rows with lead, one of each shingle's own."""
-    lead = F.min(F.struct(F.xxhash64("own.key", "shingle").alias("draw"), "own")).over(Window.partitionBy("shingle"))
-    return rows.withColumn("lead", lead).select("shingle", "own", F.col("lead.own").alias("lead"))
+    """rows with lead, one of each shingle's own; the rows of a shingle that very many share do not meet in one task."""
+    rows = written(rows, "rooted")
+    draw = F.struct(F.xxhash64("own.key", "shingle").alias("draw"), "own")
+    leads = rows.groupBy("shingle").agg(F.min(draw).alias("lead"), F.count("*").alias("n"))
+    return written(with_figures(rows, leads, "shingle", rows.count()).select("shingle", "own", F.col("lead.own").alias("lead")), "named")
 
 
 def one_of_each_text(docs: DataFrame) -> DataFrame:
