@@ -126,6 +126,8 @@ def _numbered(shapes: DataFrame, points: Column, row: str, box: str) -> DataFram
     return stored(shapes.withColumns({row: F.monotonically_increasing_id(), box: geo.box(F.filter(points, _finite)), "__sound": sound, "__corners": F.size(points).cast("long")}), "shapes")
 
 
+#: Lines that are dealt over all cores before they are cut; more fill several files, and so tasks, as they are.
+SMALL = 1_000_000
 #: Where along a segment it is found out whether it is inside: not where shapes are likely to have their edges.
 KNOWN = 0.4871093261
 
@@ -167,6 +169,8 @@ def clip(lines: DataFrame, polygons: DataFrame, line_id: str, polygon_id: str, k
     """
     left = _numbered(lines.where(F.size("path") > 1), F.col("path"), "__l", "__lb")
     right = _numbered(polygons.where("exists(rings, r -> size(r) > 2)"), F.flatten("rings"), "__p", "__rb")
+    if left.count() <= SMALL:  # a small table is one file, and would be one task
+        left = left.repartition(lines.sparkSession.sparkContext.defaultParallelism, "__l")
     box = "struct(least({0}.x, {1}.x) as x0, least({0}.y, {1}.y) as y0, greatest({0}.x, {1}.x) as x1, greatest({0}.y, {1}.y) as y1)"
     segments = left.where("__sound").select("__l", "path", F.expr("posexplode(slice(path, 2, size(path) - 1))").alias("__s", "__to"))
     segments = segments.select("__l", "__s", F.expr("path[__s]").alias("__from"), "__to").withColumn("__lb", F.expr(box.format("__from", "__to")))
