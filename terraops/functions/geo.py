@@ -109,12 +109,12 @@ def unrolled(ring: Column) -> Column:
     return F.when(F.size(ring) > 0, F.aggregate(F.slice(closed(ring), 2, F.size(ring)), F.slice(ring, 1, 1), on)).otherwise(ring)
 
 
-def _beside(ring: Column, x: float, right: bool) -> Column:
+def _beside(ring: Column, x: Column, right: bool) -> Column:
     """The part of the ring on one side of the meridian x."""
     inside = (lambda p: p.x >= x) if right else (lambda p: p.x <= x)
 
     def step(a: Column, b: Column) -> Column:
-        met = F.struct(F.lit(float(x)).alias("x"), (a.y + (b.y - a.y) * F.try_divide(x - a.x, b.x - a.x)).alias("y"))
+        met = F.struct(x.alias("x"), (a.y + (b.y - a.y) * F.try_divide(x - a.x, b.x - a.x)).alias("y"))
         none = F.slice(F.array(a), 1, 0)
         return F.concat(F.when(inside(a), F.array(a)).otherwise(none), F.when(inside(a) != inside(b), F.array(met)).otherwise(none))
 
@@ -133,9 +133,9 @@ def wrapped_rings(ring: Column) -> Column:
         pole = F.when(F.aggregate(line, F.lit(0.0), lambda t, p: t + p.y) >= 0, 91.0).otherwise(-91.0)  # beyond it, so that points at the pole are inside
         over = F.array(*[F.struct(p.x.alias("x"), pole.alias("y")) for p in (last, first)])
         whole = F.when(F.abs(last.x - first.x) > 180, F.concat(line, over)).otherwise(F.slice(line, 1, F.size(line) - 1))
-        strips = lambda r: F.array(*[_beside(_beside(r, 360 * k - 180, True), 360 * k + 180, False) for k in range(-2, 3)])
-        moved = lambda rings: F.transform(rings, lambda r, k: F.transform(r, lambda p: F.struct((p.x - 360 * (k - 2)).alias("x"), p.y.alias("y"))))
-        return F.filter(_let(_let(whole, strips), moved), lambda r: F.size(r) > 2)
+        strip = lambda r, k: _beside(_beside(r, 360.0 * k - 180, True), 360.0 * k + 180, False)
+        moved = lambda r: F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda k: F.transform(strip(r, k), lambda p: F.struct((p.x - 360 * k).alias("x"), p.y.alias("y"))))
+        return F.filter(_let(whole, moved), lambda r: F.size(r) > 2)
 
     far = F.exists(ring, lambda p: F.abs(p.x) > 180) | F.exists(pairs(closed(ring), lambda a, b: F.abs(b.x - a.x) > 180), lambda v: v)
     return F.when(far, _let(unrolled(ring), split)).otherwise(F.array(ring))
