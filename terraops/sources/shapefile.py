@@ -1,7 +1,7 @@
 """Shapefiles of points, lines and polygons with their attribute tables.
 
 A layer is read from the bytes of its .shp and .dbf files, which Spark's binaryFile source brings from any file
-system; it is written as rows of file images, one set of files for each partition.
+system, and decoded by slices of records; it is written as rows of file images, one set of files for each partition.
 """
 
 from __future__ import annotations
@@ -23,8 +23,35 @@ KINDS = {"point": POINT, "line": LINE, "polygon": POLYGON}
 WGS84 = 'GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984",SPHEROID["WGS_1984",6378137,298.257223563]],PRIMEM["Greenwich",0],UNIT["Degree",0.017453292519943295]]'
 
 
+def read_ordinates(data: bytes) -> list[tuple[list[list[float]] | None, list[list[float]] | None]]:
+    """The z and m of each record's vertices, part by part; None where its shape has none."""
+    out, at = [], 100
+    while at + 12 <= len(data):
+        (size,) = struct.unpack_from(">i", data, at + 4)
+        (kind,) = struct.unpack_from("<i", data, at + 8)
+        body, base, end = at + 12, kind % 10, at + 8 + 2 * size
+        starts, first = [0, 1], body + 16  # of a point's vertex, and where its further ordinates begin
+        if base == 8:
+            (n,) = struct.unpack_from("<i", data, body + 32)
+            starts, first = [*range(n + 1)], body + 36 + 16 * n
+        elif base in (LINE, POLYGON):
+            parts, n = struct.unpack_from("<2i", data, body + 32)
+            starts, first = [*struct.unpack_from(f"<{parts}i", data, body + 40), n], body + 40 + 4 * parts + 16 * n
+        found = []
+        for _ in range(2 if 10 < kind < 20 else 1 if 20 < kind < 30 else 0):  # z shapes have z and may have m, m shapes m alone
+            first += 16 if base != POINT else 0  # the range of values
+            if first + 8 * starts[-1] > end:
+                break
+            values = np.frombuffer(data, "<f8", starts[-1], first).tolist()
+            found.append([values[a:b] for a, b in zip(starts, starts[1:], strict=False)])
+            first += 8 * starts[-1]
+        out.append(((found + [None, None])[0], (found + [None, None])[1]) if kind < 20 else (None, (found + [None])[0]))
+        at = end
+    return out
+
+
 def read_shapes(data: bytes) -> list[list[list[tuple[float, float]]]]:
-    """Parts of each record, in order; a null shape has none. Z and M variants lose those ordinates."""
+    """Parts of each record, in order; a null shape has none. For z and m see read_ordinates."""
     out, at = [], 100
     while at + 12 <= len(data):
         (size,) = struct.unpack_from(">i", data, at + 4)
@@ -66,29 +93,68 @@ def read_attributes(data: bytes) -> tuple[list[str], list[list[str | None]]]:
     return names, rows
 
 
-def layer(spark: SparkSession, path: str) -> DataFrame:
-    """(layer, index, parts, attributes map<string,string>) of each record of the shapefiles at path.
+#: Records of a layer that one task decodes at a time.
+RECORDS = 4_096
 
-    A task reads a file; large layers are best kept as many files.
-    """
+
+def _shape_slices(data: bytes, records: int) -> Iterator[bytes]:
+    at = begin = 100
+    n = 0
+    while at + 12 <= len(data):
+        at += 8 + 2 * struct.unpack_from(">i", data, at + 4)[0]
+        n += 1
+        if n == records:
+            yield data[:100] + data[begin:at]
+            begin, n = at, 0
+    if n:
+        yield data[:100] + data[begin:at]
+
+
+def _attribute_slices(data: bytes, records: int) -> Iterator[bytes]:
+    n, head, width = struct.unpack_from("<IHH", data, 4)
+    for k in range(0, n, records):
+        some = min(records, n - k)
+        yield data[:4] + struct.pack("<I", some) + data[8:head] + data[head + k * width : head + (k + some) * width]
+
+
+def layer(spark: SparkSession, path: str, ordinates: bool = False) -> DataFrame:
+    """(layer, index, parts, attributes map<string,string>) of each record of the shapefiles at path; see decoded."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{shp,dbf}").option("recursiveFileLookup", True).load(path)
-    return decoded(files.select(F.regexp_extract("path", r"^(.*)\.[^.]*$", 1).alias("layer"), F.regexp_extract("path", r"([^.]*)$", 1).alias("kind"), "content"))
+    return decoded(files.select(F.regexp_extract("path", r"^(.*)\.[^.]*$", 1).alias("layer"), F.regexp_extract("path", r"([^.]*)$", 1).alias("kind"), "content"), ordinates)
 
 
-def decoded(files: DataFrame) -> DataFrame:
-    """Records of rows (layer, kind shp or dbf, content)."""
+def decoded(files: DataFrame, ordinates: bool = False, records: int = RECORDS) -> DataFrame:
+    """(layer, index, parts, attributes) of the records of rows (layer, kind shp or dbf, content).
 
-    def read(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        content = dict(zip(rows.kind, rows.content, strict=True))
-        shapes = read_shapes(content["shp"])
-        names, texts = read_attributes(content["dbf"]) if "dbf" in content else ([], [[]] * len(shapes))
-        return pd.DataFrame({
-            "layer": key[0], "index": range(len(shapes)),
-            "parts": [[[{"x": x, "y": y} for x, y in part] for part in parts] for parts in shapes],
-            "attributes": [dict(zip(names, row, strict=True)) for row in texts[: len(shapes)]],
-        })
+    A file is one row, as Spark reads it; it is cut into slices of so many records without decoding them, and slices of
+    shapes meet those of their attributes in a join, so the decoding of one layer is dealt over tasks. With ordinates
+    there are columns z and m, array<array<double>> beside parts, null where a shape has none. A record
+    without a row of attributes has an empty map.
+    """
+
+    def cut(kind: str, slices) -> DataFrame:
+        def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for name, content in zip(batch.layer, batch.content, strict=True):
+                    for k, part in enumerate(slices(content, records)):
+                        yield pd.DataFrame({"layer": [name], "slice": [k], kind: [part]})
+
+        return files.where(F.col("kind") == kind).select("layer", "content").mapInPandas(each, f"layer string, slice int, {kind} binary")
 
-    return files.groupBy("layer").applyInPandas(read, f"layer string, index int, parts {schemas.PARTS}, attributes map<string,string>")
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, k, shp, dbf in zip(batch.layer, batch.slice, batch.shp, batch.dbf, strict=True):
+                shapes = read_shapes(shp)
+                names, texts = read_attributes(dbf) if dbf is not None else ([], [])
+                rows = [dict(zip(names, row, strict=True)) for row in texts[: len(shapes)]] + [{}] * (len(shapes) - len(texts))
+                out = {"layer": name, "index": range(k * records, k * records + len(shapes)), "parts": [[[{"x": x, "y": y} for x, y in part] for part in parts] for parts in shapes], "attributes": rows}
+                if ordinates:
+                    out["z"], out["m"] = ([v[c] for v in read_ordinates(shp)] for c in (0, 1))
+                yield pd.DataFrame(out)
+
+    met = cut("shp", _shape_slices).join(cut("dbf", _attribute_slices), ["layer", "slice"], "left").select("layer", "slice", "shp", "dbf")
+    more = ", z array<array<double>>, m array<array<double>>" * ordinates
+    return met.mapInPandas(read, f"layer string, index int, parts {schemas.PARTS}, attributes map<string,string>{more}")
 
 
 def vertices(shapes: DataFrame, keys: list[str]) -> DataFrame:
@@ -131,14 +197,20 @@ def write_shapes(kind: int, shapes: list[list[np.ndarray]]) -> tuple[bytes, byte
 
 
 def write_attributes(frame: pd.DataFrame) -> bytes:
-    """The bytes of a .dbf: whole numbers, decimals and texts of at most 254 bytes."""
+    """The bytes of a .dbf: whole numbers, decimals and texts of at most 254 bytes.
+
+    Names have ten bytes and texts 254: longer ones are cut at a character; names that are then alike are an error.
+    """
     fields, columns = b"", []
+    whole = lambda text, n: text.encode()[:n].decode("utf-8", "ignore").encode()
+    if len({whole(name, 10) for name in frame.columns}) < len(frame.columns):
+        raise ValueError(f"names are alike in their first ten bytes: {list(frame.columns)}")
     for name in frame.columns:
         column = frame[name]
         kind, digits = ("N", 0) if pd.api.types.is_integer_dtype(column) else ("N", 8) if pd.api.types.is_float_dtype(column) else ("C", 0)
-        cells = [b"" if pd.isna(v) else (f"{v:.8f}" if digits else str(v)).encode()[:254] for v in column]
+        cells = [b"" if pd.isna(v) else whole(f"{v:.8f}" if digits else str(v), 254) for v in column]
         width = max([1, *map(len, cells)])
-        fields += struct.pack("<11sc4xBB14x", name.encode()[:10], kind.encode(), width, digits)
+        fields += struct.pack("<11sc4xBB14x", whole(name, 10), kind.encode(), width, digits)
         columns.append([c.rjust(width) if kind == "N" else c.ljust(width) for c in cells])
     width = 1 + sum(len(c[0]) if c else 1 for c in columns)
     head = struct.pack("<4BIHH20x", 3, 100, 1, 1, len(frame), 33 + 32 * len(columns), width)

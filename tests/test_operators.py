@@ -2,6 +2,7 @@
 
 import io
 import os
+import struct
 import zipfile
 from datetime import date, datetime
 from pathlib import Path
@@ -403,6 +404,33 @@ def test_shapefile_round_trip(spark, tmp_path, kind):
     assert shapefile.vertices(shapefile.layer(spark, str(tmp_path / "layer")), ["layer"]).count() == sum(map(len, shape))
 
 
+def test_a_layer_is_decoded_by_slices(spark):
+    rows = [(k, "é" * k, [[(float(k), float(j)) for j in range(k % 5)]] if k % 7 else None) for k in range(200)]
+    df = spark.createDataFrame(rows, f"id int, name string, parts {SHAPE}").coalesce(1)
+    files = shapefile.encoded(df, "line").cache()
+    for records in (1, 16, 64, 4_096):
+        back = shapefile.decoded(files.where("kind in ('shp', 'dbf')"), records=records).orderBy("index").collect()
+        assert [r["index"] for r in back] == list(range(200)) == [int(r.attributes["id"]) for r in back]
+        assert [[tuple(p) for part in r.parts for p in part] for r in back] == [[p for part in r[2] or [] for p in part] for r in rows]
+        assert all((r.attributes["name"] or "") == rows[k][1][:127] for k, r in enumerate(back))  # 254 bytes, cut at a character
+    assert {len(r.attributes) for r in shapefile.decoded(files.where("kind = 'shp'"), records=16).collect()} == {0}
+    assert shapefile.decoded(files.limit(0)).count() == 0
+
+
+def test_z_and_m_of_shapes(spark):
+    def record(k, body):
+        return struct.pack(">2i", k, len(body) // 2) + body
+
+    xy = np.array([[0.0, 1.0], [2.0, 3.0], [4.0, 5.0]])
+    line = lambda kind, *more: struct.pack("<i4d2i2i", kind, 0, 1, 4, 5, 2, 3, 0, 2) + xy.tobytes() + b"".join(struct.pack("<2d3d", min(v), max(v), *v) for v in more)
+    bodies = [line(13, (7.0, 8.0, 9.0), (0.1, 0.2, 0.3)), line(13, (7.0, 8.0, 9.0)), line(23, (0.1, 0.2, 0.3)), line(3), struct.pack("<i4d", 11, 1, 2, 3, 4), struct.pack("<i", 0), struct.pack("<i4di", 18, 0, 0, 1, 1, 2) + struct.pack("<4d", 0, 0, 1, 1) + struct.pack("<2d2d", 5, 6, 5, 6)]
+    shp = bytes(100) + b"".join(record(k + 1, b) for k, b in enumerate(bodies))
+    rows = shapefile.decoded(spark.createDataFrame([("a", "shp", bytearray(shp))], "layer string, kind string, content binary"), ordinates=True, records=2).orderBy("index").collect()
+    z, m = [[7.0, 8.0], [9.0]], [[0.1, 0.2], [0.3]]
+    assert [(r.z, r.m) for r in rows] == [(z, m), (z, None), (None, m), (None, None), ([[3.0]], [[4.0]]), (None, None), ([[5.0], [6.0]], None)]
+    assert [sum(map(len, r.parts)) for r in rows] == [3, 3, 3, 3, 1, 0, 2]
+
+
 def test_csv_sources_and_sinks(spark, tmp_path, found):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "travel_0001.csv").write_text("1,2020-01-01 00:00:00,2020-01-02 00:00:00,A;B\n")
