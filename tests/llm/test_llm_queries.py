@@ -3,6 +3,7 @@
 import os
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
@@ -19,7 +20,9 @@ def documents(sf):
 @pytest.mark.parametrize("name", list(queries.QUERIES))
 def test_a_row_for_each_row(spark, sf, documents, name):
     rows = queries.QUERIES[name](spark, sf).toPandas()
-    if "embeddings" in name or "metric" in name:
+    if "filter_order" in name:
+        assert len(rows) == 600 * documents.source.nunique(dropna=False) and set(rows.part) == set(documents.source.fillna(""))
+    elif "embeddings" in name or "metric" in name or "clusters" in name:
         assert len(rows) == len(pd.read_parquet(f"{sf}/embeddings.parquet"))
     else:
         assert set(rows.doc_id) == set(documents.doc_id)
@@ -50,6 +53,19 @@ def test_pipeline(spark, sf, documents):
     assert packed.groupby("sequence_id").length.sum().max() <= 1024
 
 
+@pytest.mark.parametrize("name", list(queries.ORACLE_SQL))
+def test_against_sql(spark, sf, name):
+    rows = queries.QUERIES[name](spark, sf).toPandas()
+    with duckdb.connect() as db:
+        for table in ("documents", "labels", "embeddings"):
+            db.execute(f"create view {table} as select * from '{sf}/{table}.parquet'")
+        expected = db.sql(queries.ORACLE_SQL[name]).df()
+    names = sorted(rows.columns)
+    assert sorted(expected.columns) == names and len(rows) == len(expected)
+    left, right = (x[names].astype(str).sort_values(names, ignore_index=True) for x in (rows, expected))
+    assert (left == right).all().all()
+
+
 AWKWARD = [(3, "one two three four five six"), (3, "one two three four five six"), (1, "one two three four five six"), (None, "one two three four five six"), (None, None), (7, None), (8, ""), (9, " "), (10, "x " * 30_000), (11, "you worthless pathetic idiot"), (12, "short")]
 
 
