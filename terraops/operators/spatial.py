@@ -130,8 +130,6 @@ def _numbered(shapes: DataFrame, points: Column, row: str, box: str) -> DataFram
 SMALL = 1_000_000
 #: Where along a segment it is found out whether it is inside: not where shapes are likely to have their edges.
 KNOWN = 0.4871093261
-
-
 #: SQL of the level of an edge's height.
 HEIGHT = grid.level_of("abs(__a.y - __b.y)")
 

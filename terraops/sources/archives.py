@@ -25,24 +25,28 @@ def archives(spark: SparkSession, root: str) -> DataFrame:
 DAMAGE = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, OSError, ValueError, NotImplementedError, RuntimeError, struct.error, LookupError, OverflowError)
 
 
-def members(zips: DataFrame) -> DataFrame:
+#: Most bytes of a member: a cell of Spark holds no more than twice this, and a small archive may inflate to any size.
+MOST = 1 << 30
+
+
+def members(zips: DataFrame, most: int = MOST) -> DataFrame:
     """(archive, member, content, error): one row per file in each archive.
 
     A member that cannot be read, or whose checksum is wrong, has its error in place of the content; an archive that
     cannot be opened gives one row with its error and no member. Each member is read once and handed on alone, so a
-    task holds one archive and one member.
+    task holds one archive and one member; one that inflates to more than most bytes, whatever its header says, is an error.
     """
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, data in zip(batch.archive, batch.content, strict=True):
-                for row in _expanded(data or b""):
+                for row in _expanded(data or b"", most):
                     yield pd.DataFrame([{"archive": name} | row])
 
     return zips.select("archive", "content").mapInPandas(expand, MEMBERS)
 
 
-def _expanded(data: bytes) -> Iterator[dict]:
+def _expanded(data: bytes, most: int) -> Iterator[dict]:
     try:
         file = zipfile.ZipFile(io.BytesIO(data))
         listed = [info for info in file.infolist() if not info.is_dir()]
@@ -52,7 +56,11 @@ def _expanded(data: bytes) -> Iterator[dict]:
     for info in listed:
         row = {"member": info.filename.encode("utf-8", "replace").decode(), "content": None, "error": None}
         try:
-            row["content"] = file.read(info)
+            with file.open(info) as member:
+                content = member.read(most + 1)  # to its end, where the checksum is tested, or a byte too far
+            if len(content) > most:
+                raise ValueError(f"more than {most} bytes")
+            row["content"] = content
         except DAMAGE as error:
             row["error"] = f"{type(error).__name__}: {error}"
         yield row

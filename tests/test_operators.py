@@ -241,6 +241,14 @@ def test_archives(spark, tmp_path):
     assert len([r for r in rows if r.error]) == 1
 
 
+def test_a_member_that_inflates_too_far_is_an_error(spark):
+    with zipfile.ZipFile(buffer := io.BytesIO(), "w", zipfile.ZIP_DEFLATED) as file:
+        file.writestr("bomb", bytes(10_000_000))
+        file.writestr("small", b"x" * 1000)
+    rows = {r.member: r for r in archives.members(spark.createDataFrame([("a", bytearray(buffer.getvalue()))], "archive string, content binary"), most=1000).collect()}
+    assert "more than 1000 bytes" in rows["bomb"].error and rows["bomb"].content is None and len(rows["small"].content) == 1000
+
+
 def test_any_damaged_byte_of_an_archive_is_a_row(spark):
     with zipfile.ZipFile(buffer := io.BytesIO(), "w", zipfile.ZIP_DEFLATED) as file:
         for name in ("a.txt", "b.txt"):
