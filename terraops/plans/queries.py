@@ -317,8 +317,9 @@ _Q = "((1 - {e2}) * (sin(radians({y})) / (1 - {e2} * sin(radians({y})) ** 2) + 0
 _QA, _QB = (_Q.format(e="s.e", e2="(s.e * s.e)", y=y) for y in ("y", "coalesce(ny, fy)"))
 
 
-# edges go the shorter way round; a ring once about a pole has what its edges leave of a half
-_WAY_EDGE = "(SELECT way_id, x, y, nx, ny, fx, fy, coalesce(nx, fx) - x - 360 * floor((coalesce(nx, fx) - x + 180) / 360) AS dx FROM way_edge)"
+# edges go the shorter way round, as geo.turn has it: what is from -180 to below 180 stays, also where 180 more would round up to 360; a ring once about a pole has what its edges leave of a half
+_WAY_EDGE = """(SELECT *, CASE WHEN d >= -180 AND d < 180 THEN d ELSE d - 360 * floor((d + 180) / 360) END AS dx
+    FROM (SELECT way_id, x, y, nx, ny, fx, fy, coalesce(nx, fx) - x AS d FROM way_edge))"""
 
 
 @query(f"""SELECT way_id, round(CASE WHEN abs(sum(dx)) > 180 THEN 4 * pi() * any_value({_Q.format(e="s.e", e2="(s.e * s.e)", y="90.0::DOUBLE")}) - abs(sum(radians(dx) * ({_QA} + {_QB}))) ELSE abs(sum(radians(dx) * ({_QA} + {_QB}))) END * 6378137.0::DOUBLE ** 2 / 4 / 1e9, 3) AS thousand_km2 FROM {_WAY_EDGE} JOIN classed USING (way_id),

@@ -42,6 +42,19 @@ def test_query(spark, sf, db, name):
         assert got == ordered(tuple(plain(r[columns.index(c)]) for c in names) for r in result.fetchall())
 
 
+def test_areas_with_edges_of_half_a_turn(spark, tmp_path):
+    """Parts 33437 and 15437 are 180 degrees apart but for the last bit; the SQL's floor took that for a whole turn."""
+    spark.createDataFrame([(k, f"p{k}", "b", "t", 1) for k in (33437, 15437, 5000)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(k, "F", "4-NOT SPECIFIED") for k in (1, 2)], "o_orderkey long, o_orderstatus string, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    items = [(1, 1, 33437), (1, 2, 15437), (1, 3, 5000), (2, 1, 15437), (2, 2, 33437), (2, 3, 5000)]
+    spark.createDataFrame(items, "l_orderkey long, l_linenumber int, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    db = duckdb.connect()
+    for name in ("part", "orders", "lineitem"):
+        db.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    got = {tuple(r) for r in queries.QUERIES["osm_area"](spark, str(tmp_path)).collect()}
+    assert len(got) == 2 and got == set(db.execute(queries.ORACLE_SQL["osm_area"]).fetchall())
+
+
 def test_entry(spark, sf):
     import __spark_entry__
 
