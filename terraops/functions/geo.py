@@ -184,13 +184,15 @@ def line_from_wkt(text: Column) -> Column:
 
 #: Rounds of Vincenty's formula before an edge is left to the search by azimuth, and halvings of that.
 ROUNDS, HALVINGS = 20, 120
+#: Edges whose ends are so near to antipodal (cosine of their angle on the auxiliary sphere) are left to that search at once.
+ANTIPODAL = -0.99
 
 
 def _vincenty(turn: np.ndarray, s1: np.ndarray, c1: np.ndarray, s2: np.ndarray, c2: np.ndarray) -> np.ndarray:
     """Metres by Vincenty's inverse formula; NaN where it has not converged, as it does not between near-antipodal points."""
     f, b = WGS84_F, WGS84_A * (1 - WGS84_F)
     out = np.full(len(turn), np.nan)
-    left, lam = np.arange(len(turn)), turn.copy()
+    left, lam, last = np.arange(len(turn)), turn.copy(), np.zeros(len(turn), bool)  # one round more once converged: 1e-12 of lam are some micrometres
     with np.errstate(invalid="ignore", divide="ignore"):
         for _ in range(ROUNDS):
             u1, v1, u2, v2 = s1[left], c1[left], s2[left], c2[left]
@@ -207,8 +209,8 @@ def _vincenty(turn: np.ndarray, s1: np.ndarray, c1: np.ndarray, s2: np.ndarray,
             big_a = 1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k)))
             big_b = k / 1024 * (256 + k * (-128 + k * (74 - 47 * k)))
             ds = big_b * sin_s * (cos_m + big_b / 4 * (cos_s * (2 * cos_m**2 - 1) - big_b / 6 * cos_m * (4 * sin_s**2 - 3) * (4 * cos_m**2 - 3)))
-            out[left[done]] = np.where(sin_s == 0, 0.0, b * big_a * (s - ds))[done]
-            left, lam = left[~done], after[~done]
+            out[left[last]] = np.where(sin_s == 0, 0.0, b * big_a * (s - ds))[last]
+            left, lam, last = left[~last], after[~last], done[~last]
             if not len(left):
                 break
     return out
@@ -252,12 +254,17 @@ def _by_azimuth(turn: np.ndarray, s1: np.ndarray, c1: np.ndarray, s2: np.ndarray
 
 
 def geodesic_metres(lon1: np.ndarray, lat1: np.ndarray, lon2: np.ndarray, lat2: np.ndarray) -> np.ndarray:
-    """Length of the shortest way on the WGS84 ellipsoid, for every pair of points; NaN for coordinates that are not finite."""
+    """Length of the shortest way on the WGS84 ellipsoid, for every pair of points; NaN for coordinates that are not finite.
+
+    Near-antipodal points, whose cosine is below ANTIPODAL, are measured by azimuth, all others by Vincenty's formula.
+    """
     f = WGS84_F
     turn = np.radians((lon2 - lon1 + 180) % 360 - 180)
     u1, u2 = np.arctan((1 - f) * np.tan(np.radians(lat1))), np.arctan((1 - f) * np.tan(np.radians(lat2)))
     terms = [np.abs(turn), np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)]
-    out = _vincenty(*terms)
+    out = np.full(len(turn), np.nan)
+    plain = np.flatnonzero(~(terms[1] * terms[3] + terms[2] * terms[4] * np.cos(turn) < ANTIPODAL))
+    out[plain] = _vincenty(*[t[plain] for t in terms])
     left = np.flatnonzero(np.isnan(out) & np.isfinite(turn + u1 + u2))
     if len(left):
         out[left] = _by_azimuth(*[t[left] for t in terms])

@@ -266,7 +266,7 @@ def osm_labels(spark, sf_dir):
     return ways.select("way_id", osm.label(F.col("class"), F.col("name"), F.size("path") - 1, corners).alias("label"))
 
 
-# The inverse geodesic, each round one row of the recursion; edges that do not converge are searched for by azimuth.
+# The inverse geodesic, each round one row of the recursion; near-antipodal edges, which may not converge, are searched for by azimuth.
 _TERMS = """sqrt((c2 * sin(lam)) ** 2 + (c1 * s2 - s1 * c2 * cos(lam)) ** 2) AS ss, s1 * s2 + c1 * c2 * cos(lam) AS cs"""
 views.DUCKDB["geodesic"] = """SELECT way_id, pos, turn, sin(u1) AS s1, cos(u1) AS c1, sin(u2) AS s2, cos(u2) AS c2 FROM (SELECT way_id, pos, radians(nx - x - 360 * floor((nx - x + 180) / 360)) AS turn,
     atan((1 - 1 / 298.257223563::DOUBLE) * tan(radians(y))) AS u1, atan((1 - 1 / 298.257223563::DOUBLE) * tan(radians(ny))) AS u2
@@ -279,9 +279,9 @@ _NEXT = f"(turn + (1 - {_C}) * {_F} * sa * (sg + {_C} * ss * (cm + {_C} * cs * (
 _K = f"(ca * (6378137.0::DOUBLE ** 2 - (6378137.0::DOUBLE * (1 - {_F})) ** 2) / (6378137.0::DOUBLE * (1 - {_F})) ** 2)"
 _A, _B = f"(1 + {_K} / 16384 * (4096 + {_K} * (-768 + {_K} * (320 - 175 * {_K}))))", f"({_K} / 1024 * (256 + {_K} * (-128 + {_K} * (74 - 47 * {_K}))))"
 _DS = f"({_B} * ss * (cm + {_B} / 4 * (cs * (2 * cm * cm - 1) - {_B} / 6 * cm * (4 * ss * ss - 3) * (4 * cm * cm - 3))))"
-_GEODESIC = f"""SELECT way_id, class, round(coalesce(km, 0), 3) AS km FROM classed LEFT JOIN (SELECT way_id, sum(CASE WHEN done THEN m ELSE metres END) / 1000 AS km FROM (
+_GEODESIC = f"""SELECT way_id, class, round(coalesce(km, 0), 3) AS km FROM classed LEFT JOIN (SELECT way_id, sum(coalesce(metres, m)) / 1000 AS km FROM (
     WITH RECURSIVE rounds AS (SELECT *, turn AS lam, turn AS before, 0 AS r FROM geodesic UNION ALL SELECT way_id, pos, turn, s1, c1, s2, c2, {_NEXT} AS lam, lam AS before, r + 1 FROM ({_ROUND}) WHERE r < 99)
-    SELECT way_id, pos, abs({_NEXT} - lam) < 1e-12 AND abs(lam) <= pi() AS done, CASE WHEN ss = 0 THEN 0 ELSE 6378137.0::DOUBLE * (1 - {_F}) * {_A} * (sg - {_DS}) END AS m FROM ({_ROUND}) WHERE r = 99) LEFT JOIN antipodal USING (way_id, pos) GROUP BY way_id) USING (way_id)
+    SELECT way_id, pos, CASE WHEN ss = 0 THEN 0 ELSE 6378137.0::DOUBLE * (1 - {_F}) * {_A} * (sg - {_DS}) END AS m FROM ({_ROUND}) WHERE r = 99) LEFT JOIN antipodal USING (way_id, pos) GROUP BY way_id) USING (way_id)
     WHERE kind = 'linear'"""
 
 
@@ -301,7 +301,7 @@ def azimuth_sql(source: str, names: str) -> str:
         SELECT * FROM {found} WHERE r = 60)"""
 
 
-# of ways' edges, those so near to antipodal that rounds may not converge
+# of ways' edges, those so near to antipodal that rounds may not converge: all of them are measured by azimuth, as in geo.geodesic_metres
 views.DUCKDB["near_antipodal"] = "SELECT * FROM geodesic WHERE s1 * s2 + c1 * c2 * cos(turn) < -0.99"
 views.DUCKDB["antipodal"] = azimuth_sql("near_antipodal", "way_id, pos")
 
