@@ -494,12 +494,12 @@ def page_zip_links(spark, sf_dir):
 def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = F.array_join(F.transform("tags", lambda t: F.concat(F.lit('<a href="/tags/'), t, F.lit('">x</a>'))), " ")
     body = F.concat(F.lit('<table><tbody><td class="ee-dataset"><a href="/catalog/'), F.col("p_partkey").cast("string"), F.lit('">n</a></td><td class="ee-dataset-description-snippet">'), "dataset_type", F.lit('</td><td class="ee-tag-buttons ee-small">'), tags, F.lit("</td></tbody></table>"))
-    return views.catalog(spark, sf_dir).select(F.col("dataset_id").alias("url"), body.alias("html"))
+    return storage.dealt(views.catalog(spark, sf_dir)).select(F.col("dataset_id").alias("url"), body.alias("html"))
 
 
 def _details(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.concat(F.lit("<p><code>ee."), "dataset_type", F.lit('("'), "dataset_id", F.lit('")</code></p><dl><dd>none</dd><dd>'), F.concat_ws(" - ", "dataset_start", "dataset_end"), F.lit("</dd></dl>"))
-    return views.catalog(spark, sf_dir).select(F.col("p_partkey").cast("string").alias("url"), page.alias("html"))
+    return storage.dealt(views.catalog(spark, sf_dir)).select(F.col("p_partkey").cast("string").alias("url"), page.alias("html"))
 
 
 @query("SELECT dataset_id AS url, CAST(p_partkey AS VARCHAR) AS dataset, array_to_string(CASE WHEN tags[1] = tags[2] THEN tags[1:1] ELSE tags END, ';') AS tags, dataset_type AS description FROM catalog")
@@ -521,7 +521,7 @@ def page_details(spark, sf_dir):
 def page_kv(spark, sf_dir):
     cell = lambda name, value: F.concat(F.lit(f'<td class="{name}">'), value.cast("string"), F.lit("</td>"))
     page = F.concat(cell("lat", F.col("c_acctbal")), cell("lng", F.col("c_nationkey")), cell("city", F.concat("c_name", F.lit(" x"))), F.lit('<td><span class="country_name">'), "c_mktsegment", F.lit("</span></td>"))
-    pages = views.table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("url"), page.alias("html"))
+    pages = storage.dealt(views.table(spark, sf_dir, "customer")).select(F.col("c_custkey").cast("string").alias("url"), page.alias("html"))
     return html.place_rows(pages).drop("error")
 
 
@@ -635,18 +635,20 @@ def geojson_lines(spark, sf_dir):
 
 
 def _zips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A zip of each page; those of every tenth page have lost their end."""
+    """A zip of each page; those of every tenth page have lost their end. Pages are taken out of Arrow one at a time."""
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for page, body in zip(batch.page_id, batch.html, strict=True):
-                with zipfile.ZipFile(buffer := io.BytesIO(), "w", zipfile.ZIP_DEFLATED) as file:
-                    file.writestr("page.html", body)
-                out.append(buffer.getvalue()[: -30 if page % 10 == 0 else None])
-            yield pd.DataFrame({"archive": batch.page_id.astype(str), "content": out})
-
-    return views.table(spark, sf_dir, "pages").select("page_id", "html").mapInPandas(pack, "archive string, content binary")
+            for begin in range(0, len(batch), 64):
+                names, out = [], []
+                for page, body in zip(*batch.slice(begin, 64).columns, strict=True):
+                    with zipfile.ZipFile(buffer := io.BytesIO(), "w", zipfile.ZIP_DEFLATED) as file:
+                        file.writestr("page.html", body.as_py())
+                    names.append(str(page.as_py()))
+                    out.append(buffer.getvalue()[: -30 if page.as_py() % 10 == 0 else None])
+                yield pa.record_batch({"archive": pa.array(names, pa.string()), "content": pa.array(out, pa.binary())})
+
+    return views.table(spark, sf_dir, "pages").select("page_id", "html").mapInArrow(pack, "archive string, content binary")
 
 
 @query("SELECT CAST(page_id AS VARCHAR) AS archive, CASE WHEN page_id % 10 <> 0 THEN 'page.html' END AS member, CASE WHEN page_id % 10 <> 0 THEN CAST(strlen(html) AS INTEGER) END AS n_bytes, page_id % 10 = 0 AS failed FROM pages")

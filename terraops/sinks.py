@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terraops.functions import geo
+from terraops.storage import stored
 
 
 def indexed_csv(df: DataFrame, folder: str, index: str = "index") -> None:
@@ -31,7 +32,8 @@ def trip_lines(df: DataFrame, folder: str) -> None:
 
 
 def catalog_json(rows: DataFrame, folder: str, error: str = "error") -> None:
-    """Good rows as JSON in folder, the others in folder_partial."""
+    """Good rows as JSON in folder, the others in folder_partial. Rows are stored first, so they are worked out once for both."""
+    rows = stored(rows, "rows")
     rows.where(F.col(error).isNull()).drop(error).write.mode("overwrite").json(folder)
     rows.where(F.col(error).isNotNull()).write.mode("overwrite").json(f"{folder}_partial")
 
