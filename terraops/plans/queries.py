@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 from datetime import date
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -666,8 +666,8 @@ def archive_pending(spark, sf_dir):
 
 @query("SELECT p_partkey, p_name AS name, round(x, 6) AS x, round(y, 6) AS y FROM (SELECT p_partkey, name AS p_name, x, y FROM poi)")
 def vector_roundtrip(spark, sf_dir):
-    """Points as shapefile sets, one for each partition, and back."""
-    rows = views.poi(spark, sf_dir).select("p_partkey", "name", F.array(F.array(geo.point(F.col("x"), F.col("y")))).alias("parts"))
+    """Points as shapefile sets, of a bounded number of records each, and back."""
+    rows = storage.dealt(views.poi(spark, sf_dir)).select("p_partkey", "name", F.array(F.array(geo.point(F.col("x"), F.col("y")))).alias("parts"))
     back = shapefile.points(shapefile.decoded(shapefile.encoded(rows, "point").where("kind in ('shp', 'dbf')")))
     return back.select(F.col("attributes")["p_partkey"].cast("long").alias("p_partkey"), F.col("attributes")["name"].alias("name"), F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 

@@ -9,8 +9,9 @@ import zipfile
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 MEMBERS = "archive string, member string, content binary, error string"
 
@@ -27,23 +28,42 @@ DAMAGE = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, OSError, Val
 
 #: Most bytes of a member: a cell of Spark holds no more than twice this, and a small archive may inflate to any size.
 MOST = 1 << 30
+#: Bytes of small members that are handed on together; a larger one goes alone.
+TOGETHER = 1 << 20
 
 
 def members(zips: DataFrame, most: int = MOST) -> DataFrame:
     """(archive, member, content, error): one row per file in each archive.
 
     A member that cannot be read, or whose checksum is wrong, has its error in place of the content; an archive that
-    cannot be opened gives one row with its error and no member. Each member is read once and handed on alone, so a
-    task holds one archive and one member; one that inflates to more than most bytes, whatever its header says, is an error.
+    cannot be opened gives one row with its error and no member. Each member is read once and handed on, so a
+    task holds one archive and one member, or small ones of TOGETHER bytes; one that inflates to more than most bytes, whatever its header says, is an error.
     """
 
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, data in zip(batch.archive, batch.content, strict=True):
-                for row in _expanded(data or b"", most):
-                    yield pd.DataFrame([{"archive": name} | row])
-
-    return zips.select("archive", "content").mapInPandas(expand, MEMBERS)
+            rows, held = [], 0
+            for name, data in zip(*batch.columns, strict=True):  # out of Arrow one at a time
+                for row in _expanded(data.as_py() or b"", most):
+                    size = len(row["content"] or b"")
+                    if rows and held + size > TOGETHER:
+                        yield _record_batch(rows)
+                        rows, held = [], 0
+                    rows.append({"archive": name.as_py()} | row)
+                    held += size + 1_024  # and what a row has besides
+            if rows:
+                yield _record_batch(rows)
+
+    kinds = zips.select(F.col("archive").cast("string"), F.col("content").cast("binary"))
+    return kinds.mapInArrow(expand, MEMBERS)
+
+
+def _record_batch(rows: list[dict]) -> pa.RecordBatch:
+    """rows, which it empties, as Arrow."""
+    kinds = {"archive": pa.string(), "member": pa.string(), "content": pa.binary(), "error": pa.string()}
+    columns = {c: pa.array([r[c] for r in rows], kind) for c, kind in kinds.items()}
+    rows.clear()
+    return pa.record_batch(columns)
 
 
 def _expanded(data: bytes, most: int) -> Iterator[dict]:
