@@ -1,7 +1,7 @@
 """Shapefiles of points, lines and polygons with their attribute tables.
 
 A layer is read from the bytes of its .shp and .dbf files, which Spark's binaryFile source brings from any file
-system, and decoded by slices of records; it is written as rows of file images, one set of files for each partition.
+system, and decoded by slices of records; it is written as rows of file images, one or more sets of files for each partition.
 """
 
 from __future__ import annotations
@@ -217,20 +217,39 @@ def write_attributes(frame: pd.DataFrame) -> bytes:
     return head + fields + b"\r" + b"".join(b" " + b"".join(row) for row in zip(*columns, strict=True)) + b"\x1a"
 
 
-def encoded(df: DataFrame, kind: str, parts: str = "parts", name: str = "part") -> DataFrame:
-    """(layer, kind, content): the shp, shx, dbf and prj files of each partition of df, whose other columns are attributes."""
+#: Most records, and vertices unless one record has more, of a set of files that is written.
+FILE_RECORDS, FILE_VERTICES = 1 << 16, 1 << 20
+
+
+def encoded(df: DataFrame, kind: str, parts: str = "parts", name: str = "part", records: int = FILE_RECORDS, vertices: int = FILE_VERTICES) -> DataFrame:
+    """(layer, kind, content): shp, shx, dbf and prj files of df's rows, whose other columns are attributes.
+
+    A partition is written as one set of files, or as several, each of at most so many records and vertices; a task
+    holds one set.
+    """
     fields = [c for c in df.columns if c != parts]
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frames = [b for b in batches if len(b)]  # a partition is one file, which is what bounds it
-        if not frames:
-            return
-        rows = pd.concat(frames, ignore_index=True)
-        shapes = [[np.array([(p["x"], p["y"]) for p in part], float).reshape(-1, 2) for part in (v if v is not None else [])] for v in rows[parts]]
+    def files(shapes: list[list[np.ndarray]], frames: list[pd.DataFrame], k: int) -> pd.DataFrame:
         shp, shx = write_shapes(KINDS[kind], shapes)
-        files = {"shp": shp, "shx": shx, "dbf": write_attributes(rows[fields]), "prj": WGS84.encode()}
-        layer = f"{name}-{TaskContext.get().partitionId():05d}"
-        yield pd.DataFrame({"layer": layer, "kind": list(files), "content": list(files.values())})
+        made = {"shp": shp, "shx": shx, "dbf": write_attributes(pd.concat(frames, ignore_index=True)), "prj": WGS84.encode()}
+        layer = f"{name}-{TaskContext.get().partitionId():05d}" + f"-{k:05d}" * (k > 0)
+        return pd.DataFrame({"layer": layer, "kind": list(made), "content": list(made.values())})
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shapes, frames, held, k = [], [], 0, 0
+        for batch in batches:
+            begin = 0
+            for at, value in enumerate(batch[parts]):
+                shape = [np.array([(p["x"], p["y"]) for p in part], float).reshape(-1, 2) for part in (value if value is not None else [])]
+                n = sum(map(len, shape))
+                if shapes and (len(shapes) == records or held + n > vertices):
+                    yield files(shapes, [*frames, batch[fields].iloc[begin:at]], k)
+                    shapes, frames, held, k, begin = [], [], 0, k + 1, at
+                shapes.append(shape)
+                held += n
+            frames.append(batch[fields].iloc[begin:])
+        if shapes:
+            yield files(shapes, frames, k)
 
     return df.mapInPandas(write, "layer string, kind string, content binary")
 

@@ -523,3 +523,61 @@ def test_example_of_a_trip_report(spark):
     for row in pd.read_csv(folder / "results" / "analysis.csv").itertuples():
         own = stats[row.Name]
         assert (own.total_trips, own.total_travel_days, own.total_cities, own.cities_visited, own.total_time_span, own.longest_trip_days, own.shortest_trip_days) == row[3:10]
+
+
+@pytest.mark.parametrize("name", ["page_details", "page_table_functions", "page_kv", "buffer_rings", "vector_roundtrip"])
+def test_rows_of_a_small_file_are_dealt_over_cores(spark, sf, monkeypatch, name):
+    """The given part table is one task as it is read, at 60 times its size too; what takes long for each row is dealt first."""
+    from terraops import storage
+    from terraops.plans import queries
+
+    dealt = []
+    monkeypatch.setattr(storage, "dealt", lambda df, deal=storage.dealt: dealt.append(deal(df)) or dealt[-1])
+    assert queries.QUERIES[name](spark, sf).count() > 0
+    assert dealt and all(df.rdd.getNumPartitions() >= 4 for df in dealt)
+
+
+def test_good_and_bad_rows_are_worked_out_once(spark, tmp_path):
+    from terraops import sinks
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.range(10).selectExpr("id", "if(id % 5 = 0, 'bad', null) as error").mapInPandas(count, "id long, error string")
+    sinks.catalog_json(rows, f"{tmp_path}/catalog")
+    assert seen.value == 10
+    assert spark.read.json(f"{tmp_path}/catalog").count() == 8 and spark.read.json(f"{tmp_path}/catalog_partial").count() == 2
+
+
+@pytest.mark.parametrize(("records", "vertices"), [(7, 1 << 20), (1 << 16, 10), (1, 1)])
+def test_a_partition_is_several_sets_of_files(spark, records, vertices):
+    from terraops.sources import shapefile
+
+    shapes = [([[{"x": float(k), "y": float(j)} for j in range(k % 4)]] if k % 4 else None, k) for k in range(40)]
+    df = spark.createDataFrame(shapes, "parts array<array<struct<x:double,y:double>>>, k long").coalesce(1)
+    files = shapefile.encoded(df, "line", records=records, vertices=vertices).where("kind in ('shp', 'dbf')").cache()
+    back = shapefile.decoded(files)
+    counts = back.groupBy("layer").agg(F.count("*").alias("n"), F.sum(F.size(F.flatten("parts"))).alias("v")).collect()
+    assert len(counts) > 1 and all(r.n <= records and (r.v <= vertices or r.n == 1) for r in counts)
+    want = {(k, k % 4) for _, k in shapes}
+    assert {(int(r.attributes["k"]), sum(map(len, r.parts))) for r in back.collect()} == want and sum(r.n for r in counts) == 40
+
+
+@pytest.mark.parametrize("together", [1, 3_000, 1 << 20])
+def test_small_members_are_handed_on_together(spark, monkeypatch, together):
+    from terraops.sources import archives
+
+    monkeypatch.setattr(archives, "TOGETHER", together)
+    packed = []
+    for k in range(20):
+        with zipfile.ZipFile(buffer := io.BytesIO(), "w") as file:
+            for j in range(k % 3):
+                file.writestr(f"{j}", bytes([k]) * 100 * j)
+        packed.append((f"a{k}", bytearray(buffer.getvalue()) if k else None))
+    got = archives.members(spark.createDataFrame(packed, "archive string, content binary").coalesce(1)).collect()
+    assert {(r.archive, r.member, bytes(r.content)) for r in got if r.member} == {(f"a{k}", f"{j}", bytes([k]) * 100 * j) for k in range(1, 20) for j in range(k % 3)}
+    assert [r.archive for r in got if r.error] == ["a0"]
