@@ -72,14 +72,20 @@ def circle(lat: Column, lon: Column, radius_km: Column, sides: int = 6) -> Colum
     Longitudes are not wrapped: circles over the date line or a pole reach beyond 180 degrees; see wrapped_rings.
     """
     p, r, step = F.radians(lat), radius_km / KM, 2 * math.pi / sides
+    once = F.struct(F.sin(p).alias("sp"), F.cos(p).alias("cp"), F.sin(r).alias("sr"), F.cos(r).alias("cr"), F.radians(lon).alias("lon"))
 
-    def corner(k: Column) -> Column:
-        turn = F.lit(step / 2) + k * step
-        y = F.asin(F.sin(p) * F.cos(r) + F.cos(p) * F.sin(r) * F.cos(turn))
-        x = F.radians(lon) + F.atan2(F.sin(turn) * F.sin(r) * F.cos(p), F.cos(r) - F.sin(p) * F.sin(y))
-        return F.struct((x * 180 / math.pi).alias("x"), (y * 180 / math.pi).alias("y"))
+    def corners(c: Column) -> Column:
+        def aimed(k: Column) -> Column:
+            turn = F.lit(step / 2) + k * step
+            return F.struct(F.sin(turn).alias("east"), F.asin(c.sp * c.cr + c.cp * c.sr * F.cos(turn)).alias("y"))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(sides - 1)), corner)
+        def corner(a: Column) -> Column:
+            x = c.lon + F.atan2(a.east * c.sr * c.cp, c.cr - c.sp * F.sin(a.y))
+            return F.struct((x * 180 / math.pi).alias("x"), (a.y * 180 / math.pi).alias("y"))
+
+        return F.transform(F.transform(F.sequence(F.lit(0), F.lit(sides - 1)), aimed), corner)
+
+    return _let(once, corners)  # sines of the centre and the radius are the same for all corners
 
 
 def buffer(lat: Column, lon: Column, distance: Column, unit: str = "mi", sides: int = 64) -> Column:

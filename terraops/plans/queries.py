@@ -227,8 +227,9 @@ def haversine(spark, sf_dir):
 @query("""SELECT p_partkey, CAST(65 AS INTEGER) AS points, round(min(yy), 6) AS y0, round(max(yy), 6) AS y1 FROM (SELECT p_partkey, asin(sin(radians(y)) * cos(30 * 1.60934::DOUBLE / 6371) +
     cos(radians(y)) * sin(30 * 1.60934::DOUBLE / 6371) * cos(pi() / 64 + i * 2 * pi() / 64)) * 180 / pi() AS yy FROM poi, range(64) t(i)) GROUP BY p_partkey""")
 def buffer_rings(spark, sf_dir):
-    ring = geo.closed(geo.buffer(F.col("y"), F.col("x"), F.lit(30.0)))
-    rows = views.poi(spark, sf_dir).select("p_partkey", ring.alias("ring")).withColumn("box", geo.box(F.col("ring")))
+    ring = geo.buffer(F.col("y"), F.col("x"), F.lit(30.0))
+    rows = storage.dealt(views.poi(spark, sf_dir).select("p_partkey", "x", "y")).select("p_partkey", ring.alias("ring"))
+    rows = rows.select("p_partkey", geo.closed(F.col("ring")).alias("ring")).withColumn("box", geo.box(F.col("ring")))
     return rows.select("p_partkey", F.size("ring").alias("points"), F.round("box.y0", 6).alias("y0"), F.round("box.y1", 6).alias("y1"))
 
 
