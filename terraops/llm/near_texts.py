@@ -4,9 +4,11 @@ SimHash comes first: texts whose fingerprints over five-word shingles the vantag
 whole sets, which finds most links. Fingerprints of 64 bits cannot find all: sets of similarity 0.8 differ in some
 ten bits, where any two texts would have to be compared. So the rest is searched by the shingles themselves. Two
 sets of a and b shingles that are so similar share one of the first a // 5 + 1 and b // 5 + 1 in any order that is
-the same for all texts; here it is the order of rarity in the whole corpus, counted in a fixed number of counters.
+the same for all texts. Here one in DRAWN of all shingles come first, by their exact number in the whole corpus, so that
+what no other set has fills the first places and meets nothing, however large the corpus is; the others follow in the
+order of rarity in a fixed number of counters, and only a text with too few of the drawn ones is searched by them.
 Texts that meet at such a shingle are compared as whole sets: first all with one of the shingle's texts, then
-those that are not yet in one group with it. Sizes and parities spare comparisons that cannot link.
+those that are not yet in one group with it. Sizes, places and parities spare comparisons that cannot link.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from terraops.llm.simhash import fingerprints, links, shingle_hashes
 WORDS = 5
 #: Counters of the corpus's shingles, a power of two, and how many of them make one row on the way.
 COUNTERS, SEGMENT = 1 << 20, 1 << 12
+#: One in so many shingles is counted exactly and comes first in the order of the search; more than a fifth, so that it can fill the places.
+DRAWN = 4
 #: Most row keys that are broadcast; more are joined by a shuffle.
 BROADCAST = 1_048_576
 #: Bits of a set's parities where texts meet and of those that each pair is tested by.
@@ -82,6 +86,16 @@ def coded(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.sort(rank << 43 | (shingles >> np.uint64(21)).astype(np.int64))
 
 
+def drawn(shingles: np.ndarray) -> np.ndarray:
+    """Which shingles are counted exactly."""
+    return (shingles >> np.uint64(40)) % np.uint64(DRAWN) == 0
+
+
+def places(n: int) -> int:
+    """How many shingles of a set of n, in any order, hold one of each set that it can link with."""
+    return n // 5 + 1
+
+
 def parities(shingles: np.ndarray, bits: int = PARITY) -> np.ndarray:
     """For each value of the low bits of shingles whether it occurs an odd number of times, packed in integers."""
     odd = np.bincount((shingles % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
@@ -89,7 +103,12 @@ def parities(shingles: np.ndarray, bits: int = PARITY) -> np.ndarray:
 
 
 def described(text: Column, counts: np.ndarray) -> Column:
-    """(key, fp, size, bits, wide, first) of a text: a hash of its set, the SimHash, the number of shingles, parities and what it can be found by."""
+    """What a text is found by.
+
+    (key, fp, size, bits, wide, drawn, rest): a hash of its set, the SimHash, the number of shingles, parities, the drawn
+    shingles, and those of the others that the search needs besides them.
+    """
+    columns = ("key", "fp", "size", "bits", "wide", "drawn", "rest")
 
     def rows_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         release()
@@ -98,15 +117,17 @@ def described(text: Column, counts: np.ndarray) -> Column:
             for a, b in slices(texts):
                 hashes = [shingle_hashes(t, WORDS) for t in texts[a:b]]
                 sets = [np.unique(np.array(h, np.uint64)) for h in hashes]
+                few = [drawn(s) for s in sets]
                 frames.append(pd.DataFrame({
                     "key": np.array([xxhash.xxh64_intdigest(s.tobytes()) - 2**63 for s in sets], np.int64),
                     "fp": fingerprints(hashes), "size": np.array([len(s) for s in sets], np.int32),
                     "bits": [parities(s) for s in sets], "wide": [parities(s, WIDE) for s in sets],
-                    "first": [coded(s, counts)[: len(s) // 5 + 1] for s in sets],
+                    "drawn": [s[m].view(np.int64) for s, m in zip(sets, few, strict=True)],
+                    "rest": [coded(s[~m], counts)[: max(0, places(len(s)) - int(m.sum()))] if len(s) else s.view(np.int64) for s, m in zip(sets, few, strict=True)],
                 }))
-            yield pd.concat(frames, ignore_index=True) if frames else pd.DataFrame({c: [] for c in ("key", "fp", "size", "bits", "wide", "first")})
+            yield pd.concat(frames, ignore_index=True) if frames else pd.DataFrame({c: [] for c in columns})
 
-    return F.pandas_udf(rows_of, "key long, fp long, size int, bits array<long>, wide array<long>, first array<long>")(text)
+    return F.pandas_udf(rows_of, "key long, fp long, size int, bits array<long>, wide array<long>, drawn array<long>, rest array<long>")(text)
 
 
 def _few(rows: DataFrame) -> DataFrame:
@@ -153,13 +174,16 @@ def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _may_link(a: str, b: str) -> Column:
-    """Whether the sizes and parities of two sets leave room for a link; no link is ruled out.
+    """Whether the sizes, places and parities of two sets leave room for a link; no link is ruled out.
 
     A link needs that the sets differ in at most a ninth of the sum of their sizes, and the bits in which their
-    parities differ are never more than the shingles in which the sets do.
+    parities differ are never more than the shingles in which the sets do. Where two sets first meet all that they
+    share comes from that place (pos) on in either; a link needs that this is four ninths of the sum of sizes.
     """
     total = F.col(f"{a}.size") + F.col(f"{b}.size")
-    return (F.col(f"{a}.root") != F.col(f"{b}.root")) & (9 * F.abs(F.col(f"{a}.size") - F.col(f"{b}.size")) <= total) & (9 * _apart(f"{a}.bits", f"{b}.bits", PARITY) <= total)
+    room = [9 * (F.col(f"{c}.size") - F.col(f"{c}.pos")) >= 4 * total for c in (a, b)]
+    near = (9 * F.abs(F.col(f"{a}.size") - F.col(f"{b}.size")) <= total) & room[0] & room[1]
+    return (F.col(f"{a}.root") != F.col(f"{b}.root")) & near & (9 * _apart(f"{a}.bits", f"{b}.bits", PARITY) <= total)
 
 
 def _apart(a: str, b: str, bits: int) -> Column:
@@ -174,13 +198,33 @@ def by_fingerprint(sets: DataFrame) -> DataFrame:
     return sets.join(values, "fp").select(F.col("key").alias("a"), F.col("least").alias("b")).union(ends.select("x", "y"))
 
 
+def searched(marked: DataFrame) -> DataFrame:
+    """(key, shingle, pos): the shingles that sets are searched by and their places, without those that no other set has.
+
+    Drawn shingles of one set alone come first, then shared ones, the rarer first, then the others. Copies
+    of a text have one key, so what only they share is of one set.
+    """
+    rows = marked.select("key", F.explode("drawn").alias("shingle"))
+    total = marked.agg(F.coalesce(F.sum(F.size("drawn")), F.lit(0))).first()[0]
+    often = rows.groupBy("shingle").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("n")).where("low < high")
+    often = written(often.select("shingle", "n"), "often")
+    met = rows.join(F.broadcast(often), "shingle") if often.count() <= BROADCAST else with_figures(rows, often, "shingle", total)
+    listed = F.sort_array(F.collect_set(F.struct("n", "shingle"))).alias("listed")
+    sizes = marked.groupBy("key").agg(F.first("size").alias("size"), F.first(F.size("drawn")).alias("own"))
+    alone = F.col("own") - F.size("listed")
+    few = F.slice("listed", 1, F.greatest(F.floor(F.col("size") / 5).cast("int") + 1 - alone, F.lit(0)))
+    places = met.groupBy("key").agg(listed).join(sizes, "key").select("key", alone.alias("alone"), F.posexplode(few).alias("pos", "s"))
+    rest = marked.select("key", F.size("drawn").alias("own"), F.posexplode("rest").alias("pos", "shingle")).distinct()
+    return places.select("key", "s.shingle", (F.col("alone") + F.col("pos")).alias("pos")).union(rest.select("key", "shingle", F.col("own") + F.col("pos")))
+
+
 def set_links(marked: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, root) of the keys of all sets that are linked."""
     found = verified(by_fingerprint(sets), sets, texts)
-    met = written(marked.select("key", F.explode("first").alias("shingle")).distinct(), "met")
+    met = written(searched(marked), "met")
     ends = met.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")  # others share it
-    shared = with_figures(met, ends, "shingle", met.count()).select("shingle", "key")
-    shared = written(shared.join(sets.select("key", "size", "bits"), "key").select("shingle", "key", "size", "bits"), "shared")
+    shared = with_figures(met, ends, "shingle", met.count()).select("shingle", "key", "pos")
+    shared = written(shared.join(sets.select("key", "size", "bits"), "key").select("shingle", "key", "size", "bits", "pos"), "shared")
     named = _led(_rooted(shared, components(found)))
     pairs = named.where(_may_link("own", "lead")).select(F.col("own.key").alias("a"), F.col("lead.key").alias("b"))
     found = found.union(verified(pairs, sets, texts))
@@ -193,9 +237,9 @@ def set_links(marked: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame
 
 
 def _rooted(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """(shingle, own), own being a set's key, root, size and parities."""
+    """(shingle, own), own being a set's key, root, size, parities and the shingle's place in it."""
     both = shared.join(roots.withColumnRenamed("node", "key"), "key", "left")
-    return both.select("shingle", F.struct("key", F.coalesce("root", "key").alias("root"), "size", "bits").alias("own"))
+    return both.select("shingle", F.struct("key", F.coalesce("root", "key").alias("root"), "size", "bits", "pos").alias("own"))
 
 
 def _led(rows: DataFrame) -> DataFrame:
