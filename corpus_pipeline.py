@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from terraops.llm.common import table, written
+from terraops.llm.common import small_batches, table, written
 from terraops.llm.near_texts import one_of_each_text
 from terraops.llm.packing import packed
 from terraops.llm.quality import of_quality
@@ -43,7 +43,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts are their end id alone, repeated rows are pieces of their own, other columns are ignored.
     """
-    return packed(docs, public_tokenizers.path(BYTE_BPE), END_ID, 1024, room=200_000)  # the stages before have filled the workers
+    with small_batches(spark):  # the stages before have filled the executors
+        return packed(docs, public_tokenizers.path(BYTE_BPE), END_ID, 1024, room=200_000)
 
 
 STAGES = [("toxicity", toxicity), ("quality", quality), ("near_duplicates", near_duplicates), ("packing", packing)]

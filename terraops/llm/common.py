@@ -8,7 +8,8 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from contextlib import contextmanager
+from functools import lru_cache, wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Characters of text that a task holds in Python objects at a time.
 CHARS_AT_ONCE = 500_000
+#: Rows that Spark hands to Python at a time where executors have little memory left.
+ROWS_AT_ONCE = 1_000
 #: A key is hot if it has more rows than this and more than one in so many of all.
 HOT, HOT_KEYS = 262_144, 65_536
 
@@ -115,12 +118,41 @@ def release() -> None:
     """Gives back what a reused worker holds of earlier stages."""
     for own in _CACHES:
         own.cache_clear()
+    trim()
+
+
+def trim() -> None:
+    """Gives back what a worker has freed but not returned; its caches stay."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # only glibc has it
         trim(0)
 
 
+def lean(f: Callable) -> Callable:
+    """f, from batches to batches, in a worker that gives back free memory after its task, as it may stay idle for long."""
+
+    @wraps(f)
+    def run(batches: Iterator) -> Iterator:
+        yield from f(batches)
+        trim()
+
+    return run
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run meanwhile hand at most ROWS_AT_ONCE rows at a time to Python: both sides hold a whole batch."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if not 0 < int(before) <= ROWS_AT_ONCE:
+        spark.conf.set(key, str(ROWS_AT_ONCE))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def slices(texts: list[str], at_once: int = CHARS_AT_ONCE) -> Iterator[tuple[int, int]]:
     """Ranges of texts with about at_once characters each; a longer text is a range of its own."""
     begin = held = 0

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terraops.llm.common import field, numbered, release, slices, texts_of, with_figures, written
+from terraops.llm.common import field, lean, numbered, release, slices, small_batches, texts_of, with_figures, written
 from terraops.llm.graph import components
 from terraops.llm.simhash import fingerprints, links, shingle_hashes
 
@@ -67,7 +67,7 @@ def counted(texts: DataFrame) -> np.ndarray:
         return next(_segments([key[0]], [np.sum(rows.n.to_list(), axis=0)], 0))
 
     schema = "segment int, task int, n array<long>"
-    parts = texts.select("text").mapInPandas(count, schema)
+    parts = texts.select("text").mapInPandas(lean(count), schema)
     for fan in (64, 1):  # so many sums of a segment at first, then the whole
         parts = parts.withColumn("task", F.col("task") % fan).groupBy("segment", "task").applyInPandas(add, schema)
     out = np.zeros((counters // segment, segment), np.int64)
@@ -127,7 +127,7 @@ def described(text: Column, counts: np.ndarray) -> Column:
                 }))
             yield pd.concat(frames, ignore_index=True) if frames else pd.DataFrame({c: [] for c in columns})
 
-    return F.pandas_udf(rows_of, "key long, fp long, size int, bits array<long>, wide array<long>, drawn array<long>, rest array<long>")(text)
+    return F.pandas_udf(lean(rows_of), "key long, fp long, size int, bits array<long>, wide array<long>, drawn array<long>, rest array<long>")(text)
 
 
 def _few(rows: DataFrame) -> DataFrame:
@@ -162,7 +162,7 @@ def verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     met = written(met, "met")
     both = pairs.join(met.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(met.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-    return written(both.select("a", "b", "text_a", "text_b").mapInPandas(_similar, "a long, b long"), "similar")
+    return written(both.select("a", "b", "text_a", "text_b").mapInPandas(lean(_similar), "a long, b long"), "similar")
 
 
 def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -257,6 +257,11 @@ def one_of_each_text(docs: DataFrame) -> DataFrame:
     without words (null, empty, blank) are alike. Of rows that share this doc_id and text one stays. If all ids of
     a group are null, one row stays. Columns may have any name; an empty table gives no rows.
     """
+    with small_batches(docs.sparkSession):  # all Python runs before this ends
+        return _one_of_each(docs)
+
+
+def _one_of_each(docs: DataFrame) -> DataFrame:
     texts = texts_of(docs)
     marked = _identified(texts).withColumn("d", described(F.col("text"), counted(texts)))
     marked = written(marked.select(*IDENTITY, "d.*"), "marked")

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraops.llm.common import slices, texts_of, written
+from terraops.llm.common import lean, slices, texts_of, written
 from terraops.llm.pieces import ROOM, encoder
 
 #: Ranks are counted apart in so many groups of the pieces of one length: one for so many pieces, from and to.
@@ -101,7 +101,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, ke
                 yield out
 
     rows = texts_of(docs)
-    return rows.mapInPandas(cut, PIECES + ", ids array<int>" * keep_ids)
+    return rows.mapInPandas(lean(cut) if room < ROOM else cut, PIECES + ", ids array<int>" * keep_ids)
 
 
 def placed(pieces: DataFrame, capacity: int) -> DataFrame:
@@ -137,7 +137,8 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 1024, r
 
     Documents longer than the capacity are cut into pieces of the capacity, of which the first may be
     shorter. A null or empty text is the end id alone; a null doc_id is kept; repeated rows are pieces of their own;
-    other columns are ignored; an empty table gives no rows. A worker keeps the ids of room chunks.
+    other columns are ignored; an empty table gives no rows. A worker keeps the ids of room chunks; with
+    fewer than ROOM it also gives back free memory after each task.
     """
     return placed(written(token_pieces(docs, tokenizer, end_id, capacity, room=room), "pieces"), capacity)
 

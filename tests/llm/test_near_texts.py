@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -128,3 +129,38 @@ def test_places_rule_out_no_link(spark):
                 assert any(9 * (len(a) - own[s]) >= need and 9 * (len(b) - other[s]) >= need for s in own.keys() & other.keys())
                 n += 1
     assert n > 50
+
+
+@pytest.mark.parametrize("stage", ["near_duplicates", "packing"])
+def test_stages_take_few_rows_at_a_time(spark, monkeypatch, stage):
+    """The late stages of the pipeline hand few rows at a time to Python, and leave the session as it was."""
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(key)
+
+    def sizes(docs, *rest, **more):
+        seen.extend(r.n for r in docs.mapInPandas(lambda batches: (pd.DataFrame({"n": [len(b)]}) for b in batches), "n long").collect())
+        return np.zeros(near_texts.COUNTERS, np.int64)
+
+    monkeypatch.setattr(near_texts, "counted", sizes)
+    monkeypatch.setattr(corpus_pipeline, "packed", sizes)
+    docs = spark.range(0, 5_000, 1, 1).selectExpr("id as doc_id", "concat('text ', id) as text")
+    dict(corpus_pipeline.STAGES)[stage](spark, docs, "")
+    assert sum(seen) == 5_000 and max(seen) <= common.ROWS_AT_ONCE
+    assert spark.conf.get(key) == before
+
+
+def test_small_batches_end_with_an_error(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    with pytest.raises(ZeroDivisionError), common.small_batches(spark):
+        assert spark.conf.get(key) == str(common.ROWS_AT_ONCE)
+        1 / 0  # noqa: B018
+    assert spark.conf.get(key) == before
+
+
+def test_idle_workers_give_back_memory(monkeypatch):
+    """A lean task returns what it has freed once its last batch is out."""
+    done = []
+    monkeypatch.setattr(common, "trim", lambda: done.append("trim"))
+    out = list(common.lean(lambda batches: (b + 1 for b in batches))(done.append(b) or b for b in (1, 2)))
+    assert out == [2, 3] and done == [1, 2, "trim"]
