@@ -7,8 +7,11 @@ sets of a and b shingles that are so similar share one of the first a // 5 + 1 a
 the same for all texts. Here one in DRAWN of all shingles come first, by their exact number in the whole corpus, so that
 what no other set has fills the first places and meets nothing, however large the corpus is; the others follow in the
 order of rarity in a fixed number of counters, and only a text with too few of the drawn ones is searched by them.
-Texts that meet at such a shingle are compared as whole sets: first all with one of the shingle's texts, then
-those that are not yet in one group with it. Sizes, places and parities spare comparisons that cannot link.
+Where more than CROWD texts meet at a shingle, as the edited copies of one text do, they are searched anew among
+themselves, by the exact numbers of all their shingles: what an edit brings in is then rare and comes first, so that
+copies with too many edits to link with any other meet none. Texts that meet at a shingle are compared as whole
+sets: first all with the one of the shingle's texts that has the least rare shingles before it, then those that are
+not yet in one group with it. Sizes, places and parities spare comparisons that cannot link.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ WORDS = 5
 COUNTERS, SEGMENT = 1 << 20, 1 << 12
 #: One in so many shingles is counted exactly and comes first in the order of the search; more than a fifth, so that it can fill the places.
 DRAWN = 4
+#: Most sets that meet at a shingle as they are; where there are more, all their shingles are counted.
+CROWD = 16
 #: Most row keys that are broadcast; more are joined by a shuffle.
 BROADCAST = 1_048_576
 #: Bits of a set's parities where texts meet and of those that each pair is tested by.
@@ -155,16 +160,19 @@ def _similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of pairs (a, b) of sets (key) whose texts are alike; texts are rows (doc_id, text)."""
     pairs = written(possible(pairs, sets), "pairs")
-    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    wanted = written(sets.join(_few(written(keys, "keys")), "key").select("key", "best.*"), "wanted")
-    named = _identified(texts)
-    met = named.join(few := _few(wanted), _same(named, few)).select("key", "text").dropDuplicates(["key"])
-    met = written(met, "met")
+    met = written(_texts_of_sets(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct(), sets, texts), "met")
     both = pairs.join(met.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(met.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
     return written(both.select("a", "b", "text_a", "text_b").mapInPandas(lean(_similar), "a long, b long"), "similar")
 
 
+def _texts_of_sets(keys: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """(key, text): one text of each of the sets of these keys."""
+    wanted = written(sets.join(_few(written(keys, "keys")), "key").select("key", "best.*"), "wanted")
+    named = _identified(texts)
+    return named.join(few := _few(wanted), _same(named, few)).select("key", "text").dropDuplicates(["key"])
+
+
 def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Distinct pairs (a, b), a < b, that sizes and the wide parities leave room for."""
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
@@ -218,12 +226,37 @@ def searched(marked: DataFrame) -> DataFrame:
     return places.select("key", "s.shingle", (F.col("alone") + F.col("pos")).alias("pos")).union(rest.select("key", "shingle", F.col("own") + F.col("pos")))
 
 
+def met_at(places: DataFrame) -> DataFrame:
+    """places (key, shingle, pos) with n, how many sets the shingle has there; without shingles that have one."""
+    met = written(places, "met")
+    ends = met.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    return with_figures(met, ends, "shingle", met.count()).select("shingle", "key", "pos", "n")
+
+
+def _whole(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    release()
+    for batch in batches:
+        yield pd.Series([shingle_set(t).view(np.int64) for t in batch], dtype=object)
+
+
+def uncrowded(met: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """(shingle, key, pos) where sets that can link meet: shingles of at most CROWD sets, the others' sets searched anew.
+
+    Two sets that first meet in a crowd are both among the sets of crowds. Any order that is the same for all of
+    these brings them together, so it is that of all their shingles' exact numbers among these sets. Shingles of
+    that search go by another hash, as places in one order say nothing in the other.
+    """
+    keys = met.where(F.col("n") > CROWD).select("key").distinct()
+    whole = _texts_of_sets(keys, sets, texts).select("key", F.pandas_udf(lean(_whole), "array<long>")("text").alias("drawn"))
+    whole = written(whole.select("key", F.size("drawn").alias("size"), "drawn", F.array().cast("array<long>").alias("rest")), "whole")
+    again = met_at(searched(whole)).select(F.xxhash64("shingle").alias("shingle"), "key", "pos")
+    return met.where(F.col("n") <= CROWD).select("shingle", "key", "pos").union(again)
+
+
 def set_links(marked: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, root) of the keys of all sets that are linked."""
     found = verified(by_fingerprint(sets), sets, texts)
-    met = written(searched(marked), "met")
-    ends = met.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")  # others share it
-    shared = with_figures(met, ends, "shingle", met.count()).select("shingle", "key", "pos")
+    shared = uncrowded(written(met_at(searched(marked)), "shared"), sets, texts)
     shared = written(shared.join(sets.select("key", "size", "bits"), "key").select("shingle", "key", "size", "bits", "pos"), "shared")
     named = _led(_rooted(shared, components(found)))
     pairs = named.where(_may_link("own", "lead")).select(F.col("own.key").alias("a"), F.col("lead.key").alias("b"))
@@ -243,9 +276,13 @@ def _rooted(shared: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _led(rows: DataFrame) -> DataFrame:
-    """rows with lead, one of each shingle's own; the rows of a shingle that very many share do not meet in one task."""
+    """rows with lead, one of each shingle's own; the rows of a shingle that very many share do not meet in one task.
+
+    The lead has the smallest share of its set before the shingle: of edited copies that with the fewest edits, which
+    most of the others link with if they link at all.
+    """
     rows = written(rows, "rooted")
-    draw = F.struct(F.xxhash64("own.key", "shingle").alias("draw"), "own")
+    draw = F.struct((F.col("own.pos") / F.col("own.size")).alias("part"), F.xxhash64("own.key", "shingle").alias("draw"), "own")
     leads = rows.groupBy("shingle").agg(F.min(draw).alias("lead"), F.count("*").alias("n"))
     return written(with_figures(rows, leads, "shingle", rows.count()).select("shingle", "own", F.col("lead.own").alias("lead")), "named")
 
