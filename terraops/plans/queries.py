@@ -667,9 +667,12 @@ def archive_pending(spark, sf_dir):
 
 @query("SELECT p_partkey, p_name AS name, round(x, 6) AS x, round(y, 6) AS y FROM (SELECT p_partkey, name AS p_name, x, y FROM poi)")
 def vector_roundtrip(spark, sf_dir):
-    """Points as shapefile sets, of a bounded number of records each, and back."""
+    """Points as shapefile sets, of a bounded number of records each, and back.
+
+    The sets are stored: a set that a retried task made anew could hold its records in another order.
+    """
     rows = storage.dealt(views.poi(spark, sf_dir)).select("p_partkey", "name", F.array(F.array(geo.point(F.col("x"), F.col("y")))).alias("parts"))
-    back = shapefile.points(shapefile.decoded(shapefile.encoded(rows, "point").where("kind in ('shp', 'dbf')")))
+    back = shapefile.points(shapefile.decoded(storage.stored(shapefile.encoded(rows, "point"), "sets")))
     return back.select(F.col("attributes")["p_partkey"].cast("long").alias("p_partkey"), F.col("attributes")["name"].alias("name"), F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 

@@ -127,34 +127,33 @@ def decoded(files: DataFrame, ordinates: bool = False, records: int = RECORDS) -
     """(layer, index, parts, attributes) of the records of rows (layer, kind shp or dbf, content).
 
     A file is one row, as Spark reads it; it is cut into slices of so many records without decoding them, and slices of
-    shapes meet those of their attributes in a join, so the decoding of one layer is dealt over tasks. With ordinates
-    there are columns z and m, array<array<double>> beside parts, null where a shape has none. A record
+    shapes meet those of their attributes as a group, so the decoding of one layer is dealt over tasks. files are read
+    once: what comes in another order each time, as rows of a shuffle do, would give shapes the attributes of others.
+    With ordinates there are columns z and m, array<array<double>> beside parts, null where a shape has none. A record
     without a row of attributes has an empty map.
     """
 
-    def cut(kind: str, slices) -> DataFrame:
-        def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for name, content in zip(batch.layer, batch.content, strict=True):
-                    for k, part in enumerate(slices(content, records)):
-                        yield pd.DataFrame({"layer": [name], "slice": [k], kind: [part]})
-
-        return files.where(F.col("kind") == kind).select("layer", "content").mapInPandas(each, f"layer string, slice int, {kind} binary")
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, k, shp, dbf in zip(batch.layer, batch.slice, batch.shp, batch.dbf, strict=True):
-                shapes = read_shapes(shp)
-                names, texts = read_attributes(dbf) if dbf is not None else ([], [])
-                rows = [dict(zip(names, row, strict=True)) for row in texts[: len(shapes)]] + [{}] * (len(shapes) - len(texts))
-                out = {"layer": name, "index": range(k * records, k * records + len(shapes)), "parts": [[[{"x": x, "y": y} for x, y in part] for part in parts] for parts in shapes], "attributes": rows}
-                if ordinates:
-                    out["z"], out["m"] = ([v[c] for v in read_ordinates(shp)] for c in (0, 1))
-                yield pd.DataFrame(out)
-
-    met = cut("shp", _shape_slices).join(cut("dbf", _attribute_slices), ["layer", "slice"], "left").select("layer", "slice", "shp", "dbf")
+            for name, kind, content in zip(batch.layer, batch.kind, batch.content, strict=True):
+                slices = _shape_slices if kind == "shp" else _attribute_slices
+                for k, part in enumerate(slices(content, records)):
+                    yield pd.DataFrame({"layer": [name], "slice": [k], "kind": [kind], "part": [part]})
+
+    def read(key: tuple[str, int], slices: pd.DataFrame) -> pd.DataFrame:
+        (name, k), found = key, dict(zip(slices.kind, slices.part, strict=True))
+        shapes = read_shapes(found["shp"]) if "shp" in found else []
+        names, texts = read_attributes(found["dbf"]) if "dbf" in found else ([], [])
+        rows = [dict(zip(names, row, strict=True)) for row in texts[: len(shapes)]] + [{}] * (len(shapes) - len(texts))
+        out = {"layer": name, "index": range(k * records, k * records + len(shapes)), "parts": [[[{"x": x, "y": y} for x, y in part] for part in parts] for parts in shapes], "attributes": rows}
+        if ordinates:
+            values = read_ordinates(found["shp"]) if "shp" in found else []
+            out["z"], out["m"] = ([v[c] for v in values] for c in (0, 1))
+        return pd.DataFrame(out, dtype=object)  # columns without rows would be of floats
+
+    cuts = files.where("kind in ('shp', 'dbf')").select("layer", "kind", "content").mapInPandas(cut, "layer string, slice int, kind string, part binary")
     more = ", z array<array<double>>, m array<array<double>>" * ordinates
-    return met.mapInPandas(read, f"layer string, index int, parts {schemas.PARTS}, attributes map<string,string>{more}")
+    return cuts.groupBy("layer", "slice").applyInPandas(read, f"layer string, index int, parts {schemas.PARTS}, attributes map<string,string>{more}")
 
 
 def vertices(shapes: DataFrame, keys: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ import zipfile
 from datetime import date, datetime
 from pathlib import Path
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
@@ -567,6 +568,47 @@ def test_a_partition_is_several_sets_of_files(spark, records, vertices):
     assert {(int(r.attributes["k"]), sum(map(len, r.parts))) for r in back.collect()} == want and sum(r.n for r in counts) == 40
 
 
+def in_any_order(df, seen):
+    """df, whose rows come in another order each time they are worked out, as those of a shuffle over several executors do; seen counts them."""
+
+    def mix(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch.sample(frac=1, random_state=np.random.default_rng())
+
+    return df.mapInPandas(mix, df.schema)
+
+
+@pytest.mark.parametrize("records", [16, 4_096])
+def test_shapes_keep_their_attributes_when_rows_change_their_order(spark, records):
+    points = spark.range(200).selectExpr("id as k", "array(array(struct(cast(id as double) as x, 0D as y))) as parts").coalesce(1)
+    seen = spark.sparkContext.accumulator(0)
+    back = shapefile.points(shapefile.decoded(shapefile.encoded(in_any_order(points, seen), "point"), records=records)).collect()
+    assert seen.value == 200  # the files are read once
+    assert sorted(int(r.attributes["k"]) for r in back) == list(range(200)) and all(int(r.attributes["k"]) == r.x for r in back)
+
+
+@pytest.mark.parametrize("ordinates", [False, True])
+def test_attributes_without_shapes_are_no_records(spark, ordinates):
+    files = [("a", "dbf", bytearray(shapefile.write_attributes(pd.DataFrame({"k": [1, 2, 3]}))))]
+    assert shapefile.decoded(spark.createDataFrame(files, "layer string, kind string, content binary"), ordinates, records=2).collect() == []
+
+
+def test_vector_roundtrip_when_rows_change_their_order(spark, sf, monkeypatch):
+    from terraops import storage
+    from terraops.plans import queries
+
+    seen = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(storage, "dealt", lambda df, deal=storage.dealt: in_any_order(deal(df), seen))
+    df = queries.QUERIES["vector_roundtrip"](spark, sf)
+    db = duckdb.connect()
+    db.execute(f"create view part as select * from '{sf}/part.parquet'")
+    want = sorted(db.execute(queries.ORACLE_SQL["vector_roundtrip"]).fetchall())
+    for _ in range(2):
+        assert sorted(tuple(r) for r in df.collect()) == want
+    assert seen.value == len(want)  # the sets are made once
+
+
 @pytest.mark.parametrize("together", [1, 3_000, 1 << 20])
 def test_small_members_are_handed_on_together(spark, monkeypatch, together):
     from terraops.sources import archives
